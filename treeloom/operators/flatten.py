@@ -10,9 +10,11 @@ steps (chains, last definitions, name lookups) need a shuffle.
 from __future__ import annotations
 
 import ast
+import gc
 import warnings
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,12 +35,16 @@ NAME_FIELD = {
 }
 IO_ERROR = "io_error"
 SYNTAX_ERROR = "syntax_error"
-PARSE_ERROR = "parse_error"
 
 ROWS_PER_BATCH = 20_000
 
 _INPUT = ("unit", "file_path", "text", "bad_content", "read_error", "file_hash", "size_bytes", "loc")
-_NO_NODE = (None,) * (len(schemas.FLAT.names) - 4)
+_FILE_COLUMNS = ("unit", "file_path")
+_MEASURES = ("file_hash", "size_bytes", "loc", "error_type", "error_message")
+_TREE_COLUMNS = [n for n in schemas.FLAT.names if n not in _FILE_COLUMNS + _MEASURES]
+_NO_NODE = (0,) + (None,) * (len(_TREE_COLUMNS) - 1)
+_NO_POSITION = (None, None, None)
+_MODULE_POSITION = (ids.NO_POSITION, ids.NO_POSITION, MODULE)
 
 
 def _callee(call: ast.Call) -> str | None:
@@ -46,116 +52,127 @@ def _callee(call: ast.Call) -> str | None:
     return getattr(call.func, NAME_FIELD[kind]) if kind in ("Name", "Attribute") else None
 
 
-def tree_rows(tree: ast.Module) -> Iterator[tuple]:
-    """Rows of one tree in pre-order, from ``pre`` to ``block_idx``.
+def tree_rows(tree: ast.Module) -> list[tuple]:
+    """Rows of one tree in pre-order, with the columns ``_TREE_COLUMNS``.
 
     An explicit stack replaces recursion, so the depth of a tree is not limited.
     ``block`` identifies a statement list that control flow walks: a list of
     that kind reached from the module through such lists only. Its first member
-    fixes its ``block_pre``.
+    fixes its ``block_pre``. Marker nodes without fields or position are left out.
     """
-    module_position = (ids.NO_POSITION, ids.NO_POSITION, MODULE)
-    no_position = (None, None, None)
-    stack: list[tuple] = [(tree, 0, no_position, module_position, (), [], 0)]
+    rows: list[tuple] = []
+    stack: list[tuple] = [(tree, 0, _NO_POSITION, _MODULE_POSITION, (), [], 0)]
     pre = 0
     while stack:
         node, depth, parent, enclosing, scopes, block, block_idx = stack.pop()
         kind = type(node).__name__
-        positioned = hasattr(node, "lineno")
+        positioned = "lineno" in node._attributes
         here = (node.lineno, node.col_offset, kind) if positioned else parent
-        if kind == MODULE or kind in FUNCTION_KINDS:
+        if kind in FUNCTION_KINDS or kind == MODULE:
             scopes = scopes + (pre,)
-            enclosing = here if positioned else module_position
+            enclosing = here if positioned else _MODULE_POSITION
         if block is not None and not block:
             block.append(pre)
 
-        if positioned or kind == MODULE:
-            is_call, is_name = kind == "Call", kind == "Name"
-            in_block = block is not None and kind != MODULE
-            yield (
-                pre,
-                depth,
-                kind,
-                getattr(node, NAME_FIELD[kind]) if kind in NAME_FIELD else None,
-                node.lineno if positioned else None,
-                node.col_offset if positioned else None,
-                getattr(node, "end_lineno", None),
-                *(parent if positioned else no_position),
-                *(enclosing if is_call else no_position),
-                type(node.ctx).__name__ if is_name else None,
-                _callee(node) if is_call else None,
-                scopes if is_name else None,
-                block[0] if in_block else None,
-                block_idx if in_block else None,
+        if kind == "Name":
+            rows.append(
+                (pre, depth, kind, node.id, *here[:2], node.end_lineno, *parent, *_NO_POSITION,
+                 type(node.ctx).__name__, None, scopes, None, None)
             )
+            pre += 1
+            continue
+        if positioned:
+            rows.append(
+                (pre, depth, kind, getattr(node, NAME_FIELD[kind]) if kind in NAME_FIELD else None,
+                 *here[:2], node.end_lineno, *parent,
+                 *(enclosing if kind == "Call" else _NO_POSITION),
+                 None, _callee(node) if kind == "Call" else None, None,
+                 block[0] if block else None, block_idx)
+            )
+        elif kind == MODULE:
+            rows.append((pre, depth, kind, *_NO_NODE[3:]))
 
         below = []
         for field in node._fields:
             value = getattr(node, field, None)
-            if isinstance(value, ast.AST):
-                below.append((value, depth + 1, here, enclosing, scopes, None, None))
-            elif isinstance(value, list):
+            if type(value) is list:
                 walked = [] if block is not None and field in BLOCK_FIELDS else None
                 for idx, child in enumerate(value):
-                    if isinstance(child, ast.AST):
-                        below.append((child, depth + 1, here, enclosing, scopes, walked, idx))
-        stack.extend(reversed(below))
+                    if isinstance(child, ast.AST) and (child._fields or child._attributes):
+                        position = idx if walked is not None else None
+                        below.append((child, depth + 1, here, enclosing, scopes, walked, position))
+            elif isinstance(value, ast.AST) and (value._fields or value._attributes):
+                below.append((value, depth + 1, here, enclosing, scopes, None, None))
+        below.reverse()
+        stack += below
         pre += 1
+    return rows
 
 
-def _file_rows(record: dict) -> Iterator[tuple]:
-    """Rows of one file: its tree, or one error row and nothing else."""
-    head = (record["unit"], record["file_path"])
+def _parse(record: dict) -> tuple[list[tuple], tuple]:
+    """Tree rows and measures of one file; one empty row if it fails."""
 
-    def failed(kind: str, message: str) -> tuple:
-        return (*head, *_NO_NODE, kind, message)
+    def failed(kind: str, message: str):
+        return [_NO_NODE], (None, None, None, kind, message)
 
     if record["read_error"] is not None:
-        yield failed(IO_ERROR, record["read_error"])
-        return
+        return failed(IO_ERROR, record["read_error"])
     if record["text"] is None:
         try:
             (record["bad_content"] or b"").decode("utf-8")
-            message = "no content"
         except UnicodeDecodeError as error:
-            message = str(error)
-        yield failed(IO_ERROR, message)
-        return
+            return failed(IO_ERROR, str(error))
+        return failed(IO_ERROR, "no content")
     try:
         tree = ast.parse(record["text"], filename=record["file_path"])
-    except SyntaxError as error:
-        yield failed(SYNTAX_ERROR, str(error))
-        return
-    except (RecursionError, MemoryError, ValueError) as error:
-        yield failed(PARSE_ERROR, str(error) or type(error).__name__)
-        return
-    measures = (record["file_hash"], record["size_bytes"], record["loc"])
-    nothing = (None, None, None)
-    for row in tree_rows(tree):
-        yield (*head, *row, *(measures if row[2] == MODULE else nothing), None, None)
+    except (SyntaxError, RecursionError, MemoryError, ValueError) as error:
+        # The last three mean a text too complex for the parser, one file's fault.
+        return failed(SYNTAX_ERROR, str(error) or type(error).__name__)
+    return tree_rows(tree), (record["file_hash"], record["size_bytes"], record["loc"], None, None)
+
+
+def _record_batch(rows: list[tuple], units: list[tuple], measures: list[tuple], counts: list[int]):
+    """One Arrow batch of several files; measures go to the first row of each."""
+    types = {f.name: f.type for f in to_arrow_schema(schemas.FLAT)}
+    columns = {n: pa.array(c, types[n]) for n, c in zip(_TREE_COLUMNS, zip(*rows))}
+    owner = np.repeat(np.arange(len(counts)), counts)
+    first = np.diff(owner, prepend=-1) > 0
+    for names, values, index in (
+        (_FILE_COLUMNS, units, pa.array(owner)),
+        (_MEASURES, measures, pa.array(owner, mask=~first)),
+    ):
+        for name, column in zip(names, zip(*values)):
+            columns[name] = pa.array(column, types[name]).take(index)
+    return pa.RecordBatch.from_pydict({n: columns[n] for n in schemas.FLAT.names})
 
 
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = to_arrow_schema(schemas.FLAT)
-    pending: list[tuple] = []
-
-    def take() -> pa.RecordBatch:
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*pending), schema)]
-        pending.clear()
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
     # Messages about doubtful escapes in the parsed texts are not ours to print.
     warnings.simplefilter("ignore", SyntaxWarning)
     warnings.simplefilter("ignore", DeprecationWarning)
+    # Syntax trees hold no cycles, so searching them for some is wasted time.
+    gc.disable()
+    rows, units, measures, counts = [], [], [], []
     for batch in batches:
         for i in range(batch.num_rows):
             record = {name: batch.column(name)[i].as_py() for name in _INPUT}
-            for row in _file_rows(record):
-                pending.append(row)
-                if len(pending) >= ROWS_PER_BATCH:
-                    yield take()
-    if pending:
-        yield take()
+            found, measured = _parse(record)
+            rows += found
+            units.append((record["unit"], record["file_path"]))
+            measures.append(measured)
+            counts.append(len(found))
+            if len(rows) >= ROWS_PER_BATCH:
+                yield from _slices(_record_batch(rows, units, measures, counts))
+                rows, units, measures, counts = [], [], [], []
+    if rows:
+        yield from _slices(_record_batch(rows, units, measures, counts))
+    gc.enable()
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch that ends with a very large file leaves the worker in pieces."""
+    for start in range(0, batch.num_rows, 2 * ROWS_PER_BATCH):
+        yield batch.slice(start, 2 * ROWS_PER_BATCH)
 
 
 def prepare(sources: DataFrame) -> DataFrame:
