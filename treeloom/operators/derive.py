@@ -26,6 +26,24 @@ ENTRY_KINDS = (
     "Module",
 )
 
+# What makes up an id, next to the file path.
+_PLACE = ("lineno", "col_offset", "node_type")
+
+
+def _node_id() -> Column:
+    return ids.node_id(
+        F.col("file_path"), F.col("lineno"), F.col("col_offset"), F.col("node_type")
+    )
+
+
+def _parent_id() -> Column:
+    """Null for a node right below the module, which has no position."""
+    kind = F.col("parent_type")
+    return F.when(
+        kind.isNotNull(),
+        ids.node_id(F.col("file_path"), F.col("parent_line"), F.col("parent_col"), kind),
+    )
+
 
 def _no_attrs() -> Column:
     return F.expr("map()").cast("map<string,string>")
@@ -54,14 +72,14 @@ def _edges(
 def ast_nodes(syntax: DataFrame) -> DataFrame:
     """One row per node event. Ids repeat where two nodes of a kind share a start."""
     return syntax.filter(F.col("lineno").isNotNull()).select(
-        "node_id",
+        _node_id().alias("node_id"),
         "file_path",
         "node_type",
         "name",
         "lineno",
         "col_offset",
         "end_lineno",
-        "parent_id",
+        _parent_id().alias("parent_id"),
         "unit",
         _ord(F.col("pre")).alias("ord"),
     )
@@ -71,29 +89,28 @@ def cfg_edges(syntax: DataFrame) -> DataFrame:
     """Statement to next statement, and owner to the first statement of a block."""
     statements = syntax.filter(F.col("block_pre").isNotNull())
     chain = Window.partitionBy("unit", "block_pre").orderBy("block_idx")
-    following = statements.select(
-        "unit",
-        "file_path",
-        "block_pre",
-        "block_idx",
-        "node_id",
-        F.lead("node_id").over(chain).alias("next_id"),
-    ).filter(F.col("next_id").isNotNull())
+    place = F.struct(*_PLACE)
+    following = (
+        statements.select("unit", "file_path", "block_pre", "block_idx", place.alias("here"))
+        .withColumn("next", F.lead("here").over(chain))
+        .filter(F.col("next").isNotNull())
+    )
     sequential = _edges(
         following,
-        F.col("node_id"),
-        F.col("next_id"),
+        ids.node_id(F.col("file_path"), *[F.col(f"here.{c}") for c in _PLACE]),
+        ids.node_id(F.col("file_path"), *[F.col(f"next.{c}") for c in _PLACE]),
         CFG,
         _no_attrs(),
         _ord(0, F.col("block_pre"), 0, F.col("block_idx")),
     )
     entered = statements.filter(
-        (F.col("block_idx") == 0) & F.col("parent_type").isin(*ENTRY_KINDS)
+        (F.col("block_idx") == 0)
+        & F.coalesce("parent_type", F.lit(MODULE)).isin(*ENTRY_KINDS)
     )
     entry = _edges(
         entered,
-        F.coalesce("parent_id", ids.module_id(F.col("file_path"))),
-        F.col("node_id"),
+        F.coalesce(_parent_id(), ids.module_id(F.col("file_path"))),
+        _node_id(),
         CFG,
         _no_attrs(),
         _ord(0, F.col("block_pre"), 1, 0),
@@ -112,7 +129,8 @@ def dfg_edges(syntax: DataFrame) -> DataFrame:
         "unit",
         "file_path",
         "name",
-        "node_id",
+        "lineno",
+        "col_offset",
         "ctx",
         "depth",
         "pre",
@@ -123,14 +141,15 @@ def dfg_edges(syntax: DataFrame) -> DataFrame:
         .orderBy("depth", "pre")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    stored = F.when(F.col("ctx") == "Store", F.col("node_id"))
-    linked = names.withColumn("def_id", F.last(stored, ignorenulls=True).over(before)).filter(
-        (F.col("ctx") == "Load") & F.col("def_id").isNotNull()
+    stored = F.when(F.col("ctx") == "Store", F.struct("lineno", "col_offset"))
+    linked = names.withColumn("def", F.last(stored, ignorenulls=True).over(before)).filter(
+        (F.col("ctx") == "Load") & F.col("def").isNotNull()
     )
+    path, kind = F.col("file_path"), F.lit("Name")
     return _edges(
         linked,
-        F.col("def_id"),
-        F.col("node_id"),
+        ids.node_id(path, F.col("def.lineno"), F.col("def.col_offset"), kind),
+        ids.node_id(path, F.col("lineno"), F.col("col_offset"), kind),
         DFG,
         F.create_map(F.lit("var"), F.col("name")),
         _ord(1, F.col("scope"), F.col("depth"), F.col("pre")),
@@ -139,7 +158,16 @@ def dfg_edges(syntax: DataFrame) -> DataFrame:
 
 def _calls(syntax: DataFrame) -> DataFrame:
     return syntax.filter(F.col("node_type") == "Call").select(
-        "unit", "file_path", "pre", "node_id", "enclosing_id", "callee"
+        "unit",
+        "file_path",
+        "pre",
+        "lineno",
+        "col_offset",
+        "node_type",
+        "callee",
+        "encl_line",
+        "encl_col",
+        "encl_type",
     )
 
 
@@ -147,8 +175,10 @@ def call_edges(syntax: DataFrame) -> DataFrame:
     """Enclosing function or module to each call."""
     return _edges(
         _calls(syntax),
-        F.col("enclosing_id"),
-        F.col("node_id"),
+        ids.node_id(
+            F.col("file_path"), F.col("encl_line"), F.col("encl_col"), F.col("encl_type")
+        ),
+        _node_id(),
         CALL,
         F.create_map(F.lit("callee_name"), F.col("callee")),
         _ord(2, F.col("pre"), 0, 0),
@@ -160,13 +190,13 @@ def resolve_edges(syntax: DataFrame) -> DataFrame:
     definitions = (
         syntax.filter(F.col("node_type").isin(*FUNCTION_KINDS))
         .groupBy("unit", F.col("name").alias("callee"))
-        .agg(F.min_by("node_id", F.struct("depth", "pre")).alias("definition_id"))
+        .agg(F.min_by(F.struct(*_PLACE), F.struct("depth", "pre")).alias("found"))
     )
     named = _calls(syntax).filter(F.col("callee") != "")
     return _edges(
         named.join(definitions, ["unit", "callee"]),
-        F.col("node_id"),
-        F.col("definition_id"),
+        _node_id(),
+        ids.node_id(F.col("file_path"), *[F.col(f"found.{c}") for c in _PLACE]),
         RESOLVES,
         F.create_map(F.lit("callee_name"), F.col("callee")),
         _ord(2, F.col("pre"), 1, 0),

@@ -205,38 +205,8 @@ def flatten(sources: DataFrame) -> DataFrame:
     Rows: every node with a position, a ``Module`` row per parsed file, an error
     row per failed file. Filter ``sources`` first: nothing is pushed through the
     parse. Read by several steps, the result belongs in ``session.stage``.
+
+    Positions stand in for ids, which are hashes of them: small integers store
+    and shuffle far better than hex digits, and most rows never need all ids.
     """
-    flat = prepare(sources).mapInArrow(_flatten_batches, schemas.FLAT)
-    path, kind = F.col("file_path"), F.col("node_type")
-    has_node = kind.isNotNull()
-    return flat.select(
-        "unit",
-        "file_path",
-        "pre",
-        "depth",
-        "node_type",
-        "name",
-        "lineno",
-        "col_offset",
-        "end_lineno",
-        F.when(has_node, ids.node_id(path, F.col("lineno"), F.col("col_offset"), kind)).alias("node_id"),
-        F.when(
-            F.col("parent_type").isNotNull(),
-            ids.node_id(path, F.col("parent_line"), F.col("parent_col"), F.col("parent_type")),
-        ).alias("parent_id"),
-        F.when(has_node, F.coalesce("parent_type", F.lit(MODULE))).alias("parent_type"),
-        F.when(
-            F.col("encl_type").isNotNull(),
-            ids.node_id(path, F.col("encl_line"), F.col("encl_col"), F.col("encl_type")),
-        ).alias("enclosing_id"),
-        "ctx",
-        "callee",
-        "scopes",
-        "block_pre",
-        "block_idx",
-        "file_hash",
-        "size_bytes",
-        "loc",
-        "error_type",
-        "error_message",
-    )
+    return prepare(sources).mapInArrow(_flatten_batches, schemas.FLAT)

@@ -49,22 +49,18 @@ def parent_pairs(nodes: DataFrame) -> DataFrame:
 def vertices(changes: DataFrame, parents: DataFrame, relations: DataFrame) -> DataFrame:
     """One row per id, with the latest properties or, for a mere mention, none.
 
-    A mention has no position and so never wins over an event. Everything meets
-    in one aggregation, and tasks drop repeated mentions before the shuffle.
+    ``parents`` and ``relations`` may repeat rows. Mentions are many and repeat, the module's most of all: tasks drop repeats
+    in a hash aggregation before the shuffle. Both sides then lie by id, so the
+    outer join moves nothing again.
     """
-    properties = [c for c in schemas.VERTEX.names if c != "id"]
-    events = changes.select("id", F.struct(*properties).alias("properties"), "position")
-    mentions = reduce(
-        DataFrame.unionByName,
-        [
-            parents.select(F.col("parent_id").alias("id")),
-            relations.select(F.col("src").alias("id")),
-            relations.select(F.col("dst").alias("id")),
-        ],
+    mentions = (
+        parents.filter(F.col("parent_id").isNotNull())
+        .select(F.col("parent_id").alias("id"))
+        .unionByName(relations.select(F.explode(F.array("src", "dst")).alias("id")))
+        .distinct()
     )
-    both = events.unionByName(mentions, allowMissingColumns=True)
-    newest = both.groupBy("id").agg(F.max_by("properties", "position").alias("properties"))
-    return newest.select("id", "properties.*")
+    newest = latest(changes, ["id"]).drop("position")
+    return newest.join(mentions, "id", "full").select(*schemas.VERTEX.names)
 
 
 def relationships(parents: DataFrame, relations: DataFrame) -> DataFrame:
@@ -81,12 +77,14 @@ def relationships(parents: DataFrame, relations: DataFrame) -> DataFrame:
 
 
 def build_graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices and relationships of decoded node and edge events."""
-    parents = parent_pairs(nodes)
+    """Vertices and relationships of decoded node and edge events.
+
+    Both inputs are read several times, so stage them if they come from JSON.
+    """
     relations = relationship_changes(edges)
     return (
-        vertices(vertex_changes(nodes), parents, relations),
-        relationships(parents, relations),
+        vertices(vertex_changes(nodes), nodes, relations),
+        relationships(parent_pairs(nodes), relations),
     )
 
 

@@ -81,8 +81,10 @@ def routines_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     def build() -> tuple[DataFrame, DataFrame]:
         log = routines_log(spark, sf_dir)
         vertices, relations = graph.build_graph(
-            envelope.decode(eventlog.read(spark, log, "nodes"), "nodes"),
-            envelope.decode(eventlog.read(spark, log, "edges"), "edges"),
+            *[
+                stage(envelope.decode(eventlog.read(spark, log, kind), kind), kind)
+                for kind in ("nodes", "edges")
+            ]
         )
         return stage(vertices, "vertices"), stage(relations, "relations")
 
