@@ -89,16 +89,15 @@ def cfg_edges(syntax: DataFrame) -> DataFrame:
     """Statement to next statement, and owner to the first statement of a block."""
     statements = syntax.filter(F.col("block_pre").isNotNull())
     chain = Window.partitionBy("unit", "block_pre").orderBy("block_idx")
-    place = F.struct(*_PLACE)
     following = (
-        statements.select("unit", "file_path", "block_pre", "block_idx", place.alias("here"))
+        statements.select("unit", "file_path", "block_pre", "block_idx", _node_id().alias("here"))
         .withColumn("next", F.lead("here").over(chain))
         .filter(F.col("next").isNotNull())
     )
     sequential = _edges(
         following,
-        ids.node_id(F.col("file_path"), *[F.col(f"here.{c}") for c in _PLACE]),
-        ids.node_id(F.col("file_path"), *[F.col(f"next.{c}") for c in _PLACE]),
+        F.col("here"),
+        F.col("next"),
         CFG,
         _no_attrs(),
         _ord(0, F.col("block_pre"), 0, F.col("block_idx")),

@@ -51,44 +51,15 @@ def first_per_flag(files: DataFrame, n: int = SHOWN_PER_FLAG) -> DataFrame:
     )
 
 
-def summary(files: DataFrame) -> DataFrame:
-    """All of the above in one row; the map keeps the order of ``top_dirs``.
+def write_summary(files: DataFrame, path: str) -> None:
+    """Totals, folders and largest files as JSON, in a folder each.
 
-    The folder rows are collected inside Spark; their number is that of the
-    entries at the root of one tree.
+    There may be as many first components as files, so the folders stay rows
+    and are not gathered into one value.
     """
-    dirs = (
-        files.groupBy(paths.top_dir(F.col("rel_path")).alias("top_dir"))
-        .agg(F.count(F.lit(1)).alias("files"), F.min("rel_path").alias("first_path"))
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct((-F.col("files")).alias("less"), "first_path", "top_dir", "files")
-                )
-            ).alias("ranked")
-        )
-        .select(
-            F.map_from_entries(
-                F.transform("ranked", lambda d: F.struct(d["top_dir"], d["files"]))
-            ).alias("by_top_level_dir")
-        )
-    )
-    biggest = largest(files).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct((-F.col("size_bytes")).alias("less"), "rel_path", "size_bytes", "excluded")
-            )
-        ).alias("ranked")
-    ).select(
-        F.transform(
-            "ranked", lambda f: F.struct(f["rel_path"], f["size_bytes"], f["excluded"])
-        ).alias("largest_files")
-    )
-    key = F.lit(1).alias("k")
-    return (
-        totals(files)
-        .select("*", key)
-        .join(dirs.select("*", key), "k")
-        .join(biggest.select("*", key), "k")
-        .drop("k")
-    )
+    for name, part in {
+        "totals": totals(files),
+        "top_dirs": top_dirs(files),
+        "largest": largest(files),
+    }.items():
+        part.write.mode("overwrite").json(f"{path}/{name}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from treeloom import schemas
 from treeloom.functions import ids
 from treeloom.operators.upsert import latest
+from treeloom.session import stage
 
 # Relationship types that edge events may create, and the tree one.
 EVENT_RELATIONSHIPS = ("CFG", "DFG", "CALL", "CALL_RESOLVES_TO")
@@ -126,7 +127,8 @@ def paths(
 
     A path may meet a vertex again but uses no relationship twice. ``nodes`` and
     ``rels`` hold the vertex ids and the relationship keys along the path. Each
-    hop is one join on the vertex reached so far.
+    hop is one join on the vertex reached so far, and is written down so that the
+    next hop does not repeat the ones before it.
     """
     step = relations.filter(F.col("type") == rel_type).select(
         F.col("src").alias("at"),
@@ -149,6 +151,8 @@ def paths(
                 F.array_append("rels", F.col("rel")).alias("rels"),
             )
         )
+        if hops < max_hops:
+            reached = stage(reached, "paths")
         if hops >= min_hops:
             found.append(reached.select(F.lit(hops).alias("hops"), "nodes", "rels"))
     return reduce(DataFrame.unionByName, found)

@@ -7,16 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Edges and names of a text shuffle to roughly the size of the text.
+SHUFFLE_BYTES = 128 << 20
+
 _local_root: dict[str, str] = {}
 
 
 def build_session(
-    app_name: str = "treeloom", master: str | None = None, conf: dict[str, str] | None = None
+    app_name: str = "treeloom",
+    master: str | None = None,
+    conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """A session with the settings the jobs are written for.
 
     Small Arrow batches bound what a Python worker holds at once: source texts
-    are large values, so the row count of a batch has to be low.
+    are large values, so the row count of a batch has to be low. ``input_bytes``,
+    the size of the texts to parse, sets how many partitions shuffles start from;
+    adaptive execution joins those that turn out small.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -25,6 +33,11 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
+    if input_bytes:
+        partitions = max(200, -(-input_bytes // SHUFFLE_BYTES))
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     if master:
         builder = builder.master(master)
     for key, value in (conf or {}).items():

@@ -21,6 +21,7 @@ from treeloom.session import stage
 _ENTRY = "rel_path STRING, size_bytes BIGINT, is_folder BOOLEAN"
 ROWS_PER_FRAME = 10_000
 BYTES_PER_FRAME = 64 << 20
+BYTES_PER_TASK = 256 << 20
 
 
 def _open_root(root: str) -> tuple[fs.FileSystem, str]:
@@ -110,13 +111,15 @@ def _read_files(root: str, prefix: str):
 def read_sources(targets: DataFrame, root: str, repository: str) -> DataFrame:
     """Contents of the listed files under their logical paths.
 
-    Only the short listing rows are shuffled, to spread the reading; a file that
-    cannot be read gives a row with the reason.
+    Only the short listing rows are shuffled, to spread the reading over tasks of
+    a bounded share of the bytes; a file that cannot be read gives a row with the
+    reason.
     """
-    spark = targets.sparkSession
+    cores = targets.sparkSession.sparkContext.defaultParallelism
+    total = targets.agg(F.sum("size_bytes")).first()[0] or 0
     return (
         targets.select("rel_path")
-        .repartition(spark.sparkContext.defaultParallelism * 4)
+        .repartition(max(4 * cores, -(-total // BYTES_PER_TASK)))
         .mapInPandas(_read_files(root, repository), schemas.SOURCE)
     )
 

@@ -117,18 +117,23 @@ def discovery_first_per_flag(spark, sf_dir):
 
 
 def discovery_summary(spark, sf_dir):
-    """The one-row summary, its map and array unfolded for comparison."""
-    row = discovery.summary(sources.ledger_listing(spark, sf_dir))
-    dirs = row.select(F.posexplode(F.map_entries("by_top_level_dir")).alias("rank", "entry")).select(
-        F.lit("dir").alias("part"), "rank", F.col("entry.key").alias("item"), F.col("entry.value").alias("amount")
-    )
-    big = row.select(F.posexplode("largest_files").alias("rank", "entry")).select(
-        F.lit("file").alias("part"), "rank", F.col("entry.rel_path").alias("item"), F.col("entry.size_bytes").alias("amount")
-    )
-    total = row.select(
-        F.lit("total").alias("part"), F.lit(0).alias("rank"), F.lit("files").alias("item"), F.col("total_py_files").alias("amount")
+    """The three parts of the summary as they were written and read again."""
+    path = staging_path(spark, "summary")
+    discovery.write_summary(sources.ledger_listing(spark, sf_dir), path)
+
+    def part(name: str, schema: str, item: Column, amount: Column) -> DataFrame:
+        rows = spark.read.schema(schema).json(f"{path}/{name}")
+        return rows.select(F.lit(name).alias("part"), item.alias("item"), amount.alias("amount"))
+
+    counts = "total_py_files BIGINT, included_files BIGINT, excluded_files BIGINT, total_size_bytes BIGINT"
+    return (
+        part("top_dirs", "top_dir STRING, files BIGINT", F.col("top_dir"), F.col("files"))
+        .unionByName(
+            part("largest", "rel_path STRING, size_bytes BIGINT", F.col("rel_path"), F.col("size_bytes"))
+        )
+        .unionByName(part("totals", counts, F.lit("files"), F.col("total_py_files")))
+        .unionByName(part("totals", counts, F.lit("bytes"), F.col("total_size_bytes")))
     )
-    return dirs.unionByName(big).unionByName(total)
 
 
 def exclusion_reasons(spark, sf_dir):

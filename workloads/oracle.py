@@ -370,12 +370,12 @@ def oracle_sql() -> dict[str, str]:
             else '[name match]' end end as reason
           from listing qualify position <= 5""",
         "discovery_summary": f"""{_LISTING}
-          select 'dir' as part, cast(row_number() over (order by files desc, first_path) - 1 as int) as rank,
-            top_dir as item, files as amount from ({top_dirs})
+          select 'top_dirs' as part, top_dir as item, files as amount from ({top_dirs})
           union all
-          select 'file', cast(row_number() over (order by size_bytes desc, rel_path) - 1 as int), rel_path, size_bytes
+          select 'largest', rel_path, size_bytes
             from (select * from listing order by size_bytes desc, rel_path limit 5)
-          union all select 'total', 0, 'files', count(*) from listing""",
+          union all select 'totals', 'files', count(*) from listing
+          union all select 'totals', 'bytes', cast(sum(size_bytes) as bigint) from listing""",
         "exclusion_reasons": f"""{_LISTING} select rel_path, excluded,
           case when contains(lower(rel_path), 'test') then '[test dir]' else '[name match]' end as reason,
           case when length(rel_path) > 24 then '...' || right(rel_path, 21) else rel_path end as short_path
