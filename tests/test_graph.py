@@ -109,6 +109,28 @@ def test_published_lag(spark):
     assert got[None].progress == 31.4
 
 
+def test_broker_offsets(spark):
+    class Source:
+        endOffset = '{"cpg.nodes":{"0":46008,"1":48858}}'
+        latestOffset = '{"cpg.nodes":{"0":153518,"1":153504}}'
+
+    class Progress:
+        sources = [Source]
+
+    offsets = reports.broker_offsets(spark, [None, Progress], "cpg.nodes")
+    lag = reports.consumer_lag(offsets.select("partition", "log_end"), offsets.drop("log_end"))
+    assert {r.partition: r.lag for r in lag.collect()} == {0: 107510, 1: 104646, None: 212156}
+
+
+def test_first_samples(spark):
+    parsed = parse(spark, {"r/a.py": "x = 1\ndef f():\n    return x\nf()\n", "r/b.py": "y\n"})
+    got = {r.file_path: r for r in reports.samples(parsed.nodes, parsed.edges).collect()}
+    assert (got["r/a.py"].node.node_type, got["r/a.py"].node.name) == ("FunctionDef", "f")
+    assert got["r/a.py"].call_edge.attrs == {"callee_name": "f"}
+    assert got["r/b.py"].node.node_type == "Expr"
+    assert got["r/b.py"].cfg_edge is not None and got["r/b.py"].dfg_edge is None
+
+
 def test_labels(spark):
     rows = [(10, 39), (10, 40), (150, 50), (500, 100), (0, 0)]
     df = spark.createDataFrame(rows, "n bigint, e bigint")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from treeloom.functions import paths
+from treeloom.operators.reports import write_report
 
 LARGEST = 5
 SHOWN_PER_FLAG = 5
@@ -57,9 +58,6 @@ def write_summary(files: DataFrame, path: str) -> None:
     There may be as many first components as files, so the folders stay rows
     and are not gathered into one value.
     """
-    for name, part in {
-        "totals": totals(files),
-        "top_dirs": top_dirs(files),
-        "largest": largest(files),
-    }.items():
-        part.write.mode("overwrite").json(f"{path}/{name}")
+    write_report(
+        {"totals": totals(files), "top_dirs": top_dirs(files), "largest": largest(files)}, path
+    )

@@ -55,6 +55,24 @@ def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
+def broker_offsets(spark: SparkSession, progress: list, topic: str) -> DataFrame:
+    """Committed and last offset per partition of a broker topic.
+
+    Read from the JSON a streaming query reports about its last batch, which has
+    one short entry per partition.
+    """
+    rows = [(s.endOffset, s.latestOffset) for p in progress[-1:] for s in p.sources]
+    offsets = "map<string, map<string, bigint>>"
+    reported = spark.createDataFrame(rows, "committed STRING, latest STRING").select(
+        *[F.from_json(c, offsets)[topic].alias(c) for c in ("committed", "latest")]
+    )
+    return reported.select(F.explode("latest").alias("partition", "log_end"), "committed").select(
+        F.col("partition").cast("int").alias("partition"),
+        F.col("committed")[F.col("partition")].alias("current_offset"),
+        "log_end",
+    )
+
+
 def stream_progress(spark: SparkSession, progress: list) -> DataFrame:
     """Batches of a streaming query as rows, from ``query.recentProgress``."""
     rows = [
@@ -130,3 +148,9 @@ def samples(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         first("CALL").alias("call_edge"),
     )
     return picked.join(linked, "file_path", "left")
+
+
+def write_report(parts: dict[str, DataFrame], path: str) -> None:
+    """Named results as JSON, a folder each."""
+    for name, part in parts.items():
+        part.write.mode("overwrite").json(f"{path}/{name}")

@@ -21,9 +21,8 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the jobs are written for.
 
-    Small Arrow batches bound what a Python worker holds at once: source texts
-    are large values, so the row count of a batch has to be low. ``input_bytes``,
-    the size of the texts to parse, sets how many partitions shuffles start from;
+    Arrow batches are bounded by bytes, because source texts are large values
+    and a Python worker holds one batch at a time. ``input_bytes``, the size of the texts to parse, sets how many partitions shuffles start from;
     adaptive execution joins those that turn out small.
     """
     builder = (
@@ -31,7 +30,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
     )
     if input_bytes:
         partitions = max(200, -(-input_bytes // SHUFFLE_BYTES))
