@@ -143,5 +143,6 @@ def test_messages_on_the_wire(spark, tree, tmp_path):
     assert {e["edge_type"]: e["attrs"] for e in edges} == {"CFG": {}, "DFG": {"var": "y"}}
     metadata = json.loads(eventlog.read(spark, log, "metadata").first().value)
     assert metadata["_key"] == metadata["file_path"] == "repo/src/pkg/latest.py"
+    assert eventlog.read(spark, log, "errors").count() == 0
     decoded = envelope.decode(eventlog.read(spark, log, "metadata"), "metadata").first()
     assert decoded.num_nodes == metadata["num_nodes"] and "_key" not in decoded.asDict()

@@ -102,6 +102,7 @@ def run(
         moment = F.timestamp_micros(F.lit(now))
     targets = files.select_targets(listing, single_file, limit)
     parsed = parse(files.read_sources(targets, root, repository))
+    eventlog.create_topics(spark, log_path)
     eventlog.append(parsed.events(moment), log_path)
     if manifest_path:
         micros = spark.range(1).select(F.unix_micros(moment)).first()[0]

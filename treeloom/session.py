@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 SHUFFLE_BYTES = 128 << 20
 
 _local_root: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(
@@ -44,6 +47,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of a session that lacks it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="treeloom-package-")) / package.name
+    archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

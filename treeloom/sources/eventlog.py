@@ -28,6 +28,13 @@ def to_events(df: DataFrame, kind: str, event_time: Column) -> DataFrame:
     )
 
 
+def create_topics(spark: SparkSession, path: str) -> None:
+    """Empty folders for the topics a file log does not have yet."""
+    schema, _ = _log_columns("nodes")
+    for topic in envelope.TOPIC.values():
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/topic={topic}")
+
+
 def append(events: DataFrame, path: str) -> None:
     """Add events to a file log, one folder per topic."""
     events.write.mode("append").partitionBy("topic").parquet(path)
