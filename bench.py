@@ -41,7 +41,10 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.range(1000).groupBy("id").count().write.format("noop").mode("overwrite").save()
+    # Start the Python workers, which otherwise happens inside the first query.
+    spark.range(1000).mapInArrow(lambda batches: batches, "id BIGINT").write.format("noop").mode(
+        "overwrite"
+    ).save()
 
     seconds: dict[str, float] = {}
 

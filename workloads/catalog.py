@@ -287,6 +287,21 @@ def manifest_upsert(spark, sf_dir):
     )
 
 
+def manifest_saved(spark, sf_dir):
+    """The same manifest, saved after each run and once more after the first."""
+    path = staging_path(spark, "manifest")
+    for run_id, name, moment in (
+        (1, "routines", FIRST_RUN),
+        (2, "routines_again", SECOND_RUN),
+        (1, "routines", FIRST_RUN),
+    ):
+        rows = batch.manifest_rows(
+            parsed(spark, sf_dir, name).metadata, sources.REPOSITORY, _instant(moment)
+        )
+        batch.save_manifest(rows, path, run_id)
+    return batch.load_manifest(spark, path)
+
+
 # --- events -----------------------------------------------------------------
 
 
@@ -426,6 +441,27 @@ def relationship_merge(spark, sf_dir):
     return graph.relationships(nothing, changes).drop("file_path")
 
 
+def moved_vertices(spark, sf_dir):
+    """Vertices after the files of customers in debt moved down by one line.
+
+    Their new positions are new vertices; those at the old positions stay.
+    """
+    moved = stage(flatten(sources.routines_moved(spark, sf_dir)), "syntax")
+    linked = stage(derive.all_edges(moved), "edges")
+    second = batch.Parsed(
+        derive.ast_nodes(moved), linked, derive.file_metadata(moved, linked), derive.parse_errors(moved)
+    )
+    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN)).unionByName(
+        second.events(_instant(SECOND_RUN))
+    )
+    return graph.build_graph(
+        *[
+            stage(envelope.decode(events.filter(F.col("topic") == envelope.TOPIC[kind]), kind), kind)
+            for kind in ("nodes", "edges")
+        ]
+    )[0]
+
+
 def relationship_counts(spark, sf_dir):
     return graph.relationship_counts(routines_graph(spark, sf_dir)[1])
 
@@ -573,6 +609,36 @@ def replay_counts(spark, sf_dir):
     )
 
 
+def document_by_id(spark, sf_dir):
+    target, _ = _resumed(spark, sf_dir)
+    return document_stream.document(spark, target, f"{sources.REPOSITORY}/routines/0.py")
+
+
+def stream_rejects(spark, sf_dir):
+    """Documents of a topic in which all prose stands among the events as well."""
+    log, target, rejects = (staging_path(spark, n) for n in ("log", "documents", "rejects"))
+    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN))
+    eventlog.append(events.filter(F.col("topic") == envelope.TOPIC["metadata"]), log)
+    prose = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("key"),
+        F.col("text").alias("value"),
+        F.lit(0).alias("partition"),
+        _instant(SECOND_RUN).alias("timestamp"),
+        F.array(F.col("doc_id")).alias("position"),
+        F.lit(envelope.TOPIC["metadata"]).alias("topic"),
+    )
+    eventlog.append(prose, log)
+    document_stream.write_documents(
+        eventlog.stream(spark, log, "metadata"), target, staging_path(spark, "checkpoint"), rejects=rejects
+    ).awaitTermination()
+    kept = document_stream.documents(spark, target)
+    texts = T.StructType([T.StructField("value", T.StringType())])
+    refused = upsert.read_changes(spark, rejects, texts)
+    return kept.select(F.lit("document").alias("part"), F.col("_id").alias("item")).unionByName(
+        refused.select(F.lit("reject").alias("part"), F.sha2("value", 256).alias("item"))
+    )
+
+
 def _streamed_graph(spark, sf_dir):
     def build():
         log, store = routines_log(spark, sf_dir), staging_path(spark, "graph")
@@ -604,14 +670,15 @@ def queries() -> dict[str, Query]:
         "edge_union", "edge_counts",
         "file_metadata", "file_metadata_calls", "file_metadata_texts", "parse_errors",
         "run_summary", "run_rates", "batch_table", "samples", "manifest_upsert",
+        "manifest_saved",
         "node_events", "edge_events", "metadata_events", "error_events", "event_keys",
         "topic_counts", "consumer_lag",
         "vertices", "relationships", "stub_vertices", "unknown_edge_types", "vertex_merge",
-        "relationship_merge", "relationship_counts", "graph_totals", "type_histogram",
+        "relationship_merge", "moved_vertices", "relationship_counts", "graph_totals", "type_histogram",
         "type_histogram_with_null", "node_type_counts", "named_definitions",
         "named_definitions_all", "call_paths", "call_paths_first", "subtree_paths",
         "subtree_paths_first", "dataflow_paths", "region_paths",
-        "stream_documents", "stream_resume", "stream_resumed_documents", "replay_counts",
+        "stream_documents", "document_by_id", "stream_rejects", "stream_resume", "stream_resumed_documents", "replay_counts",
         "stream_vertices", "stream_relationships",
     ]
     return {name: globals()[name] for name in names}

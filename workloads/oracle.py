@@ -144,6 +144,16 @@ ROUTINES = Template(
     ],
 )
 
+# The same program below one more line, for customers in debt.
+MOVED = Template(
+    ROUTINES.src + " where c_acctbal < 0",
+    [
+        (tag, kind, name, line + 1, col, end + 1, parent)
+        for tag, kind, name, line, col, end, parent in ROUTINES.nodes
+    ],
+    ROUTINES.edges,
+)
+
 # --- branches: statements and names only, all lines moved down by o ---------
 
 _STATEMENTS = {
@@ -425,6 +435,10 @@ def oracle_sql() -> dict[str, str]:
           sha256(text) as file_hash, cast({_ROUTINES_COUNTS[2]} as bigint) as num_nodes,
           cast({_ROUTINES_COUNTS[3]} as bigint) as num_edges, epoch::double as last_processed
           from run qualify row_number() over (partition by file order by run desc) = 1""",
+        "manifest_saved": f"""{ROUTINES.with_(_RUNS)} select replace(file, '{REPO}/', '') as rel_path,
+          sha256(text) as file_hash, cast({_ROUTINES_COUNTS[2]} as bigint) as num_nodes,
+          cast({_ROUTINES_COUNTS[3]} as bigint) as num_edges, epoch::double as last_processed
+          from run qualify row_number() over (partition by file order by run desc) = 1""",
         "node_events": f"""{ROUTINES.with_(_RUNS, _NODE)} select {event_head}, 'node' as event_type,
           node.* exclude (rank) from node join run on file = file_path""",
         "edge_events": f"""{ROUTINES.with_(_RUNS, _EDGE)} select {event_head}, 'edge' as event_type, {edge_columns},
@@ -464,6 +478,15 @@ def oracle_sql() -> dict[str, str]:
             'e' || l_orderkey as edge_id, cast(l_linenumber as varchar) as event_time from lineitem
           qualify row_number() over (partition by l_suppkey, l_partkey order by l_shipdate desc,
             l_orderkey desc, l_linenumber desc, floor(l_extendedprice * 100) desc) = 1""",
+        "moved_vertices": f"""with src as materialized ({ROUTINES.src}), node as (
+            select *, '{T1}' as event_time from ({ROUTINES.node_sql()})
+            union all
+            select *, '{T2}' as event_time from (with src as ({MOVED.src}) {MOVED.node_sql()}))
+          select node_id as id, file_path, node_type, name, lineno, col_offset, end_lineno, parent_id,
+            '1.0' as schema_version, event_time from node
+          qualify row_number() over (partition by node_id order by event_time desc, rank desc) = 1
+          union all
+          select {MODULE}, null, null, null, null, null, null, null, null, null from src""",
         "relationship_counts": f"""{_GRAPH} select type, count(*) as relationships from rel group by 1
           union all select null, count(*) from rel""",
         "graph_totals": f"""{_GRAPH} select count(*) as vertices,
@@ -495,6 +518,9 @@ def oracle_sql() -> dict[str, str]:
             3,
         ),
         "stream_documents": _LATEST_DOCUMENT,
+        "document_by_id": f"{_LATEST_DOCUMENT} and _id = '{REPO}/routines/0.py'",
+        "stream_rejects": f"""select 'document' as part, '{REPO}/routines/' || c_custkey || '.py' as item from customer
+          union all select 'reject', sha256(text) from documents""",
         "stream_resume": """select cast(0 as bigint) as batch_id, count(*) as input_rows from customer
           union all select 1, count(*) from customer where c_acctbal < 0""",
         "stream_resumed_documents": _LATEST_DOCUMENT,

@@ -95,7 +95,7 @@ f_<key>(<key>)
 """
 
 
-def routines_rows(customers: DataFrame, tail: Column | None = None) -> DataFrame:
+def routines_rows(customers: DataFrame, head: str = "", tail: str = "") -> DataFrame:
     path = F.concat(F.lit(f"{REPOSITORY}/routines/"), F.col("c_custkey").cast("string"), F.lit(".py"))
     text = _fill(
         ROUTINES,
@@ -105,19 +105,25 @@ def routines_rows(customers: DataFrame, tail: Column | None = None) -> DataFrame
             "segment": F.col("c_mktsegment"),
         },
     )
-    return files.sources_from_text(
-        customers, path, text if tail is None else F.concat(text, tail)
-    )
+    return files.sources_from_text(customers, path, F.concat(F.lit(head), text, F.lit(tail)))
 
 
 def routines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routines_rows(table(spark, sf_dir, "customer"))
 
 
+def _debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
+
+
 def routines_again(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in debt again, each with a remark of its balance at the end."""
-    debtors = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
-    return routines_rows(debtors, F.lit("# in debt\n"))
+    """Customers in debt again, each with a remark at the end, which moves nothing."""
+    return routines_rows(_debtors(spark, sf_dir), tail="# in debt\n")
+
+
+def routines_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in debt again, each with a remark at the start."""
+    return routines_rows(_debtors(spark, sf_dir), head="# in debt\n")
 
 
 # --- branches: every kind of block, moved down by the order's priority ------
