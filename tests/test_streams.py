@@ -95,6 +95,16 @@ def test_streamed_graph_equals_batch_graph(spark, log, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
+def test_graph_before_the_node_stream(spark, log, tmp_path):
+    store = str(tmp_path / "graph")
+    stream = eventlog.stream(spark, log, "edges")
+    graphs.write_edges(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
+    vertices, relations = graphs.read_graph(spark, store)
+    assert vertices.filter("node_type is not null").count() == 0
+    ends = {i for r in relations.collect() for i in (r.src, r.dst)}
+    assert {r.id for r in vertices.collect()} == ends
+
+
 def test_long_lived_trigger(spark, log, tmp_path):
     query = documents.write_documents(
         eventlog.stream(spark, log, "metadata"),

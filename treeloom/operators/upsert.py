@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,14 @@ def write_changes(df: DataFrame, path: str, feed: str, batch_id: int) -> None:
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All changes; a table nobody has written to yet has none."""
     columns = T.StructType([*schema.fields, schemas.POSITION])
-    return spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(path)
+    try:
+        return spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], columns)
 
 
 def read_latest(
