@@ -28,7 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_substring_dedup": """
         WITH w AS (
-          SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS words
+          SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
           FROM documents),
         s AS (
           SELECT doc_id, unnest(range(1, len(words) - 48)) AS start, words FROM w WHERE len(words) >= 50),
@@ -41,7 +41,7 @@ SQL: dict[str, str] = {
         k AS (
           SELECT w.doc_id, words, coalesce(gone, []) AS gone,
             CASE WHEN gone IS NULL THEN words
-                 ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), x -> NOT list_contains(gone, x[2])), x -> x[1])
+                 ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1])
             END AS kept
           FROM w LEFT JOIN g USING (doc_id))
         SELECT doc_id, len(words)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
