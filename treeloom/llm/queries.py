@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import simhash, substrings
+from treeloom.llm import language, simhash, substrings
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -25,9 +25,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def fold(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three folds of four."""
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(fold(4) != 2))
+    docs = docs.select("doc_id", "text", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"))
+    found = language.with_language(docs, model, "found")
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.coverage")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op5_language_id, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
