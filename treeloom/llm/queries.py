@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import language, simhash, substrings
+from treeloom.llm import contamination, language, simhash, substrings
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -39,9 +39,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.coverage")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they leak."""
+    return contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op5_language_id, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op5_language_id, op7_benchmark_decontamination, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
