@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, simhash, substrings
+from treeloom.llm import contamination, language, mixing, simhash, substrings
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -44,9 +44,15 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mixture of the sources."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op5_language_id, op7_benchmark_decontamination, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op5_language_id, op7_benchmark_decontamination, op8_source_mixing, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
