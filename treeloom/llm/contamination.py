@@ -240,3 +240,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     found = with_leaks(rows, benchmark, "leaks")
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that leak no item, with all their columns."""
+    name = "_leaks"
+    while name in docs.columns:
+        name += "_"
+    return with_leaks(docs, benchmark, name, text_col).filter(F.size(name) == 0).drop(name)

@@ -34,6 +34,9 @@ HASHES = 2
 SHARE = 0.05
 LEAST = 2
 
+#: A text of which the best language contains less than this is in none of them.
+COVERAGE = 0.25
+
 NONE = "und"
 BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
@@ -204,3 +207,12 @@ def with_language(docs: DataFrame, model: Filter, name: str, text_col: str = "te
             )
 
     return docs.withColumn(name, identify(F.col(f"`{text_col}`").cast("string")))
+
+
+def keep_known(docs: DataFrame, model: Filter, text_col: str = "text", least: float = COVERAGE) -> DataFrame:
+    """Rows of ``docs`` whose language is known and contains at least ``least`` of their n-grams."""
+    name = "_language"
+    while name in docs.columns:
+        name += "_"
+    found = with_language(docs, model, name, text_col)
+    return found.filter((F.col(f"{name}.lang") != NONE) & (F.col(f"{name}.coverage") >= least)).drop(name)

@@ -16,7 +16,7 @@ WHITE = r"[ \t\n\x0B\f\r]+"
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that no 50-word window of a smaller id covers."""
     kept = substrings.remove_repeats(read(spark, sf_dir, "documents"))
-    spaced = F.trim(F.regexp_replace("kept_text", WHITE, " "))
+    spaced = F.trim(F.regexp_replace(F.coalesce("kept_text", F.lit("")), WHITE, " "))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(spaced, 256).alias("kept_sha256"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeloom.llm import words as W
-from treeloom.llm.tables import chunks, public_id, texts
+from treeloom.llm.tables import chunks, order_id
 
 SIZE = 50
 PERIOD = 31
@@ -37,9 +37,7 @@ _WINDOWS = pa.schema(
     [("key", pa.int64()), ("key2", pa.int64()), ("did", pa.int64()), ("tid", pa.int32()),
      ("start", pa.int32()), ("n", pa.int32()), ("known", pa.bool_())]
 )
-_KEPT = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
-)
+_COUNTS = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
 
 
 def _groups(*keys: np.ndarray) -> np.ndarray:
@@ -80,11 +78,11 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Known ones need no other task; they get a key of their own, and one goes on for others.
         sent = known & (did == least) & np.append(True, key[1:] != key[:-1])
         own = W.mix(did.view(np.uint64) * np.uint64(1 << 21) + pos.astype(np.uint64)).view(np.int64)
-        yield pa.record_batch(
-            [np.append(np.where(known, own, key), key[sent]), np.append(did, did[sent]),
-             np.append(pos, np.full(sent.sum(), -1, np.int32)), np.append(known, np.zeros(sent.sum(), bool))],
-            schema=_ANCHORS,
-        )
+        key, did = np.append(np.where(known, own, key), key[sent]), np.append(did, did[sent])
+        pos = np.append(pos, np.full(sent.sum(), -1, np.int32))
+        known = np.append(known, np.zeros(sent.sum(), bool))
+        order = np.lexsort((pos, did))  # equal ids next to each other compress
+        yield pa.record_batch([x[order] for x in (key, did, pos, known)], schema=_ANCHORS)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,23 +113,17 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, key2, did, tid, start = (x[order] for x in (key, key2, did, tid, start))
         least, _ = _shared(_groups(key, key2), did)
         known = did > least
-        # What goes already is passed on as runs of window starts.
-        order = np.lexsort((start[known], tid[known], did[known]))
-        d, t, s = did[known][order], tid[known][order], start[known][order]
-        new = np.ones(len(s), bool)
-        new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)
+        # Rows go out in the order of their texts, which lets equal ids compress. Starts that follow
+        # each other are one row where the window is the same, or if they go anyway.
+        order = np.lexsort((start, tid, did, known))
+        key, key2, did, tid, start, known = (x[order] for x in (key, key2, did, tid, start, known))
+        key = np.where(known, W.mix(did.view(np.uint64) * np.uint64(1 << 21) + start.astype(np.uint64)).view(np.int64), key)
+        new = np.ones(len(start), bool)
+        new[1:] = (known[1:] != known[:-1]) | (did[1:] != did[:-1]) | (tid[1:] != tid[:-1]) | (start[1:] > start[:-1] + 1)
+        new[1:] |= ~known[1:] & ((key[1:] != key[:-1]) | (key2[1:] != key2[:-1]))
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(s)) - 1
-        n = (s[tail] - s[head] + 1).astype(np.int32)
-        open_ = ~known
-        own = W.mix(d[head].view(np.uint64) * np.uint64(1 << 21) + s[head].astype(np.uint64)).view(np.int64)
-        yield pa.record_batch(
-            [np.append(key[open_], own), np.append(key2[open_], t[head].astype(np.int64)),
-             np.append(did[open_], d[head]), np.append(tid[open_], t[head]).astype(np.int32),
-             np.append(start[open_], s[head]).astype(np.int32),
-             np.append(np.ones(open_.sum(), np.int32), n), np.append(np.zeros(open_.sum(), bool), np.ones(len(head), bool))],
-            schema=_WINDOWS,
-        )
+        n = (start[np.append(head[1:], len(start)) - 1] - start[head] + 1).astype(np.int32) if len(head) else start
+        yield pa.record_batch([key[head], key2[head], did[head], tid[head], start[head], n, known[head]], schema=_WINDOWS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +136,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row, runs in enumerate(part.column("gone").to_pylist()):
                 runs = [r for r in runs or () if r["tid"] == tids[row]]
                 if not runs:
-                    kept[row] = kept[row] or ""
                     continue
                 first, n = words.first[row], words.counts[row]
                 edge = np.zeros(n + 1, np.int64)
@@ -160,23 +151,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lengths = reach - starts
                 kept[row] = data[starts[0] :][np.repeat(~gone, lengths)].tobytes().decode("utf-8", "replace")
             yield pa.record_batch(
-                [part.column("doc_id"), pa.array(words.counts.astype(np.int64)), pa.array(removed), pa.array(kept, pa.string())],
-                schema=_KEPT,
+                [part.column("doc"), pa.array(words.counts.astype(np.int64)), pa.array(removed), pa.array(kept, pa.string())],
+                schema=pa.schema([part.schema.field("doc"), *_COUNTS]),
             )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_text`` for every row of ``docs``.
-
-    Words are runs of bytes other than ASCII white space, unchanged. kept_text has the kept
-    words and the white space after each, so equal to the text where nothing goes. Null and
-    empty texts have no words and an empty kept_text. Rows without an id come after all others
-    and have no smaller or larger one among themselves; rows that share an id never remove
-    from each other. Other columns are not read, whatever their names.
-    """
-    source = texts(docs, id_col, text_col).select(
-        "did", F.hash("text").alias("tid"), F.col("text"), F.col("did").alias("doc_id")
-    )
+def _repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc`` (the row's columns but the text, as they are), ``n_words, n_removed, kept_text``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    source = docs.select(
+        order_id(id_col).alias("did"), F.hash(F.col(f"`{text_col}`").cast("string")).alias("tid"),
+        F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*others).alias("doc"),
+    )
     anchors = source.select("did", "text").mapInArrow(_anchors, "key long, did long, pos int, known boolean")
     same = Window.partitionBy("key")
     marks = (
@@ -195,7 +181,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("did")
         .agg(F.collect_list(F.struct("tid", "start", "n")).alias("gone"))
     )
-    kept = source.join(gone, "did", "left").mapInArrow(
-        _cut, "doc_id long, n_words long, n_removed long, kept_text string"
+    doc = source.schema["doc"].dataType.simpleString()
+    return source.join(gone, "did", "left").mapInArrow(
+        _cut, f"doc {doc}, n_words long, n_removed long, kept_text string"
     )
-    return kept.withColumn("doc_id", public_id("doc_id"))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_text`` for every row of ``docs``.
+
+    Words are runs of bytes other than ASCII white space, unchanged. kept_text has the kept
+    words and the white space after each, so equal to the text where nothing goes. Null and
+    empty texts have no words and come back as they are. Rows without an id come after all others
+    and have no smaller or larger one among themselves; rows that share an id never remove
+    from each other. Other columns are not read, whatever their names.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return _repeats(rows, "doc_id", "text").select("doc.doc_id", "n_words", "n_removed", "kept_text")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the kept text in place of the text, without rows that lose every word.
+
+    All other columns come back as they are; texts that lose nothing do so too, null ones as null.
+    """
+    found = _repeats(docs, id_col, text_col).filter("n_words = 0 or n_removed < n_words")
+    columns = [
+        F.col("kept_text").alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns
+    ]
+    return found.select(*columns)

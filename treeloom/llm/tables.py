@@ -22,11 +22,10 @@ def public_id(column: str) -> Column:
     return F.when(F.col(column) != LAST_ID, F.col(column))
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``did`` and ``text`` only, so other columns of any name cannot clash."""
-    return docs.select(
-        order_id(id_col).alias("did"), F.col(f"`{text_col}`").cast("string").alias("text")
-    )
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` over all shuffle partitions, for rows that are small but soon become many."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
