@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, mixing, simhash, substrings
+from treeloom.llm import contamination, language, licenses, mixing, simhash, substrings
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -39,6 +39,59 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.coverage")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.with_licenses(docs, licenses.fit(docs), "found")
+    labels = F.array_sort(F.array_union("found.base_labels", F.transform("found.matches", lambda m: m["label"])))
+    best = F.array_max(F.transform("found.matches", lambda m: m["containment"]))
+    return found.select(
+        "doc_id", "found.n_words", "found.n_base", "found.first_word", "found.last_word",
+        F.array_join("found.base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
+        F.when(F.col("found.n_base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        f"({i}, '{label}', {sorted(set(licenses.words_of(text)))})"
+        for i, (label, text) in enumerate(licenses.TEMPLATES)
+    )
+    phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in licenses.PHRASES.items())
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    return f"""
+        WITH t(id, label, words) AS (VALUES {rows}),
+        p(words, label) AS (VALUES {phrases}),
+        d AS (SELECT doc_id, {words.format(lower)} AS words, string_split({lower}, chr(10)) AS lines FROM documents),
+        place AS (
+          SELECT doc_id, label, pos FROM (
+            SELECT doc_id, d.words AS own, p.words AS phrase, label,
+              unnest(list_filter(range(len(d.words)), lambda i: d.words[i + 1] = p.words[1])) AS pos
+            FROM d, p)
+          WHERE own[pos + 1:pos + len(phrase)] = phrase),
+        base AS (
+          SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+            list_sort(list(DISTINCT label)) AS base FROM place GROUP BY doc_id),
+        line AS (
+          SELECT doc_id, nr, list_distinct({words.format('line')}) AS own
+          FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS nr FROM d)),
+        hit AS (
+          SELECT doc_id, nr, id, label, words, len(list_intersect(own, words)) / len(words) AS share
+          FROM line, t WHERE len(list_intersect(own, words)) / len(words) >= {licenses.CONTAINED}),
+        best AS (
+          SELECT * FROM hit a WHERE NOT EXISTS (
+            SELECT 1 FROM hit b WHERE b.doc_id = a.doc_id AND b.nr = a.nr AND list_has_all(b.words, a.words)
+              AND len(b.words) > len(a.words))),
+        own AS (SELECT doc_id, list(label) AS extra, max(share) AS share FROM best GROUP BY doc_id)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+          first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+          coalesce(array_to_string(base, ','), '') AS base_labels,
+          array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(extra, [])))), ',') AS labels,
+          CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they leak."""
     return contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -52,10 +105,11 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op5_language_id, op7_benchmark_decontamination, op8_source_mixing, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
+    "op6_license_scan": _license_sql(),
     "op1_substring_dedup": """
         WITH w AS (
           SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
