@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, licenses, mixing, simhash, substrings
+from treeloom.llm import contamination, language, licenses, mixing, rendering, simhash, substrings, warc
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -20,11 +20,25 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(spaced, 256).alias("kept_sha256"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    pages = rendering.with_text(read(spark, sf_dir, "pages").select("page_id", "html"), "text")
+    return pages.select("page_id", "text", F.length("text").cast("long").alias("text_chars"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest id that links of two bits reach."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, as read back from the archives they were written to."""
+    archives = warc.write(warc.as_records(read(spark, sf_dir, "pages")))
+    return warc.read(archives, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def fold(parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null without an id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
@@ -105,10 +119,20 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op2_warc, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (
+          SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+            sha1(coalesce(html, '')) AS payload_digest
+          FROM pages),
+        m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+          CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN page_id < last THEN last END AS refers_to
+        FROM p LEFT JOIN m USING (payload_digest)""",
     "op6_license_scan": _license_sql(),
     "op1_substring_dedup": """
         WITH w AS (
