@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, licenses, mixing, rendering, simhash, substrings, warc
+from treeloom.llm import contamination, language, licenses, mixing, outliers, rendering, simhash, substrings, warc
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -39,6 +39,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, and whether rules and estimates keep it."""
+    return outliers.judge(read(spark, sf_dir, "documents"))
+
+
 def fold(parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null without an id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
@@ -119,7 +124,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_warc, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op2_warc, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
