@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, licenses, mixing, outliers, rendering, simhash, substrings, warc
+from treeloom.llm import contamination, language, licenses, mixing, outliers, quality, rendering, simhash, substrings, warc
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -49,6 +49,15 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four folds of five."""
+    docs = read(spark, sf_dir, "documents")
+    voters = quality.fit(docs, read(spark, sf_dir, "labels").filter(fold(5) != 0))
+    docs = docs.select("doc_id", "text", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"))
+    scored = quality.with_score(docs, voters, "score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three folds of four."""
     docs = read(spark, sf_dir, "documents")
@@ -124,7 +133,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_warc, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op2_warc, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
 }
 
 SQL: dict[str, str] = {
