@@ -42,18 +42,15 @@ _COUNTS = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.
 
 def _groups(*keys: np.ndarray) -> np.ndarray:
     """Number of the group of each row, for rows sorted by ``keys``."""
-    new = np.ones(len(keys[0]), bool)
-    if len(new):
-        new[1:] = False
-        for key in keys:
-            new[1:] |= key[1:] != key[:-1]
-    return np.cumsum(new) - 1
+    new = np.zeros(len(keys[0]), bool)
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.cumsum(new)
 
 
 def _shared(group: np.ndarray, did: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows sorted by group and id: the smallest id of the group, and whether it has two."""
-    n = group[-1] + 1 if len(group) else 0
-    first = np.searchsorted(group, np.arange(n))
+    first = np.searchsorted(group, np.arange(group[-1] + 1))
     last = np.append(first[1:], len(group)) - 1
     return did[first][group], (did[first] != did[last])[group]
 
@@ -72,6 +69,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             did = part.column("did").to_numpy(zero_copy_only=False)[text]
             found.append((words.windows(starts, ANCHOR).view(np.int64), did, pos.astype(np.int32)))
         key, did, pos = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(key):
+            continue
         order = np.lexsort((did, key))
         key, did, pos = key[order], did[order], pos[order]
         least, known = _shared(_groups(key), did)
@@ -109,6 +108,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  (starts - words.first[text]).astype(np.int32))
             )
         key, key2, did, tid, start = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(key):
+            continue
         order = np.lexsort((did, key2, key))
         key, key2, did, tid, start = (x[order] for x in (key, key2, did, tid, start))
         least, _ = _shared(_groups(key, key2), did)
@@ -122,7 +123,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (known[1:] != known[:-1]) | (did[1:] != did[:-1]) | (tid[1:] != tid[:-1]) | (start[1:] > start[:-1] + 1)
         new[1:] |= ~known[1:] & ((key[1:] != key[:-1]) | (key2[1:] != key2[:-1]))
         head = np.flatnonzero(new)
-        n = (start[np.append(head[1:], len(start)) - 1] - start[head] + 1).astype(np.int32) if len(head) else start
+        n = (start[np.append(head[1:], len(start)) - 1] - start[head] + 1).astype(np.int32)
         yield pa.record_batch([key[head], key2[head], did[head], tid[head], start[head], n, known[head]], schema=_WINDOWS)
 
 

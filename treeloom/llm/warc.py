@@ -91,7 +91,7 @@ class ArchiveWriter:
         self.path, self.held, self.size, self.records = path, [], 0, 0
         system, at = _open(path)
         system.create_dir(at.rpartition("/")[0], recursive=True)
-        self.out = system.open_output_stream(at)
+        self.out = system.open_output_stream(at, compression=None)
         self.compressor = None
 
     def add(self, data: bytes) -> None:
@@ -272,7 +272,7 @@ def read(archives: DataFrame, payload: bool = True, strict: bool = True) -> Data
 
 def _records(path: str, strict: bool) -> Iterator[dict]:
     system, at = _open(path)
-    with system.open_input_stream(at) as stream:
+    with system.open_input_stream(at, compression=None) as stream:
         try:
             for data in frames(stream):
                 try:
