@@ -20,9 +20,17 @@ TOPIC_PARTITIONS = {"nodes": 3, "edges": 3, "metadata": 1, "errors": 1}
 
 
 def iso_time(moment: Column) -> Column:
-    """UTC text with microseconds and offset, whatever the zone of the session."""
-    utc = F.to_utc_timestamp(moment, F.current_timezone())
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """UTC text with microseconds and offset, from the instant alone: no local time is involved,
+    so zones with gaps and repeated hours change nothing."""
+    micros = F.unix_micros(moment)
+    of_day = F.pmod(micros, F.lit(86_400_000_000))
+    day = F.date_from_unix_date(((micros - of_day) / 86_400_000_000).cast("int"))
+    second = F.floor(of_day / 1_000_000)
+    clock = F.format_string(
+        "T%02d:%02d:%02d.%06d+00:00",
+        F.floor(second / 3600), F.floor(second / 60) % 60, second % 60, of_day % 1_000_000,
+    )
+    return F.concat(day.cast("string"), clock)
 
 
 def envelope(kind: str, event_time: Column) -> Column:

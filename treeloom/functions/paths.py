@@ -16,6 +16,11 @@ def parts(path: Column) -> Column:
     return F.split(path, "/")
 
 
+def path_order(path: Column) -> Column:
+    """Sort key of paths: part by part, so a folder's files stand together whatever its name."""
+    return parts(path)
+
+
 def normalise(path: Column) -> Column:
     return F.replace(path, F.lit("\\"), F.lit("/"))
 

@@ -25,14 +25,14 @@ def top_dirs(files: DataFrame) -> DataFrame:
     """Files per first path component, most first, ties in path order."""
     return (
         files.groupBy(paths.top_dir(F.col("rel_path")).alias("top_dir"))
-        .agg(F.count(F.lit(1)).alias("files"), F.min("rel_path").alias("first_path"))
+        .agg(F.count(F.lit(1)).alias("files"), F.min(paths.path_order(F.col("rel_path"))).alias("first_path"))
         .orderBy(F.desc("files"), "first_path")
         .select("top_dir", "files")
     )
 
 
 def largest(files: DataFrame, n: int = LARGEST) -> DataFrame:
-    return files.orderBy(F.desc("size_bytes"), "rel_path").limit(n)
+    return files.orderBy(F.desc("size_bytes"), paths.path_order(F.col("rel_path"))).limit(n)
 
 
 def first_per_flag(files: DataFrame, n: int = SHOWN_PER_FLAG) -> DataFrame:
@@ -41,7 +41,7 @@ def first_per_flag(files: DataFrame, n: int = SHOWN_PER_FLAG) -> DataFrame:
     A filter on the rank lets Spark cut each partition to ``n`` rows per flag
     before the shuffle.
     """
-    rank = Window.partitionBy("excluded").orderBy("rel_path")
+    rank = Window.partitionBy("excluded").orderBy(paths.path_order(F.col("rel_path")))
     return (
         files.withColumn("position", F.row_number().over(rank))
         .filter(F.col("position") <= n)

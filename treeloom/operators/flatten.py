@@ -147,11 +147,22 @@ def _record_batch(rows: list[tuple], units: list[tuple], measures: list[tuple],
 
 
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    # Messages about doubtful escapes in the parsed texts are not ours to print.
-    warnings.simplefilter("ignore", SyntaxWarning)
-    warnings.simplefilter("ignore", DeprecationWarning)
-    # Syntax trees hold no cycles, so searching them for some is wasted time.
-    gc.disable()
+    """Parse with the worker's collector and warnings set aside, and put back however it ends."""
+    collecting = gc.isenabled()
+    with warnings.catch_warnings():
+        # Messages about doubtful escapes in the parsed texts are not ours to print.
+        warnings.simplefilter("ignore", SyntaxWarning)
+        warnings.simplefilter("ignore", DeprecationWarning)
+        # Syntax trees hold no cycles, so searching them for some is wasted time.
+        gc.disable()
+        try:
+            yield from _parsed_batches(batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+
+def _parsed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, units, measures, counts = [], [], [], []
     for batch in batches:
         for i in range(batch.num_rows):
@@ -166,7 +177,6 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 rows, units, measures, counts = [], [], [], []
     if rows:
         yield from _slices(_record_batch(rows, units, measures, counts))
-    gc.enable()
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Edges and names of a text shuffle to roughly the size of the text.
 SHUFFLE_BYTES = 128 << 20
 
-_local_root: dict[str, str] = {}
+_roots: set[str] = set()
 _shipped: set[str] = set()
 
 
@@ -60,23 +60,37 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """A folder of this application, below ``spark.checkpoint.dir`` or else the warehouse.
 
-    A temporary folder stands in only where all executors share this machine.
+    Both are settings of the session and name storage that all executors share. The
+    folder is deleted when the application ends, or before by ``clear_staging``.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_root:
-        _local_root[app] = tempfile.mkdtemp(prefix="treeloom-")
-    return _local_root[app]
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    root = f"{shared.rstrip('/')}/treeloom-{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        filesystem, path = _hadoop(spark, root)
+        filesystem.mkdirs(path)
+        filesystem.deleteOnExit(path)
+        _roots.add(root)
+    return root
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete all staged tables of the application; what still reads them fails."""
+    filesystem, path = _hadoop(spark, staging_root(spark))
+    filesystem.delete(path, True)
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/treeloom/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,9 @@ tree delays only its own listing, never that of its subfolders.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyarrow import fs
@@ -29,20 +31,36 @@ def _open_root(root: str) -> tuple[fs.FileSystem, str]:
     return filesystem, base.rstrip("/")
 
 
+def _entries(
+    filesystem: fs.FileSystem, base: str, folder: str
+) -> Iterator[tuple[str, int | None, bool]]:
+    """Path, size and kind of what is in a folder.
+
+    Local folders are read entry by entry, and links to folders are files that
+    nobody descends into; other stores have no links.
+    """
+    path = f"{base}/{folder}".rstrip("/")
+    if isinstance(filesystem, fs.LocalFileSystem):
+        with os.scandir(path or "/") as found:
+            for entry in found:
+                is_folder = entry.is_dir(follow_symlinks=False)
+                if is_folder or entry.is_file():
+                    size = None if is_folder else entry.stat().st_size
+                    yield f"{folder}/{entry.name}".lstrip("/"), size, is_folder
+        return
+    for entry in filesystem.get_file_info(fs.FileSelector(path)):
+        yield entry.path[len(base) + 1 :], entry.size, entry.type == fs.FileType.Directory
+
+
 def _list_folders(root: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, base = _open_root(root)
         for frame in frames:
             for folder in frame["rel_path"]:
-                entries = filesystem.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
-                rows = [
-                    (e.path[len(base) + 1 :], e.size, e.type == fs.FileType.Directory)
-                    for e in entries
-                ]
-                for start in range(0, len(rows), ROWS_PER_FRAME):
+                entries = _entries(filesystem, base, folder)
+                while rows := list(islice(entries, ROWS_PER_FRAME)):
                     yield pd.DataFrame(
-                        rows[start : start + ROWS_PER_FRAME],
-                        columns=["rel_path", "size_bytes", "is_folder"],
+                        rows, columns=["rel_path", "size_bytes", "is_folder"]
                     ).astype({"size_bytes": "Int64"})
 
     return run
@@ -124,19 +142,18 @@ def read_sources(targets: DataFrame, root: str, repository: str) -> DataFrame:
     )
 
 
-def sources_from_text(df: DataFrame, path, text) -> DataFrame:
+def sources_from_text(df: DataFrame, path, text, partitions: int | None = None) -> DataFrame:
     """Source rows from a table that already holds the texts.
 
-    A scan with fewer partitions than cores is spread first: parsing costs far
-    more than moving the texts. A large table has splits enough and stays put.
+    The rows are spread over tasks as the scan splits them, or over ``partitions``:
+    parsing costs far more than moving the texts of a table with few splits.
     """
     rows = df.select(
         path.alias("file_path"),
         text.cast("binary").alias("content"),
         F.lit(None).cast("string").alias("read_error"),
     )
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return rows if df.rdd.getNumPartitions() >= cores else rows.repartition(cores * 4)
+    return rows.repartition(partitions) if partitions else rows
 
 
 def select_targets(
@@ -153,7 +170,7 @@ def select_targets(
             raise ValueError(f"no such file in the listing: {single_file}")
         return chosen
     chosen = files.filter(~F.col("excluded"))
-    return chosen.orderBy("rel_path").limit(limit) if limit else chosen
+    return chosen.orderBy(paths.path_order(F.col("rel_path"))).limit(limit) if limit else chosen
 
 
 def write_listing(files: DataFrame, path: str) -> None:

@@ -247,11 +247,13 @@ lambda i: 'total = total + ' || i || chr(10)), 'string_agg', '')"""
 
 # Listing of the ledgers as a source tree.
 _LISTING = """with part_src as (
-  select *, p_size as n, replace(p_brand, '#', '_') as brand, p_size % 10 as d from part),
+  select *, p_size as n, replace(p_brand, '#', '_') as brand, p_size % 10 as d,
+    case when p_type = 'ECONOMY' then 'tests' when p_type = 'PROMO' then 'test'
+      when p_size = 49 then '.git' else lower(p_type) end as folder from part),
 entry as (
-  select case when n = 45 then 'root_' || p_partkey || '.py' else
-    brand || '/' || case when p_type = 'ECONOMY' then 'tests' when p_type = 'PROMO' then 'test'
-      when n = 49 then '.git' else lower(p_type) end
+  select case when n = 45 then 'root_' || p_partkey || '.py' when n = 46 then
+    brand || '/' || folder || '/p' || p_partkey || '.py' else
+    brand || case when p_partkey % 3 = 0 then '-x' else '' end || '/' || folder
     || '/p' || p_partkey || '/' || case d when 0 then 'setup.py' when 1 then 'conf.py'
       when 2 then 'test_ledger.py' when 3 then 'ledger_test.py' when 4 then 'latest.py'
       else 'ledger_' || p_partkey || '.py' end end as rel_path,
@@ -360,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
         f" select {edge_columns}{f', attr_value as {attr}' if attr else ''} from edge"
     )
     top_dirs = """select split_part(rel_path, '/', 1) as top_dir, count(*) as files,
-      min(rel_path) as first_path from listing group by 1"""
+      min(string_split(rel_path, '/')) as first_path from listing group by 1"""
     ledger_counts = _counts(0, 0, "3 + 5 * n", "2 * n + 1")
     ledger_meta = f"{_LEDGER}, doc as (select file, n, {_LEDGER_TEXT} as text from src)"
     quoted = f"""with doc as (select '{REPO}/quoted/' || doc_id || '.py' as file,
@@ -373,9 +375,9 @@ def oracle_sql() -> dict[str, str]:
           count(*) filter (where excluded) as excluded_files,
           cast(sum(size_bytes) as bigint) as total_size_bytes from listing""",
         "discovery_top_dirs": f"{_LISTING} select top_dir, files from ({top_dirs}) order by files desc, first_path",
-        "discovery_largest": f"{_LISTING} select * from listing order by size_bytes desc, rel_path limit 5",
+        "discovery_largest": f"{_LISTING} select * from listing order by size_bytes desc, string_split(rel_path, '/') limit 5",
         "discovery_first_per_flag": f"""{_LISTING} select rel_path, size_bytes, excluded,
-          cast(row_number() over (partition by excluded order by rel_path) as int) as position,
+          cast(row_number() over (partition by excluded order by string_split(rel_path, '/')) as int) as position,
           case when excluded then case when contains(lower(rel_path), 'test') then '[test dir]'
             else '[name match]' end end as reason
           from listing qualify position <= 5""",
@@ -383,14 +385,14 @@ def oracle_sql() -> dict[str, str]:
           select 'top_dirs' as part, top_dir as item, files as amount from ({top_dirs})
           union all
           select 'largest', rel_path, size_bytes
-            from (select * from listing order by size_bytes desc, rel_path limit 5)
+            from (select * from listing order by size_bytes desc, string_split(rel_path, '/') limit 5)
           union all select 'totals', 'files', count(*) from listing
           union all select 'totals', 'bytes', cast(sum(size_bytes) as bigint) from listing""",
         "exclusion_reasons": f"""{_LISTING} select rel_path, excluded,
           case when contains(lower(rel_path), 'test') then '[test dir]' else '[name match]' end as reason,
           case when length(rel_path) > 24 then '...' || right(rel_path, 21) else rel_path end as short_path
           from listing""",
-        "target_files": f"{_LISTING} select * from listing where not excluded order by rel_path limit 50",
+        "target_files": f"{_LISTING} select * from listing where not excluded order by string_split(rel_path, '/') limit 50",
         "target_files_all": f"{_LISTING} select * from listing where not excluded",
         "single_target": f"{_LISTING} select * from listing where rel_path = (select max(rel_path) from listing)",
         "ast_nodes": f"{_LEDGER} {_LEDGER_NODES}",
