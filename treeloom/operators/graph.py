@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treeloom import schemas
-from treeloom.functions import ids
 from treeloom.operators.upsert import latest
 from treeloom.session import stage
 
@@ -126,29 +125,28 @@ def paths(
     """All paths of ``min_hops`` to ``max_hops`` relationships from ``starts.id``.
 
     A path may meet a vertex again but uses no relationship twice. ``nodes`` and
-    ``rels`` hold the vertex ids and the relationship keys along the path. Each
+    ``rels`` hold the vertex ids and the relationships' ends along the path. Each
     hop is one join on the vertex reached so far, and is written down so that the
     next hop does not repeat the ones before it.
     """
     step = relations.filter(F.col("type") == rel_type).select(
-        F.col("src").alias("at"),
-        F.col("dst").alias("next"),
-        ids.edge_id(F.col("src"), F.col("dst"), F.col("type")).alias("rel"),
+        F.col("src").alias("at"), F.col("dst").alias("next")
     )
+    rel = F.struct(F.col("at").alias("src"), F.col("next").alias("dst"))
     reached = starts.select(
         F.col("id").alias("at"),
         F.array("id").alias("nodes"),
-        F.array().cast("array<string>").alias("rels"),
+        F.array().cast("array<struct<src:string,dst:string>>").alias("rels"),
     )
     found: list[DataFrame] = []
     for hops in range(1, max_hops + 1):
         reached = (
             reached.join(step, "at")
-            .filter(~F.array_contains("rels", F.col("rel")))
+            .filter(~F.array_contains("rels", rel) if hops > 1 else F.lit(True))
             .select(
                 F.col("next").alias("at"),
                 F.array_append("nodes", F.col("next")).alias("nodes"),
-                F.array_append("rels", F.col("rel")).alias("rels"),
+                F.array_append("rels", rel).alias("rels"),
             )
         )
         if hops < max_hops:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from treeloom.functions import envelope, measures, paths
 
@@ -73,8 +76,46 @@ def broker_offsets(spark: SparkSession, progress: list, topic: str) -> DataFrame
     )
 
 
+class ProgressLog(StreamingQueryListener):
+    """All batches of the streaming queries that run within ``with ProgressLog(spark) as log``.
+
+    A query itself keeps its last reports only, however many batches it had. Leaving waits for
+    the queries that began within and have ended to be reported in full.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.progress = spark, []
+        self._open: set[str] = set()
+        self._changed = threading.Condition()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        running = {str(q.runId) for q in self.spark.streams.active}
+        with self._changed:
+            self._changed.wait_for(lambda: self._open <= running, timeout=60)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        with self._changed:
+            self._open.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        self.progress.append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._open.discard(str(event.runId))
+            self._changed.notify_all()
+
+
 def stream_progress(spark: SparkSession, progress: list) -> DataFrame:
-    """Batches of a streaming query as rows, from ``query.recentProgress``."""
+    """Batches of a streaming query as rows, from the reports of a ``ProgressLog``."""
     rows = [
         (
             p.batchId,

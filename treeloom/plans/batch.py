@@ -40,15 +40,16 @@ class Parsed:
 def parse(sources: DataFrame) -> Parsed:
     """Nodes, edges, metadata and errors of source rows.
 
-    The syntax table is written once because five branches read it, and so are
-    the edges, which the log and the counts both need.
+    The syntax table is written once because five branches read it, and so are the
+    edges, which the log and the counts need, and the metadata, which go to the log,
+    the manifest and the summary.
     """
     syntax = stage(flatten(sources), "syntax")
     edges = stage(derive.all_edges(syntax), "edges")
     return Parsed(
         nodes=derive.ast_nodes(syntax),
         edges=edges,
-        metadata=derive.file_metadata(syntax, edges),
+        metadata=stage(derive.file_metadata(syntax, edges), "metadata"),
         errors=derive.parse_errors(syntax),
     )
 

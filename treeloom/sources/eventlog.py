@@ -8,6 +8,9 @@ from treeloom import schemas
 from treeloom.functions import envelope
 
 
+FILES_PER_BATCH = 1_000
+
+
 def to_events(df: DataFrame, kind: str, event_time: Column) -> DataFrame:
     """Log rows of node, edge, metadata or error rows.
 
@@ -55,13 +58,11 @@ def read_all(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream(
-    spark: SparkSession, path: str, kind: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, kind: str, max_files_per_trigger: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream of one topic of a file log, from its start."""
+    """Stream of one topic of a file log, from its start, so many files to a batch."""
     schema, topic = _log_columns(kind)
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(f"{path}/topic={envelope.TOPIC[kind]}").select("*", topic)
 
 

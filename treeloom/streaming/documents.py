@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from treeloom import schemas
 from treeloom.functions import envelope
 from treeloom.operators import upsert
+from treeloom.session import stage
 
 # Fixed value: pause between batches of a long-lived stream.
 CONTINUOUS_INTERVAL = "10 seconds"
@@ -44,14 +45,11 @@ def write_documents(
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         documents = as_documents(batch)
         if rejects:
-            bad = envelope.decode(batch, "metadata", ("value", "position"))
-            upsert.write_changes(
-                bad.filter(F.col("file_path").isNull()).select("value", "position"),
-                rejects,
-                feed,
-                batch_id,
-            )
-            documents = documents.filter(F.col("_id").isNotNull())
+            decoded = envelope.decode(batch, "metadata", ("value", "position"))
+            decoded = stage(decoded.withColumnRenamed("file_path", "_id"), "batch-metadata")
+            bad = decoded.filter(F.col("_id").isNull()).select("value", "position")
+            upsert.write_changes(bad, rejects, feed, batch_id)
+            documents = decoded.filter(F.col("_id").isNotNull()).drop("value")
         upsert.write_changes(upsert.latest(documents, KEYS), table, feed, batch_id)
 
     writer = (

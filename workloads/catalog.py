@@ -530,6 +530,13 @@ def dataflow_paths(spark, sf_dir):
     return _ends(graph.paths_from(v, r, F.col("file_path").isNotNull(), "DFG"))
 
 
+def dataflow_paths_first(spark, sf_dir):
+    """Data flow within the file of the first customer, the first 30 in path order."""
+    v, r = routines_graph(spark, sf_dir)
+    one = F.col("file_path").contains("/routines/0.py")
+    return _ends(graph.paths_from(v, r, one, "DFG", limit=30))
+
+
 def region_paths(spark, sf_dir):
     """One to three steps down region, nation, customer and order."""
 
@@ -577,8 +584,9 @@ def _resumed(spark, sf_dir):
         progress = []
         for name, moment in (("routines", FIRST_RUN), ("routines_again", SECOND_RUN)):
             eventlog.append(parsed(spark, sf_dir, name).events(_instant(moment)), log)
-            query = _drain_documents(spark, log, target, checkpoint)
-            progress += [p for p in query.recentProgress if p.numInputRows]
+            with reports.ProgressLog(spark) as reported:
+                _drain_documents(spark, log, target, checkpoint)
+            progress += [p for p in reported.progress if p.numInputRows]
         return target, progress
 
     return _once(spark, sf_dir, "resumed", build)
@@ -614,20 +622,24 @@ def document_by_id(spark, sf_dir):
     return document_stream.document(spark, target, f"{sources.REPOSITORY}/routines/0.py")
 
 
-def stream_rejects(spark, sf_dir):
-    """Documents of a topic in which all prose stands among the events as well."""
-    log, target, rejects = (staging_path(spark, n) for n in ("log", "documents", "rejects"))
-    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN))
-    eventlog.append(events.filter(F.col("topic") == envelope.TOPIC["metadata"]), log)
-    prose = table(spark, sf_dir, "documents").select(
+def _prose_events(spark, sf_dir, topic):
+    """All documents as events of a topic; none of them is JSON."""
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("key"),
         F.col("text").alias("value"),
         F.lit(0).alias("partition"),
         _instant(SECOND_RUN).alias("timestamp"),
         F.array(F.col("doc_id")).alias("position"),
-        F.lit(envelope.TOPIC["metadata"]).alias("topic"),
+        F.lit(topic).alias("topic"),
     )
-    eventlog.append(prose, log)
+
+
+def stream_rejects(spark, sf_dir):
+    """Documents of a topic in which all prose stands among the events as well."""
+    log, target, rejects = (staging_path(spark, n) for n in ("log", "documents", "rejects"))
+    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN))
+    eventlog.append(events.filter(F.col("topic") == envelope.TOPIC["metadata"]), log)
+    eventlog.append(_prose_events(spark, sf_dir, envelope.TOPIC["metadata"]), log)
     document_stream.write_documents(
         eventlog.stream(spark, log, "metadata"), target, staging_path(spark, "checkpoint"), rejects=rejects
     ).awaitTermination()
@@ -651,6 +663,22 @@ def _streamed_graph(spark, sf_dir):
     return _once(spark, sf_dir, "streamed-graph", build)
 
 
+def stream_graph_rejects(spark, sf_dir):
+    """Vertices of topics in which all prose stands among the events, and the prose set aside."""
+    log, store = staging_path(spark, "log"), staging_path(spark, "graph")
+    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN))
+    for kind, write in (("nodes", graph_stream.write_nodes), ("edges", graph_stream.write_edges)):
+        topic = envelope.TOPIC[kind]
+        eventlog.append(events.filter(F.col("topic") == topic), log)
+        eventlog.append(_prose_events(spark, sf_dir, topic), log)
+        write(eventlog.stream(spark, log, kind), store, staging_path(spark, "checkpoint")).awaitTermination()
+    found = graph_stream.read_graph(spark, store)[0].select(F.lit("vertex").alias("part"), F.col("id").alias("item"))
+    for kind in ("nodes", "edges"):
+        refused = graph_stream.read_rejects(spark, store, kind)
+        found = found.unionByName(refused.select(F.lit(kind).alias("part"), F.sha2("value", 256).alias("item")))
+    return found
+
+
 def stream_vertices(spark, sf_dir):
     return _streamed_graph(spark, sf_dir)[0]
 
@@ -677,8 +705,8 @@ def queries() -> dict[str, Query]:
         "relationship_merge", "moved_vertices", "relationship_counts", "graph_totals", "type_histogram",
         "type_histogram_with_null", "node_type_counts", "named_definitions",
         "named_definitions_all", "call_paths", "call_paths_first", "subtree_paths",
-        "subtree_paths_first", "dataflow_paths", "region_paths",
+        "subtree_paths_first", "dataflow_paths", "dataflow_paths_first", "region_paths",
         "stream_documents", "document_by_id", "stream_rejects", "stream_resume", "stream_resumed_documents", "replay_counts",
-        "stream_vertices", "stream_relationships",
+        "stream_vertices", "stream_relationships", "stream_graph_rejects",
     ]
     return {name: globals()[name] for name in names}

@@ -510,6 +510,9 @@ def oracle_sql() -> dict[str, str]:
             _GRAPH, "PARENT_OF", f"v.file_path = '{REPO}/routines/0.py'", 3, "order by hops, path limit 100"
         ),
         "dataflow_paths": _paths(_GRAPH, "DFG", "v.file_path is not null", 1),
+        "dataflow_paths_first": _paths(
+            _GRAPH, "DFG", "contains(v.file_path, '/routines/0.py')", 1, "order by hops, path limit 30"
+        ),
         "region_paths": _paths(
             """with vertex as (select 'r' || r_regionkey as id from region), rel as (
               select 'r' || n_regionkey as src, 'n' || n_nationkey as dst, 'PARENT_OF' as type from nation
@@ -523,6 +526,9 @@ def oracle_sql() -> dict[str, str]:
         "document_by_id": f"{_LATEST_DOCUMENT} and _id = '{REPO}/routines/0.py'",
         "stream_rejects": f"""select 'document' as part, '{REPO}/routines/' || c_custkey || '.py' as item from customer
           union all select 'reject', sha256(text) from documents""",
+        "stream_graph_rejects": f"""{_GRAPH} select 'vertex' as part, id as item from vertex
+          union all select 'nodes', sha256(text) from documents
+          union all select 'edges', sha256(text) from documents""",
         "stream_resume": """select cast(0 as bigint) as batch_id, count(*) as input_rows from customer
           union all select 1, count(*) from customer where c_acctbal < 0""",
         "stream_resumed_documents": _LATEST_DOCUMENT,
