@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from pathlib import Path
 
@@ -38,6 +39,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.sql.shuffle.partitions": str(2 * int(CPUS)),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="treeloom-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -58,13 +58,13 @@ def tree_rows(tree: ast.Module) -> list[tuple]:
     An explicit stack replaces recursion, so the depth of a tree is not limited.
     ``block`` identifies a statement list that control flow walks: a list of
     that kind reached from the module through such lists only. Its first member
-    fixes its ``block_pre``. Marker nodes without fields or position are left out.
+    fixes its ``block_pre``, and each member notes where the one after it stands. Marker nodes without fields or position are left out.
     """
     rows: list[tuple] = []
-    stack: list[tuple] = [(tree, 0, _NO_POSITION, _MODULE_POSITION, (), [], 0)]
+    stack: list[tuple] = [(tree, 0, _NO_POSITION, _MODULE_POSITION, (), [], 0, None)]
     pre = 0
     while stack:
-        node, depth, parent, enclosing, scopes, block, block_idx = stack.pop()
+        node, depth, parent, enclosing, scopes, block, block_idx, following = stack.pop()
         kind = type(node).__name__
         positioned = "lineno" in node._attributes
         here = (node.lineno, node.col_offset, kind) if positioned else parent
@@ -77,7 +77,7 @@ def tree_rows(tree: ast.Module) -> list[tuple]:
         if kind == "Name":
             rows.append(
                 (pre, depth, kind, node.id, *here[:2], node.end_lineno, *parent, *_NO_POSITION,
-                 type(node.ctx).__name__, None, scopes, None, None)
+                 type(node.ctx).__name__, None, scopes, None, None, *_NO_POSITION)
             )
             pre += 1
             continue
@@ -87,7 +87,9 @@ def tree_rows(tree: ast.Module) -> list[tuple]:
                  *here[:2], node.end_lineno, *parent,
                  *(enclosing if kind == "Call" else _NO_POSITION),
                  None, _callee(node) if kind == "Call" else None, None,
-                 block[0] if block else None, block_idx)
+                 block[0] if block else None, block_idx,
+                 *((following.lineno, following.col_offset, type(following).__name__)
+                   if following is not None else _NO_POSITION))
             )
         elif kind == MODULE:
             rows.append((pre, depth, kind, *_NO_NODE[3:]))
@@ -100,9 +102,10 @@ def tree_rows(tree: ast.Module) -> list[tuple]:
                 for idx, child in enumerate(value):
                     if isinstance(child, ast.AST) and (child._fields or child._attributes):
                         position = idx if walked is not None else None
-                        below.append((child, depth + 1, here, enclosing, scopes, walked, position))
+                        after = value[idx + 1] if walked is not None and idx + 1 < len(value) else None
+                        below.append((child, depth + 1, here, enclosing, scopes, walked, position, after))
             elif isinstance(value, ast.AST) and (value._fields or value._attributes):
-                below.append((value, depth + 1, here, enclosing, scopes, None, None))
+                below.append((value, depth + 1, here, enclosing, scopes, None, None, None))
         below.reverse()
         stack += below
         pre += 1

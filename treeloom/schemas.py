@@ -41,6 +41,7 @@ FLAT = _struct(
     parent_line INT, parent_col INT, parent_type STRING,
     encl_line INT, encl_col INT, encl_type STRING,
     ctx STRING, callee STRING, scopes ARRAY<INT>, block_pre INT, block_idx INT,
+    next_line INT, next_col INT, next_type STRING,
     file_hash STRING, size_bytes BIGINT, loc BIGINT,
     error_type STRING, error_message STRING"""
 )
