@@ -11,6 +11,12 @@ from treeloom.functions import envelope
 FILES_PER_BATCH = 1_000
 
 
+def partition(key: Column, partitions: int) -> Column:
+    """Partition of a key by the start of its SHA-256, which any reader can work out again."""
+    head = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("long")
+    return F.pmod(head, F.lit(partitions)).cast("int")
+
+
 def to_events(df: DataFrame, kind: str, event_time: Column) -> DataFrame:
     """Log rows of node, edge, metadata or error rows.
 
@@ -24,7 +30,7 @@ def to_events(df: DataFrame, kind: str, event_time: Column) -> DataFrame:
     return df.select(
         F.when(key != "", key).alias("key"),
         envelope.envelope(kind, envelope.iso_time(moment)).alias("value"),
-        F.pmod(F.xxhash64(key), F.lit(envelope.TOPIC_PARTITIONS[kind])).cast("int").alias("partition"),
+        partition(key, envelope.TOPIC_PARTITIONS[kind]).alias("partition"),
         moment.alias("timestamp"),
         F.concat(F.array(F.unix_micros(moment), unit), order).alias("position"),
         F.lit(envelope.TOPIC[kind]).alias("topic"),

@@ -349,20 +349,36 @@ def topic_counts(spark, sf_dir):
 
 
 def consumer_lag(spark, sf_dir):
-    """Lag of a consumer that has seen the first run only, by customers' nation."""
-    nation = F.get_json_object("value", "$.file_path")
-    customers = table(spark, sf_dir, "customer").select(
-        F.concat(
-            F.lit(f"{sources.REPOSITORY}/routines/"), F.col("c_custkey").cast("string"), F.lit(".py")
-        ).alias("key"),
-        F.col("c_nationkey").alias("partition"),
-    )
-    log = _log(spark, sf_dir, "metadata").drop("partition").join(customers, "key")
+    """Lag on the node topic, by its partitions, of a consumer that drained the first run only."""
+    log = _log(spark, sf_dir, "nodes")
     seen = log.filter(F.col("timestamp") == _instant(FIRST_RUN))
     committed = seen.groupBy("partition").agg(F.count(F.lit(1)).alias("current_offset"))
     return reports.consumer_lag(reports.log_ends(log), committed)
 
 
+def end_to_end_run(spark, sf_dir):
+    """Files written by tasks, then found, read, parsed and logged: the summary, the log and the manifest."""
+    root, log, manifest = (staging_path(spark, n) for n in ("tree", "log", "manifest"))
+    written = sources.write_tree(sources.routines(spark, sf_dir), root)
+    listing = stage(files.discover(spark, root), "listing")
+    summary = batch.run(
+        spark, listing, root, sources.REPOSITORY, log, manifest, event_time=_instant(FIRST_RUN)
+    )
+    part = F.lit
+    counts = reports.topic_counts(eventlog.read_all(spark, log)).select(
+        part("topic").alias("part"), F.col("topic").alias("item"), F.col("messages").alias("amount")
+    )
+    rows = batch.load_manifest(spark, manifest).select(
+        part("file").alias("part"), F.concat_ws(" ", "rel_path", "file_hash").alias("item"), F.col("num_nodes").alias("amount")
+    )
+    totals = summary.select(
+        part("summary").alias("part"),
+        F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in summary.columns]), F.array(*summary.columns))).alias("item", "amount"),
+    )
+    found = written.select(part("written").alias("part"), part("files").alias("item"), F.col("files").alias("amount"))
+    return counts.unionByName(rows).unionByName(totals).unionByName(found)
+
+
 # --- graph ------------------------------------------------------------------
 
 
@@ -700,7 +716,7 @@ def queries() -> dict[str, Query]:
         "run_summary", "run_rates", "batch_table", "samples", "manifest_upsert",
         "manifest_saved",
         "node_events", "edge_events", "metadata_events", "error_events", "event_keys",
-        "topic_counts", "consumer_lag",
+        "topic_counts", "consumer_lag", "end_to_end_run",
         "vertices", "relationships", "stub_vertices", "unknown_edge_types", "vertex_merge",
         "relationship_merge", "moved_vertices", "relationship_counts", "graph_totals", "type_histogram",
         "type_histogram_with_null", "node_type_counts", "named_definitions",

@@ -461,11 +461,27 @@ def oracle_sql() -> dict[str, str]:
             union all select 'cpg.edges', 3, c * {_ROUTINES_COUNTS[3]} from c
             union all select 'cpg.metadata', 1, c from c union all select 'cpg.errors', 1, 0)
           select * from t union all select 'TOTAL', cast(sum(partitions) as int), cast(sum(messages) as bigint) from t""",
-        "consumer_lag": """with p as (select c_nationkey as partition, count(*) as current_offset,
-            count(*) + count(*) filter (where c_acctbal < 0) as log_end from customer group by 1),
+        "consumer_lag": f"""{ROUTINES.with_(_RUNS, _NODE)}, log as (
+            select run, cast(('0x' || substr(sha256(node_id), 1, 8))::ubigint % 3 as int) as partition
+            from node join run on file = file_path),
+          p as (select partition, count(*) filter (where run = 1) as current_offset, count(*) as log_end
+            from log group by 1),
           t as (select * from p union all
             select null, cast(sum(current_offset) as bigint), cast(sum(log_end) as bigint) from p)
           select *, log_end - current_offset as lag, round(current_offset * 100 / log_end, 1) as progress from t""",
+        "end_to_end_run": f"""{ROUTINES.with_(_RUNS)}, r as (select * from run where run = 1),
+          c as (select count(*) as c, {_ROUTINES_COUNTS[2]} as n, {_ROUTINES_COUNTS[3]} as e from r)
+          select 'topic' as part, 'cpg.nodes' as item, cast(c * n as bigint) as amount from c
+          union all select 'topic', 'cpg.edges', c * e from c
+          union all select 'topic', 'cpg.metadata', c from c
+          union all select 'topic', 'cpg.errors', 0
+          union all select 'topic', 'TOTAL', c * (n + e + 1) from c
+          union all select 'summary', 'files_ok', c from c
+          union all select 'summary', 'files_failed', 0
+          union all select 'summary', 'total_nodes', c * n from c
+          union all select 'summary', 'total_edges', c * e from c
+          union all select 'written', 'files', c from c
+          union all select 'file', replace(file, '{REPO}/', '') || ' ' || sha256(text), {_ROUTINES_COUNTS[2]} from r""",
         "vertices": f"{_GRAPH} select * from vertex",
         "relationships": f"{_GRAPH} select * from rel",
         "stub_vertices": f"{ROUTINES.with_()} select {MODULE} as id from src",

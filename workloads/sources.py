@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from treeloom.session import stage
 from treeloom.sources import files
 
 REPOSITORY = "workspace"
@@ -189,6 +192,28 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_tree(rows: DataFrame, root: str) -> DataFrame:
+    """Write sources as files below a shared folder, by tasks; the number of files."""
+    prefix = len(REPOSITORY) + 1
+
+    def run(batches):
+        filesystem, base = fs.FileSystem.from_uri(root)
+        made = set()
+        for frame in batches:
+            for path, content in zip(frame["file_path"], frame["content"], strict=True):
+                target = f"{base}/{path[prefix:]}"
+                folder = target.rpartition("/")[0]
+                if folder not in made:
+                    filesystem.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with filesystem.open_output_stream(target, compression=None) as out:
+                    out.write(content)
+            yield pd.DataFrame({"files": [len(frame)]})
+
+    done = rows.select("file_path", "content").mapInPandas(run, "files long")
+    return stage(done.agg(F.sum("files").alias("files")), "written")
+
+
 # --- prose: documents as they are, none of which is Python ------------------
 
 
