@@ -11,7 +11,7 @@ from treeloom import schemas
 from treeloom.functions import envelope, paths
 from treeloom.operators import derive, discovery, graph, reports, upsert
 from treeloom.operators.flatten import flatten
-from treeloom.plans import batch
+from treeloom.plans import batch, report
 from treeloom.session import stage, staging_path
 from treeloom.sources import eventlog, files
 from treeloom.streaming import documents as document_stream
@@ -591,6 +591,40 @@ def stream_documents(spark, sf_dir):
     return document_stream.documents(spark, target)
 
 
+def report_dataset(spark, sf_dir):
+    """The report on the routines and the ledger's listing, as it was written and read again."""
+    v, r = routines_graph(spark, sf_dir)
+    run = parsed(spark, sf_dir, "routines")
+    parts = report.dataset(
+        sources.ledger_listing(spark, sf_dir), run.nodes, run.edges, run.metadata,
+        eventlog.read_all(spark, routines_log(spark, sf_dir)), consumer_lag(spark, sf_dir), v, r,
+    )
+    path = staging_path(spark, "report")
+    report.write(parts, path)
+    shown = {
+        "totals": (F.lit("files"), F.col("total_py_files")),
+        "top_dirs": (F.col("top_dir"), F.col("files")),
+        "largest": (F.col("rel_path"), F.col("size_bytes")),
+        "files": (F.col("file_path"), F.col("num_nodes")),
+        "edges_per_file": (F.col("file_path"), F.col("num_total_edges")),
+        "samples": (F.col("file_path"), F.col("node.lineno").cast("long")),
+        "topics": (F.col("topic"), F.col("messages")),
+        "lag": (F.col("partition").cast("string"), F.col("lag")),
+        "graph": (F.lit("stubs"), F.col("stubs")),
+        "relationships": (F.col("type"), F.col("relationships")),
+        "types": (F.col("node_type"), F.col("vertices")),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            spark.read.schema(parts[name].schema).json(f"{path}/{name}").select(
+                F.lit(name).alias("part"), item.alias("item"), amount.alias("amount")
+            )
+            for name, (item, amount) in shown.items()
+        ],
+    )
+
+
 def _resumed(spark, sf_dir):
     """Two drained streams on one checkpoint, the second after the second run."""
 
@@ -716,7 +750,7 @@ def queries() -> dict[str, Query]:
         "run_summary", "run_rates", "batch_table", "samples", "manifest_upsert",
         "manifest_saved",
         "node_events", "edge_events", "metadata_events", "error_events", "event_keys",
-        "topic_counts", "consumer_lag", "end_to_end_run",
+        "topic_counts", "consumer_lag", "end_to_end_run", "report_dataset",
         "vertices", "relationships", "stub_vertices", "unknown_edge_types", "vertex_merge",
         "relationship_merge", "moved_vertices", "relationship_counts", "graph_totals", "type_histogram",
         "type_histogram_with_null", "node_type_counts", "named_definitions",

@@ -368,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
     quoted = f"""with doc as (select '{REPO}/quoted/' || doc_id || '.py' as file,
       'doc = ' || doc_id || chr(10) || '# ' || replace(text, chr(10), chr(10) || '# ') as text from documents)"""
     event_head = "'1.0' as schema_version, event_time"
-    return {
+    expected = {
         "discovery_listing": f"{_LISTING} select *, split_part(rel_path, '/', 1) as top_dir from listing",
         "discovery_totals": f"""{_LISTING} select count(*) as total_py_files,
           count(*) filter (where not excluded) as included_files,
@@ -554,3 +554,23 @@ def oracle_sql() -> dict[str, str]:
         "stream_vertices": f"{_GRAPH} select * from vertex",
         "stream_relationships": f"{_GRAPH} select * from rel",
     }
+    totals = {
+        "totals": ("discovery_totals", "'files'", "total_py_files"),
+        "top_dirs": ("discovery_top_dirs", "top_dir", "files"),
+        "largest": ("discovery_largest", "rel_path", "size_bytes"),
+        "topics": ("topic_counts", "topic", "messages"),
+        "lag": ("consumer_lag", "cast(partition as varchar)", "lag"),
+        "graph": ("graph_totals", "'stubs'", "stubs"),
+        "relationships": ("relationship_counts", "type", "relationships"),
+    }
+    parts = [
+        f"select '{part}' as part, {item} as item, cast({amount} as bigint) as amount from ({expected[name]})"
+        for part, (name, item, amount) in totals.items()
+    ]
+    for part, amount in (("files", len(ROUTINES.nodes)), ("edges_per_file", len(ROUTINES.edges)), ("samples", 2)):
+        parts.append(f"select '{part}', '{REPO}/routines/' || c_custkey || '.py', {amount} from customer")
+    parts.append(
+        f"select 'types', * from ({_GRAPH} select node_type, count(*) from vertex group by 1"
+        " order by count(*) desc, node_type nulls first limit 10)"
+    )
+    return expected | {"report_dataset": " union all ".join(parts)}
