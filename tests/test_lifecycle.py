@@ -91,8 +91,8 @@ def test_all_batches_of_a_long_stream_are_reported(spark, tmp_path):
 def test_staging_is_in_a_shared_folder_and_can_be_cleared(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert session.staging_root(spark).startswith(f"{shared}/")
-    filesystem, root = session._hadoop(spark, session.staging_root(spark))
+    filesystem, root = session.hadoop_path(spark, session.staging_root(spark))
     assert filesystem.exists(root)
     path = session.staging_path(spark, "one")
     spark.range(1).write.parquet(path)
-    assert session._hadoop(spark, path)[0].exists(session._hadoop(spark, path)[1])
+    assert session.hadoop_path(spark, path)[0].exists(session.hadoop_path(spark, path)[1])

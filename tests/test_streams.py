@@ -61,8 +61,45 @@ def test_batch_that_runs_again_replaces_itself(spark, tmp_path):
     assert upsert.read_changes(spark, path, schema).count() == 1
     upsert.write_changes(one.withColumn("v", F.lit("v2")).withColumn("position", F.array(F.lit(2).cast("long"))), path, "feed", 1)
     assert [r.v for r in upsert.read_latest(spark, path, schema, ["id"]).collect()] == ["v2"]
-    upsert.fold(spark, path, schema, ["id"], str(tmp_path / "folded"))
-    assert [r.v for r in upsert.read_changes(spark, str(tmp_path / "folded"), schema).collect()] == ["v2"]
+    upsert.fold(spark, path, schema, ["id"])
+    assert [r.v for r in upsert.read_changes(spark, path, schema).collect()] == ["v2"]
+
+
+def test_snapshots_change_nothing_for_readers(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), schemas.T.StructType([schemas.T.StructField(n, schemas.T.StringType()) for n in ("id", "v")])
+    want, opened = {}, []
+    for b in range(9):
+        rows = [(f"k{(b * 7 + i) % 20}" if i else None, f"v{b}", [b]) for i in range(5)]
+        want |= {k: v for k, v, _ in rows}
+        batch = spark.createDataFrame(rows, "id string, v string, position array<bigint>")
+        upsert.write_changes(batch, path, f"feed{b % 2}", b)
+        opened.append((dict(want), upsert.read_latest(spark, path, schema, ["id"])))
+        upsert.fold_at_times(spark, path, schema, ["id"], b, 3)
+        assert {r.id: r.v for r in upsert.read_latest(spark, path, schema, ["id"]).collect()} == want
+        # A reader that began before the last fold still reads what it saw.
+        seen, table = opened[max(0, b - 2)]
+        assert {r.id: r.v for r in table.collect()} == seen
+    assert len(upsert._changes(spark, path, {})) < 9
+    for key in ("k3", "k11", None):
+        one = upsert.read_changes(spark, path, schema, {"id": key})
+        assert [r.v for r in upsert.latest(one, ["id"]).collect()] == [want[key]]
+        assert len(one.inputFiles()) <= 1 + upsert.BUCKETS
+    # A batch that runs again, also after it was folded, adds nothing.
+    before = len(upsert._changes(spark, path, upsert._snapshot(spark, path)[1]))
+    upsert.write_changes(batch.withColumn("v", F.lit("other")), path, "feed0", 8)
+    assert len(upsert._changes(spark, path, upsert._snapshot(spark, path)[1])) == before
+    assert {r.id: r.v for r in upsert.read_latest(spark, path, schema, ["id"]).collect()} == want
+
+
+def test_streams_fold_as_they_go(spark, log, tmp_path):
+    for day in range(2, 7):
+        changed = parse(spark, {"r/a.py": "x = 1\n" + "# more\n" * day})
+        eventlog.append(changed.events(instant(f"2024-01-0{day} 00:00:00")), log)
+        drain(spark, log, tmp_path, fold_every=2)
+    table = str(tmp_path / "documents")
+    assert upsert._snapshot(spark, table)[0] >= 2
+    assert documents.documents(spark, table).count() == 2
+    assert documents.document(spark, table, "r/a.py").first()["loc"] == 8
 
 
 def test_events_that_are_not_json(spark, log, tmp_path):

@@ -1,20 +1,29 @@
-"""Latest-wins tables kept as change folders.
+"""Latest-wins tables kept as change folders and snapshots.
 
-A batch adds a folder of changes; readers keep the latest row per key. Writing
-costs what the batch holds, not what the table holds, and a batch that runs
-again replaces its own folder, so repeats change nothing. ``fold`` rewrites the
-changes into one folder when reading has become slow.
+A batch adds a folder of changes, so writing costs what the batch holds and not what the table
+holds. Now and then the changes are folded into a snapshot: a new version folder with the latest
+row of each key, laid out by a hash of the key, which notes up to which batch of each feed it
+goes. A version counts once it is complete, so readers see the old one or the new one; they read
+the last version and the batches after it. What a version replaced is deleted with the next one,
+when no reader that began before can still need it.
+
+A folder that is complete is never written again: a batch that runs again holds the same events.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from treeloom import schemas
+from treeloom.session import hadoop_path
+
+# Folders of a snapshot; a lookup of one key reads one of them.
+BUCKETS = 64
+# Batches between two snapshots of a stream's table.
+FOLD_EVERY = 100
 
 
 def latest(df: DataFrame, keys: list[str], order: str = "position") -> DataFrame:
@@ -33,19 +42,75 @@ def feed_name(checkpoint: str) -> str:
     return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    filesystem, marker = hadoop_path(spark, f"{path}/_SUCCESS")
+    return filesystem.exists(marker)
+
+
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of the folders in ``path``."""
+    filesystem, parent = hadoop_path(spark, path)
+    if not filesystem.exists(parent):
+        return []
+    names = [status.getPath().getName() for status in filesystem.listStatus(parent)]
+    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+
+def _changes(spark: SparkSession, path: str, after: dict[str, int]) -> dict[tuple[str, int], str]:
+    """Complete change folders by feed and batch, beyond those a snapshot holds."""
+    found = {}
+    for feed in _folders(spark, path, "feed="):
+        for batch in _folders(spark, f"{path}/feed={feed}", "batch="):
+            folder = f"{path}/feed={feed}/batch={batch}"
+            if int(batch) > after.get(feed, -1) and _complete(spark, folder):
+                found[feed, int(batch)] = folder
+    return found
+
+
+def _snapshot(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """The last complete version, 0 for none, and the last batch of each feed in it."""
+    versions = [int(v) for v in _folders(spark, f"{path}/snapshots", "version=")]
+    for version in sorted(versions, reverse=True):
+        if _complete(spark, f"{path}/snapshots/version={version}"):
+            rows = spark.read.schema("feed STRING, batch BIGINT").parquet(f"{path}/folded/version={version}")
+            return version, {r["feed"]: r["batch"] for r in rows.collect()}
+    return 0, {}
+
+
 def write_changes(df: DataFrame, path: str, feed: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/feed={feed}/batch={batch_id}")
+    folder = f"{path}/feed={feed}/batch={batch_id}"
+    if not _complete(df.sparkSession, folder):
+        df.write.mode("overwrite").parquet(folder)
+
+
+def bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
-def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All changes; a table nobody has written to yet has none."""
+def read_changes(
+    spark: SparkSession, path: str, schema: T.StructType, where: dict[str, object] | None = None
+) -> DataFrame:
+    """The last snapshot and all changes after it; a table nobody has written to yet has none.
+
+    ``where`` gives the whole key of the rows that are wanted: then one folder of the snapshot
+    is read.
+    """
     columns = T.StructType([*schema.fields, schemas.POSITION])
-    try:
-        return spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], columns)
+    version, folded = _snapshot(spark, path)
+    folders = list(_changes(spark, path, folded).values())
+    rows = spark.createDataFrame([], columns)
+    if folders:
+        rows = spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(*folders)
+    if version:
+        kept = spark.read.schema(T.StructType([*columns.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{path}/snapshots/version={version}")
+        if where:
+            wanted = [F.lit(v).cast(columns[k].dataType) for k, v in where.items()]
+            one = spark.range(1).select(F.pmod(F.xxhash64(*wanted), F.lit(BUCKETS))).first()[0]
+            kept = kept.filter(F.col("bucket") == one)
+        rows = rows.unionByName(kept.drop("bucket"))
+    for key, value in (where or {}).items():
+        rows = rows.filter(F.col(key).eqNullSafe(F.lit(value)))
+    return rows
 
 
 def read_latest(
@@ -54,8 +119,39 @@ def read_latest(
     return latest(read_changes(spark, path, schema), keys)
 
 
-def fold(
-    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], target: str
+def fold(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
+    """Make a new snapshot of the table, and delete what the one before the last replaced."""
+    version, folded = _snapshot(spark, path)
+    changes = _changes(spark, path, folded)
+    if not changes:
+        return
+    now = dict(folded)
+    for feed, batch in changes:
+        now[feed] = max(batch, now.get(feed, -1))
+    notes = spark.createDataFrame(list(now.items()), "feed STRING, batch BIGINT")
+    notes.write.mode("overwrite").parquet(f"{path}/folded/version={version + 1}")
+    rows = read_latest(spark, path, schema, keys).withColumn("bucket", bucket(keys))
+    rows = rows.repartition(BUCKETS, "bucket")
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/snapshots/version={version + 1}")
+    _forget(spark, path, version, folded)
+
+
+def _forget(spark: SparkSession, path: str, version: int, folded: dict[str, int]) -> None:
+    """Delete the versions before ``version`` and the changes that it holds."""
+    old = [f"{path}/{part}/version={v}" for part in ("snapshots", "folded")
+           for v in _folders(spark, f"{path}/{part}", "version=") if int(v) < version]
+    for feed, last in folded.items():
+        for batch in _folders(spark, f"{path}/feed={feed}", "batch="):
+            if int(batch) <= last:
+                old.append(f"{path}/feed={feed}/batch={batch}")
+    for folder in old:
+        filesystem, found = hadoop_path(spark, folder)
+        filesystem.delete(found, True)
+
+
+def fold_at_times(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], batch_id: int, every: int
 ) -> None:
-    """Write the current rows to a new table, which can take further changes."""
-    write_changes(read_latest(spark, path, schema, keys), target, "folded", 0)
+    """Fold after each ``every`` batches of a stream."""
+    if (batch_id + 1) % every == 0:
+        fold(spark, path, schema, keys)

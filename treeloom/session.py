@@ -70,14 +70,15 @@ def staging_root(spark: SparkSession) -> str:
     )
     root = f"{shared.rstrip('/')}/treeloom-{spark.sparkContext.applicationId}"
     if root not in _roots:
-        filesystem, path = _hadoop(spark, root)
+        filesystem, path = hadoop_path(spark, root)
         filesystem.mkdirs(path)
         filesystem.deleteOnExit(path)
         _roots.add(root)
     return root
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     jvm = spark.sparkContext._jvm
     found = jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
@@ -85,7 +86,7 @@ def _hadoop(spark: SparkSession, path: str):
 
 def clear_staging(spark: SparkSession) -> None:
     """Delete all staged tables of the application; what still reads them fails."""
-    filesystem, path = _hadoop(spark, staging_root(spark))
+    filesystem, path = hadoop_path(spark, staging_root(spark))
     filesystem.delete(path, True)
 
 

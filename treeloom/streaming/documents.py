@@ -34,11 +34,13 @@ def write_documents(
     checkpoint: str,
     continuous: bool = False,
     rejects: str | None = None,
+    fold_every: int = upsert.FOLD_EVERY,
 ) -> StreamingQuery:
     """Upsert a metadata stream into a table of documents.
 
     Events that are not JSON have no key. They go to ``rejects`` as they came if
-    that is set; otherwise they count as one document without a key.
+    that is set; otherwise they count as one document without a key. The table is folded
+    after each ``fold_every`` batches.
     """
     feed = upsert.feed_name(checkpoint)
 
@@ -51,6 +53,7 @@ def write_documents(
             upsert.write_changes(bad, rejects, feed, batch_id)
             documents = decoded.filter(F.col("_id").isNotNull()).drop("value")
         upsert.write_changes(upsert.latest(documents, KEYS), table, feed, batch_id)
+        upsert.fold_at_times(batch.sparkSession, table, schemas.DOCUMENT, KEYS, batch_id, fold_every)
 
     writer = (
         raw.writeStream.outputMode("append")
@@ -84,6 +87,6 @@ def documents(spark: SparkSession, table: str) -> DataFrame:
 
 
 def document(spark: SparkSession, table: str, key: str) -> DataFrame:
-    """One document; the key is filtered before the latest row is sought."""
-    changes = upsert.read_changes(spark, table, schemas.DOCUMENT)
-    return upsert.latest(changes.filter(F.col("_id") == key), KEYS).drop("position")
+    """One document, from its folder of the snapshot and the batches after it."""
+    changes = upsert.read_changes(spark, table, schemas.DOCUMENT, {"_id": key})
+    return upsert.latest(changes, KEYS).drop("position")
