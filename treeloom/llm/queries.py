@@ -121,8 +121,9 @@ def _license_sql() -> str:
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and the benchmark items they leak."""
-    return contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    """Documents and the benchmark items they leak, each with its first most similar window."""
+    found = contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word", "n_words")
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_substring_dedup, op2_warc, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
 }
 
+def _leak_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"list_filter(regexp_split_to_array({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    return f"""
+        WITH d AS (SELECT doc_id, {words} AS words FROM documents),
+        i AS (SELECT item_id, {words} AS words FROM benchmark),
+        ds AS (
+          SELECT doc_id, pos, array_to_string(words[pos + 1:pos + 5], ' ') AS shingle
+          FROM (SELECT doc_id, words, unnest(range(len(words) - 4)) AS pos FROM d WHERE len(words) >= 5)),
+        own AS (
+          SELECT item_id, size, array_to_string(words[pos + 1:pos + 5], ' ') AS shingle
+          FROM (SELECT item_id, words, len(words) AS size, unnest(range(len(words) - 4)) AS pos FROM i WHERE len(words) >= 5)),
+        seed AS (SELECT DISTINCT doc_id, pos, item_id, size FROM ds JOIN own USING (shingle)),
+        start AS (
+          SELECT DISTINCT doc_id, item_id, start, least(size, len(words)) AS n
+          FROM (SELECT *, pos - unnest(range(size - 4)) AS start FROM seed) JOIN d USING (doc_id)
+          WHERE start >= 0 AND start <= len(words) - least(size, len(words))),
+        a AS (
+          SELECT s.doc_id, s.item_id, s.start, s.n, ds.shingle, count(*) AS x
+          FROM start s JOIN ds ON ds.doc_id = s.doc_id AND ds.pos >= s.start AND ds.pos <= s.start + s.n - 5
+          GROUP BY ALL),
+        b AS (SELECT item_id, shingle, count(*) AS y FROM own GROUP BY ALL),
+        size AS (SELECT item_id, sum(y) AS total FROM b GROUP BY ALL),
+        met AS (
+          SELECT doc_id, item_id, start, n, sum(least(x, coalesce(y, 0))) AS shared, any_value(n) - 4 AS here
+          FROM a LEFT JOIN b USING (item_id, shingle) GROUP BY doc_id, item_id, start, n),
+        sim AS (SELECT *, shared::DOUBLE / (here + total - shared)::DOUBLE AS similarity FROM met JOIN size USING (item_id))
+        SELECT doc_id, item_id, similarity, start::BIGINT AS first_word, n::BIGINT AS n_words FROM sim
+        WHERE similarity >= {contamination.SIMILAR}
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
+
+
 SQL: dict[str, str] = {
+    "op7_benchmark_decontamination": _leak_sql(),
     "op2_warc": """
         WITH p AS (
           SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
