@@ -9,15 +9,19 @@ shingles are 8 to 10 bits apart, out of reach of long keys; fingerprints of the
 meet 95 of 100 pairs at a similarity of 0.8 and over 99 of 100 from 0.9 on. Every pair that
 meets is compared exactly before anything goes.
 
-Groups of any size stay linear: in a round, each key ties its documents to its smallest one
-only; those found similar go, and the next round starts from what is left, until no key has
-more than CROWDED documents or a round finds nothing more. What is left then is compared pair
-by pair.
+Keys that more than CROWDED documents share are not joined with themselves. Each ties its
+documents to its leader only, the one whose fingerprints most others share (copies scatter
+around the text they were made from, so that is the one they resemble). Documents found similar
+to a leader are in its group and leave the keys to it, and the next round starts from what is
+left, until a round finds nothing. What is left then is compared pair by pair within the radius.
+So a group of any size costs rounds that are linear in it; what this gives up is links between
+documents of one key of which one already is in a leader's group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +31,7 @@ from pyspark.sql import types as T
 
 from treeloom.llm import simhash
 from treeloom.llm import words as W
+from treeloom.llm.components import components
 from treeloom.llm.tables import LAST_ID, order_id, slices, spread
 from treeloom.session import stage
 
@@ -115,80 +120,79 @@ def sieve(ids: DataFrame, column: str) -> Column | None:
     return found(at)
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``did, keeper, similarity`` of the pairs that are similar."""
-    a = sketches.select(F.col("did"), F.col("prints").alias("x"))
-    b = sketches.select(F.col("did").alias("keeper"), F.col("prints").alias("y"))
-    near = F.exists(
-        F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), lambda n: n <= RADIUS
-    )
-    close = pairs.join(a, "did").join(b, "keeper").filter(near).select("did", "keeper")
-    a = shingles.select("did", F.col("shingles").alias("x"))
-    b = shingles.select(F.col("did").alias("keeper"), F.col("shingles").alias("y"))
-    compared = close.join(a, "did").join(b, "keeper").select("did", "keeper", _jaccard("x", "y").alias("similarity"))
-    return compared.filter(f"similarity >= {SIMILAR}")
-
-
-def _similar(met: DataFrame, sketches: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Verified links of documents to smaller ones, such that of each pair that meets and is
-    similar at least one has such a link."""
-    schema = "did long, keeper long, similarity double"
-    found = met.sparkSession.createDataFrame([], schema)
-    live, left = met, None
+def _verified(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``a, b``: the pairs whose shingles are similar enough."""
+    x = shingles.select(F.col("did").alias("a"), F.col("shingles").alias("x"))
+    y = shingles.select(F.col("did").alias("b"), F.col("shingles").alias("y"))
+    return pairs.join(x, "a").join(y, "b").filter(_jaccard("x", "y") >= SIMILAR).select("a", "b")
+
+
+def _close(x: str, y: str) -> Column:
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= RADIUS
+
+
+def _links(met: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``a, b``: verified links between documents that meet under a key."""
+    live, found = met, []
     while True:
-        least = live.groupBy("key").agg(F.min("did").alias("keeper"), F.count("*").alias("n"))
-        crowd = least.agg(F.max("n")).first()[0] or 0
-        if crowd <= CROWDED or crowd == left:
+        lead = live.groupBy("key").agg(F.min(F.struct("order", "did", "fp")).alias("lead"), F.count("*").alias("n"))
+        lead = lead.filter(f"n > {CROWDED}")
+        pairs = live.join(lead, "key").filter((F.col("did") != F.col("lead.did")) & _close("fp", "lead.fp"))
+        pairs = pairs.select(F.col("did").alias("a"), F.col("lead.did").alias("b")).distinct()
+        new = stage(_verified(pairs, shingles), "links")
+        if new.isEmpty():
             break
-        pairs = live.join(least, "key").filter("did <> keeper").select("did", "keeper").distinct()
-        new = stage(_verified(pairs, sketches, shingles), "similar")
-        found = found.union(new)
-        live = stage(live.join(new.select("did").distinct(), "did", "left_anti"), "live")
-        left = crowd
-    other = live.select("key", F.col("did").alias("keeper"))
-    pairs = live.join(other, "key").filter("keeper < did").select("did", "keeper").distinct()
-    return found.union(stage(_verified(pairs, sketches, shingles), "similar"))
+        found.append(new)
+        live = stage(live.join(new.select(F.col("a").alias("did")).distinct(), "did", "left_anti"), "live")
+    other = live.select("key", F.col("did").alias("other"), F.col("fp").alias("other_fp"))
+    pairs = live.join(other, [live["key"] == other["key"], F.col("did") < F.col("other"), _close("fp", "other_fp")])
+    pairs = pairs.select(F.col("did").alias("a"), F.col("other").alias("b")).distinct()
+    found.append(stage(_verified(pairs, shingles), "links"))
+    return reduce(DataFrame.union, found)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``did, copy, similarity, keeper``: the rows that go, each with a smaller id it resembles.
+    """``did, copy, component`` for each different row: component is the smallest id of its group.
 
-    Exact copies go first (copy is the md5 of the text, similarity 1); the smallest id stays.
-    Every other row is named by its id and its text, and kept or not by its similarity. Null and
-    empty texts are copies of each other. Rows without an id, and all but one text of an id that
-    has several, are only compared as exact copies.
+    Rows with the same text (copy is its md5) are one; null and empty texts are the same. Rows
+    without an id (did is then the largest long), and all but one text of an id that has several,
+    are only grouped with their exact copies.
     """
-    rows = docs.select(order_id(id_col).alias("did"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(order_id(id_col).alias("did"), text.alias("text"))
     sketches = stage(rows.select("did", F.md5("text").alias("copy"), _sketch("text").alias("prints")), "sketches")
-    first = sketches.groupBy("copy").agg(F.min("did").alias("keeper"))
-    copies = sketches.join(first, "copy").filter("did <> keeper")
-    copies = copies.select("did", "copy", F.lit(1.0).alias("similarity"), "keeper")
-
-    one = sketches.groupBy("copy").agg(F.min("did").alias("did"), F.min("prints").alias("prints"))
-    one = one.filter(F.col("did") != LAST_ID).groupBy("did").agg(F.min(F.struct("copy", "prints")).alias("r"))
-    one = stage(one.select("did", "r.*"), "sketches")
-    table = F.explode(
-        F.array(*[F.struct(F.lit(t).alias("t"), F.col("prints")[t].alias("fp")) for t in range(TABLES)])
-    )
-    keys = F.when(F.col("p.t") == 0, simhash._variants(F.col("p.fp"), RADIUS))
+    copies = sketches.groupBy("copy").agg(F.min("did").alias("first"), F.min("prints").alias("prints"))
+
+    named = copies.filter(F.col("first") != LAST_ID).groupBy("first").agg(F.min(F.struct("copy", "prints")).alias("r"))
+    named = stage(named.select(F.col("first").alias("did"), "r.*"), "sketches")
+    prints = named.select("did", F.posexplode("prints").alias("t", "fp"))
+    # The text that copies were made from shares its fingerprints with many of them.
+    alike = prints.groupBy("t", "fp").agg(F.count("*").alias("n"))
+    order = prints.join(alike, ["t", "fp"]).groupBy("did").agg((-F.sum("n")).alias("order"))
+    keys = F.when(F.col("t") == 0, simhash._variants(F.col("fp"), RADIUS))
     for t in range(1, TABLES):
-        keys = keys.when(F.col("p.t") == t, simhash._variants(F.col("p.fp"), RADIUS, t))
-    met = spread(one, "did").select("did", table.alias("p")).select("did", F.explode(keys).alias("key"))
+        keys = keys.when(F.col("t") == t, simhash._variants(F.col("fp"), RADIUS, t))
+    met = spread(prints, "did", "t").select("did", F.explode(keys).alias("key"), "fp")
     met = met.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met = stage(met.select("key", "did"), "variants")
+    met = stage(met.select("key", "did", "fp"), "variants")
 
-    candidates = met.select("did").distinct()
+    candidates = stage(met.select("did").distinct(), "candidates")
     maybe = sieve(candidates, "did")
-    if maybe is None:
-        return copies
-    texts = rows.select("did", "text", F.md5("text").alias("copy")).filter(maybe)
-    texts = texts.join(candidates, "did", "left_semi").join(one.select("did", "copy"), ["did", "copy"])
-    texts = texts.groupBy("did").agg(F.first("text").alias("text"))
-    shingles = stage(texts.select("did", _shingles("text").alias("shingles")), "shingles")
-    found = _similar(met, one.select("did", "prints"), shingles)
-    found = found.groupBy("did").agg(F.max(F.struct("similarity", "keeper")).alias("r"))
-    found = found.join(one.select("did", "copy"), "did").select("did", "copy", "r.similarity", "r.keeper")
-    return copies.union(found)
+    if maybe is not None:
+        met = stage(met.join(order, "did"), "variants")
+        texts = rows.select("did", "text", F.md5("text").alias("copy")).filter(maybe)
+        texts = texts.join(candidates, "did", "left_semi").join(named.select("did", "copy"), ["did", "copy"])
+        texts = texts.groupBy("did").agg(F.first("text").alias("text"))
+        shingles = stage(texts.select("did", _shingles("text").alias("shingles")), "shingles")
+        roots = components(_links(met, shingles)).withColumnsRenamed({"node": "did", "root": "component"})
+        named = named.join(roots, "did", "left")
+        named = named.select("did", "copy", F.coalesce("component", "did").alias("component"))
+    else:
+        named = named.select("did", "copy", F.col("did").alias("component"))
+    named = named.select(F.col("did").alias("first"), "copy", "component")
+    classes = copies.select("first", "copy").join(named, ["first", "copy"], "left")
+    classes = classes.select("copy", F.coalesce("component", "first").alias("component"))
+    return sketches.select("did", "copy").distinct().join(classes, "copy").select("did", "copy", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,7 +202,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     did = order_id(id_col)
     copy = F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    gone = stage(near_duplicates(docs, id_col, text_col).select("did", "copy").distinct(), "gone")
+    groups = near_duplicates(docs, id_col, text_col)
+    gone = stage(groups.filter("did <> component").select("did", "copy"), "gone")
     twice = docs.groupBy(did.alias("did")).count().filter("count > 1").select("did")
     touched = stage(gone.select("did").union(twice).distinct(), "touched")
     maybe = sieve(touched, "did")
