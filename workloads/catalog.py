@@ -584,11 +584,22 @@ def _drain_documents(spark, log, target, checkpoint):
     return query
 
 
+def _folded_documents(spark, sf_dir):
+    """Table of one drained stream over both runs, in small batches, folded on the way."""
+
+    def build():
+        target = staging_path(spark, "documents")
+        stream = eventlog.stream(spark, routines_log(spark, sf_dir), "metadata", max_files_per_trigger=8)
+        document_stream.write_documents(
+            stream, target, staging_path(spark, "checkpoint"), fold_every=1
+        ).awaitTermination()
+        return target
+
+    return _once(spark, sf_dir, "folded-documents", build)
+
+
 def stream_documents(spark, sf_dir):
-    """Documents after one drained stream over both runs."""
-    target = staging_path(spark, "documents")
-    _drain_documents(spark, routines_log(spark, sf_dir), target, staging_path(spark, "checkpoint"))
-    return document_stream.documents(spark, target)
+    return document_stream.documents(spark, _folded_documents(spark, sf_dir))
 
 
 def report_dataset(spark, sf_dir):
@@ -668,7 +679,7 @@ def replay_counts(spark, sf_dir):
 
 
 def document_by_id(spark, sf_dir):
-    target, _ = _resumed(spark, sf_dir)
+    target = _folded_documents(spark, sf_dir)
     return document_stream.document(spark, target, f"{sources.REPOSITORY}/routines/0.py")
 
 
