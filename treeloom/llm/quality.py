@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from treeloom.llm import words as W
 from treeloom.llm.tables import slices
 
-SAMPLE = 1500
-WORDS = 1 << 13
+SAMPLE = 1000
+WORDS = 1 << 12
 SHAPES = 512
 DIMENSIONS = 64
 NEIGHBOURS = 25
@@ -144,12 +144,14 @@ def fit(
 
     rows = texts.mapInArrow(counted, "id string, label double, places array<long>, counts array<float>")
     # Repeated rows of one id add nothing.
-    rows = sorted(rows.dropDuplicates(["id"]).collect(), key=lambda r: r["id"])
-    counts = np.zeros((len(rows), WORDS + SHAPES), np.float32)
-    for i, r in enumerate(rows):
-        counts[i, r["places"]] = r["counts"]
-    labels_ = np.array([r["label"] for r in rows], np.float64)
-    if not len(rows):
+    rows = rows.dropDuplicates(["id"]).toArrow().combine_chunks().sort_by("id")
+    counts = np.zeros((rows.num_rows, WORDS + SHAPES), np.float32)
+    places, found = (rows.column(c).combine_chunks() for c in ("places", "counts"))
+    counts[
+        np.repeat(np.arange(rows.num_rows), places.value_lengths().to_numpy()), places.flatten().to_numpy()
+    ] = found.flatten().to_numpy()
+    labels_ = rows.column("label").to_numpy()
+    if not rows.num_rows:
         return Voters(np.zeros(WORDS + SHAPES, np.float32), np.zeros((WORDS + SHAPES, 0), np.float32), counts[:, :0], labels_)
     return Voters.build(counts, labels_)
 
