@@ -7,7 +7,7 @@ Method. Positions whose remainder modulo ``PERIOD`` is in ``COVER`` are anchors.
 perfect difference set, so any two positions reach an anchor of both by the same step of less
 than PERIOD; two equal windows of 50 words therefore share a whole anchor of 50 - 31 + 1 = 20
 words that starts at the same place in both. Only anchors are hashed and shuffled. Where one
-is found in two documents, the windows around it are hashed with 128 bits, and the smallest
+is found in two documents, the windows around it are hashed with 96 bits, and the smallest
 id of each decides.
 
 Every task first settles what it holds itself: of an anchor or window that several of its
@@ -34,7 +34,7 @@ ANCHOR = SIZE - PERIOD + 1
 
 _ANCHORS = pa.schema([("key", pa.int64()), ("did", pa.int64()), ("pos", pa.int32()), ("known", pa.bool_())])
 _WINDOWS = pa.schema(
-    [("key", pa.int64()), ("key2", pa.int64()), ("did", pa.int64()), ("tid", pa.int32()),
+    [("key", pa.int64()), ("key2", pa.int32()), ("did", pa.int64()), ("tid", pa.int32()),
      ("start", pa.int32()), ("n", pa.int32()), ("known", pa.bool_())]
 )
 _COUNTS = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
@@ -102,7 +102,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = starts[np.cumsum(edge)[starts] > 0]
             text = words.text_of()[starts]
             found.append(
-                (words.windows(starts, SIZE).view(np.int64), words.windows(starts, SIZE, 1).view(np.int64),
+                (words.windows(starts, SIZE).view(np.int64), words.windows(starts, SIZE, 1).astype(np.uint32).view(np.int32),
                  part.column("did").to_numpy(zero_copy_only=False)[text],
                  part.column("tid").to_numpy(zero_copy_only=False)[text],
                  (starts - words.first[text]).astype(np.int32))
@@ -173,7 +173,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .agg(F.collect_list("pos").alias("marks"))
     )
     windows = source.join(marks, "did").mapInArrow(
-        _windows, "key long, key2 long, did long, tid int, start int, n int, known boolean"
+        _windows, "key long, key2 int, did long, tid int, start int, n int, known boolean"
     )
     same = Window.partitionBy("key", "key2")
     gone = (
