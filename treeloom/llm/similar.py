@@ -5,8 +5,9 @@ a Jaccard similarity of SIMILAR or more. Candidates are found as in ``simhash``:
 of one-wildcard segment variants, with a check of the whole distance. What differs is what is
 hashed. One changed word changes five shingles, so at a similarity of 0.8 fingerprints of
 shingles are 8 to 10 bits apart, out of reach of long keys; fingerprints of the set of words are
-3 to 4 bits apart. TABLES independent ones of these, each with a radius of 3 bits, together
-meet 95 of 100 pairs at a similarity of 0.8 and over 99 of 100 from 0.9 on. Every pair that
+3 to 4 bits apart. Of 1,686 similar pairs measured, TABLES independent ones of these, each with
+a radius of 3 bits, met 93 of 100 at a similarity of 0.80 to 0.85, 98 at 0.85 to 0.90, and all
+above. Every pair that
 meets is compared exactly before anything goes.
 
 Keys that more than CROWDED documents share are not joined with themselves. Each ties its
