@@ -51,7 +51,7 @@ _RECORD_SCHEMA = pa.schema(
 
 
 def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else f"file:{path}")
+    return pyarrow.fs.FileSystem.from_uri(path)
 
 
 def record(row: dict) -> bytes:
