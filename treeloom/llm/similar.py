@@ -10,17 +10,23 @@ a radius of 3 bits, met 93 of 100 at a similarity of 0.80 to 0.85, 98 at 0.85 to
 above. Every pair that
 meets is compared exactly before anything goes.
 
-Keys that more than CROWDED documents share are not joined with themselves. Each ties its
-documents to its leader only, the one whose fingerprints most others share (copies scatter
-around the text they were made from, so that is the one they resemble). Documents found similar
-to a leader are in its group and leave the keys to it, and the next round starts from what is
-left, until a round finds nothing. What is left then is compared pair by pair within the radius.
-So a group of any size costs rounds that are linear in it; what this gives up is links between
-documents of one key of which one already is in a leader's group.
+Keys that more than CROWDED documents share are not joined with themselves. In rounds, each ties
+its documents to its leader, the one whose fingerprints most others share (copies scatter around
+the text they were made from, so that is the one they resemble). Documents found similar to a
+leader are in its group and lead or follow no more. Rounds only find the bulk of the links cheaply;
+all others of these documents come from an exact join of their shingles, which needs no key:
+
+Shingles are put in an order, rarest first. Of two documents similar enough, the larger has one
+of its first ``n - SIMILAR * n + 1`` shingles among the first ``m - 2 * SIMILAR / (1 + SIMILAR) * m + 1``
+of the other (prefix filter), their sizes are close (length filter), and from the shared shingle on
+both have enough left (positional filter). Only pairs that rounds have not put in one group are
+formed, and in each bucket of a shingle its largest group is never joined with itself. Any order
+gives the same links, so the counts that it comes from are kept in SKETCH counters.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,6 +47,10 @@ SIMILAR = 0.8
 TABLES = 4
 RADIUS = 3
 CROWDED = 100
+#: Rounds of leaders at most; what they leave is compared exactly.
+ROUNDS = 10
+#: Counters of shingles, by the low bits of their hashes.
+SKETCH = 1 << 20
 #: Bits of the filter that thins out texts before a shuffle (8 MB at most). Fuller, it thins less.
 SIEVE_BITS = 1 << 26
 
@@ -132,22 +142,115 @@ def _close(x: str, y: str) -> Column:
     return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= RADIUS
 
 
-def _links(met: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``a, b``: verified links between documents that meet under a key."""
-    live, found = met, []
-    while True:
+def _least(share: float, size: int) -> int:
+    """Fewest whole shingles that are a share of ``size``; rounding never makes it one too many."""
+    return math.ceil(share * size - 1e-9)
+
+
+def _prefixes(shingles: DataFrame) -> DataFrame:
+    """``key, did, at, size, index``: the first shingles of each document, rarest first.
+
+    key is the shingle below zero, at its place in the order, size the number of the document's
+    shingles. index is true of those among which a document as large or larger has one of its own.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            found = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(found & (SKETCH - 1), minlength=SKETCH)
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    counted = shingles.select("shingles").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    counted = counted.toArrow()
+    often = np.zeros(SKETCH, np.int64)
+    often[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    shared = shingles.sparkSession.sparkContext.broadcast(often)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, dids, places, sizes, indexed = [], [], [], [], []
+            for did, own in zip(batch.column("did").to_pylist(), batch.column("shingles"), strict=True):
+                own = own.values.to_numpy()
+                size = len(own)
+                if not size:
+                    continue
+                order = np.lexsort((own, shared.value[own & (SKETCH - 1)]))
+                n = size - _least(SIMILAR, size) + 1
+                keys.append(own[order[:n]] | np.int64(-1 << 63))
+                dids.append(np.full(n, did, np.int64))
+                places.append(np.arange(n, dtype=np.int32))
+                sizes.append(np.full(n, size, np.int32))
+                indexed.append(places[-1] < size - _least(2 * SIMILAR / (1 + SIMILAR), size) + 1)
+            if keys:
+                columns = [pa.array(np.concatenate(c)) for c in (keys, dids, places, sizes, indexed)]
+                yield pa.record_batch(columns, names=["key", "did", "at", "size", "index"])
+
+    return shingles.mapInArrow(first, "key long, did long, at int, size int, index boolean")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """``a, b``: pairs of documents of different groups that the three filters let through."""
+    groups = rows.groupBy("key", "group").agg(F.count("*").alias("n"), F.max("index").alias("index"))
+    groups = groups.groupBy("key").agg(
+        F.max_by("group", "n").alias("most"), F.count("*").alias("groups"), F.max("index").alias("any")
+    )
+    rows = stage(rows.join(groups.filter("groups > 1 and any").select("key", "most"), "key"), "prefixes")
+    small = rows.filter("index").alias("x")
+    least = 2 * SIMILAR / (1 + SIMILAR) / 2
+    left = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    pairs = [
+        small.filter(ours).join(
+            rows.filter(theirs).alias("y"),
+            [F.col("x.key") == F.col("y.key"), F.col("x.group") != F.col("y.group"), F.col("x.size") <= F.col("y.size"),
+             F.col("x.size") >= SIMILAR * F.col("y.size") - 1e-6,
+             left >= least * (F.col("x.size") + F.col("y.size")) - 1e-6],
+        ).select(F.least("x.did", "y.did").alias("a"), F.greatest("x.did", "y.did").alias("b"))
+        for ours, theirs in (("group <> most", "true"), ("group = most", "group <> most"))
+    ]
+    return pairs[0].union(pairs[1])
+
+
+def _links(met: DataFrame, shingles: DataFrame, order: DataFrame) -> DataFrame:
+    """``a, b``: verified links between documents; with those of one key, all that meet under it.
+
+    met: ``key, did, fp, n`` with the number of documents of the key; order: ``did, order``.
+    """
+    crowds = met.filter(f"n > {CROWDED}")
+    exact = stage(crowds.select("did").distinct(), "exact")
+    prefixes = _prefixes(shingles.join(exact, "did", "left_semi"))
+    prefixes = stage(prefixes.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1"), "prefixes")
+    # A key of a shingle has no fingerprint that must be close.
+    crowds = crowds.select("key", "did", "fp").union(
+        prefixes.filter(f"n > {CROWDED}").select("key", "did", F.lit(None).cast("long"))
+    )
+    live, found = stage(crowds.join(order, "did"), "live"), []
+    for _ in range(ROUNDS):
         lead = live.groupBy("key").agg(F.min(F.struct("order", "did", "fp")).alias("lead"), F.count("*").alias("n"))
         lead = lead.filter(f"n > {CROWDED}")
-        pairs = live.join(lead, "key").filter((F.col("did") != F.col("lead.did")) & _close("fp", "lead.fp"))
+        near = F.col("fp").isNull() | _close("fp", "lead.fp")
+        pairs = live.join(lead, "key").filter((F.col("did") != F.col("lead.did")) & near)
         pairs = pairs.select(F.col("did").alias("a"), F.col("lead.did").alias("b")).distinct()
         new = stage(_verified(pairs, shingles), "links")
         if new.isEmpty():
             break
         found.append(new)
         live = stage(live.join(new.select(F.col("a").alias("did")).distinct(), "did", "left_anti"), "live")
-    other = live.select("key", F.col("did").alias("other"), F.col("fp").alias("other_fp"))
-    pairs = live.join(other, [live["key"] == other["key"], F.col("did") < F.col("other"), _close("fp", "other_fp")])
-    pairs = pairs.select(F.col("did").alias("a"), F.col("other").alias("b")).distinct()
+
+    few = met.filter(f"n <= {CROWDED}").select("key", "did", "fp")
+    if found:
+        roots = stage(components(reduce(DataFrame.union, found)).withColumnsRenamed({"node": "did", "root": "group"}), "groups")
+        few, prefixes = (rows.join(roots, "did", "left") for rows in (few, prefixes))
+    else:
+        few, prefixes = (rows.withColumn("group", F.lit(None).cast("long")) for rows in (few, prefixes))
+    few, prefixes = (rows.withColumn("group", F.coalesce("group", "did")) for rows in (few, prefixes))
+    other = few.select("key", F.col("did").alias("other"), F.col("fp").alias("other_fp"), F.col("group").alias("other_group"))
+    pairs = few.join(
+        other,
+        [few["key"] == other["key"], F.col("did") < F.col("other"), F.col("group") != F.col("other_group"), _close("fp", "other_fp")],
+    )
+    pairs = pairs.select(F.col("did").alias("a"), F.col("other").alias("b")).union(_across(prefixes)).distinct()
     found.append(stage(_verified(pairs, shingles), "links"))
     return reduce(DataFrame.union, found)
 
@@ -175,17 +278,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         keys = keys.when(F.col("t") == t, simhash._variants(F.col("fp"), RADIUS, t))
     met = spread(prints, "did", "t").select("did", F.explode(keys).alias("key"), "fp")
     met = met.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met = stage(met.select("key", "did", "fp"), "variants")
+    met = stage(met.select("key", "did", "fp", "n"), "variants")
 
     candidates = stage(met.select("did").distinct(), "candidates")
     maybe = sieve(candidates, "did")
     if maybe is not None:
-        met = stage(met.join(order, "did"), "variants")
         texts = rows.select("did", "text", F.md5("text").alias("copy")).filter(maybe)
         texts = texts.join(candidates, "did", "left_semi").join(named.select("did", "copy"), ["did", "copy"])
         texts = texts.groupBy("did").agg(F.first("text").alias("text"))
         shingles = stage(texts.select("did", _shingles("text").alias("shingles")), "shingles")
-        roots = components(_links(met, shingles)).withColumnsRenamed({"node": "did", "root": "component"})
+        roots = components(_links(met, shingles, order)).withColumnsRenamed({"node": "did", "root": "component"})
         named = named.join(roots, "did", "left")
         named = named.select("did", "copy", F.coalesce("component", "did").alias("component"))
     else:
