@@ -8,13 +8,14 @@ shingles are 8 to 10 bits apart, out of reach of long keys; fingerprints of the
 3 to 4 bits apart. Of 1,686 similar pairs measured, TABLES independent ones of these, each with
 a radius of 3 bits, met 93 of 100 at a similarity of 0.80 to 0.85, 98 at 0.85 to 0.90, and all
 above. Every pair that
-meets is compared exactly before anything goes.
+meets is compared exactly before anything goes. In texts of few words one word flips many bits;
+those of SHORT different words or fewer meet in the exact join below, too.
 
 Keys that more than CROWDED documents share are not joined with themselves. In rounds, each ties
 its documents to its leader, the one whose fingerprints most others share (copies scatter around
 the text they were made from, so that is the one they resemble). Documents found similar to a
 leader are in its group and lead or follow no more. Rounds only find the bulk of the links cheaply;
-all others of these documents come from an exact join of their shingles, which needs no key:
+all others of these documents, and those of short ones, come from an exact join of their shingles, which needs no key:
 
 Shingles are put in an order, rarest first. Of two documents similar enough, the larger has one
 of its first ``n - SIMILAR * n + 1`` shingles among the first ``m - 2 * SIMILAR / (1 + SIMILAR) * m + 1``
@@ -47,6 +48,8 @@ SIMILAR = 0.8
 TABLES = 4
 RADIUS = 3
 CROWDED = 100
+#: Texts of so many different words or fewer are compared exactly: one word flips many of their bits.
+SHORT = 128
 #: Rounds of leaders at most; what they leave is compared exactly.
 ROUNDS = 10
 #: Counters of shingles, by the low bits of their hashes.
@@ -58,7 +61,10 @@ _SEEDS = W.mix(np.arange(1, TABLES + 1, dtype=np.uint64))
 
 
 def word_fingerprints(texts: pa.Array) -> np.ndarray:
-    """TABLES fingerprints of each text's set of words: letters and digits, A-Z lower-cased."""
+    """TABLES fingerprints of each text's set of words, and the number of words in it.
+
+    Words are letters and digits, A-Z lower-cased.
+    """
     words = W.split(texts, W.NOT_ALNUM, lower=True)
     text, hashes = words.text_of(), words.hashes()
     order = np.lexsort((hashes, text))
@@ -66,7 +72,8 @@ def word_fingerprints(texts: pa.Array) -> np.ndarray:
     new = np.append(True, (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1]))[: len(text)]
     text, hashes = text[new], hashes[new]
     some, first, counts = np.unique(text, return_index=True, return_counts=True)
-    out = np.zeros((len(texts), TABLES), np.uint64)
+    out = np.zeros((len(texts), TABLES + 1), np.uint64)
+    out[some, TABLES] = counts
     for t, seed in enumerate(_SEEDS if len(some) else ()):
         mixed = W.mix(hashes ^ seed).astype("<u8").view(np.uint8).reshape(-1, 8)
         bits = np.unpackbits(mixed, axis=1, bitorder="little")
@@ -80,8 +87,8 @@ def word_fingerprints(texts: pa.Array) -> np.ndarray:
 def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         found = [word_fingerprints(p.column(0)) for p in slices(pa.record_batch([texts], names=["text"]), "text")]
-        flat = np.concatenate([np.zeros((0, TABLES), np.uint64), *found]).view(np.int64).ravel()
-        yield pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, TABLES, dtype=np.int32), pa.array(flat))
+        flat = np.concatenate([np.zeros((0, TABLES + 1), np.uint64), *found]).view(np.int64).ravel()
+        yield pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, TABLES + 1, dtype=np.int32), pa.array(flat))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -212,13 +219,14 @@ def _across(rows: DataFrame) -> DataFrame:
     return pairs[0].union(pairs[1])
 
 
-def _links(met: DataFrame, shingles: DataFrame, order: DataFrame) -> DataFrame:
-    """``a, b``: verified links between documents; with those of one key, all that meet under it.
+def _links(met: DataFrame, shingles: DataFrame, order: DataFrame, short: DataFrame) -> DataFrame:
+    """``a, b``: verified links that join the same documents as all links do that keys and shingles find.
 
-    met: ``key, did, fp, n`` with the number of documents of the key; order: ``did, order``.
+    met: ``key, did, fp, n`` with the number of documents of the key; order: ``did, order``;
+    short: ``did`` of documents that are joined by their shingles whatever keys they have.
     """
     crowds = met.filter(f"n > {CROWDED}")
-    exact = stage(crowds.select("did").distinct(), "exact")
+    exact = stage(crowds.select("did").union(short).distinct(), "exact")
     prefixes = _prefixes(shingles.join(exact, "did", "left_semi"))
     prefixes = stage(prefixes.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1"), "prefixes")
     # A key of a shingle has no fingerprint that must be close.
@@ -269,7 +277,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = copies.filter(F.col("first") != LAST_ID).groupBy("first").agg(F.min(F.struct("copy", "prints")).alias("r"))
     named = stage(named.select(F.col("first").alias("did"), "r.*"), "sketches")
-    prints = named.select("did", F.posexplode("prints").alias("t", "fp"))
+    short = named.filter(F.col("prints")[TABLES] <= SHORT).select("did")
+    prints = named.select("did", F.posexplode("prints").alias("t", "fp")).filter(f"t < {TABLES}")
     # The text that copies were made from shares its fingerprints with many of them.
     alike = prints.groupBy("t", "fp").agg(F.count("*").alias("n"))
     order = prints.join(alike, ["t", "fp"]).groupBy("did").agg((-F.sum("n")).alias("order"))
@@ -280,14 +289,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = met.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
     met = stage(met.select("key", "did", "fp", "n"), "variants")
 
-    candidates = stage(met.select("did").distinct(), "candidates")
+    candidates = stage(met.select("did").union(short).distinct(), "candidates")
     maybe = sieve(candidates, "did")
     if maybe is not None:
         texts = rows.select("did", "text", F.md5("text").alias("copy")).filter(maybe)
         texts = texts.join(candidates, "did", "left_semi").join(named.select("did", "copy"), ["did", "copy"])
         texts = texts.groupBy("did").agg(F.first("text").alias("text"))
         shingles = stage(texts.select("did", _shingles("text").alias("shingles")), "shingles")
-        roots = components(_links(met, shingles, order)).withColumnsRenamed({"node": "did", "root": "component"})
+        roots = components(_links(met, shingles, order, short)).withColumnsRenamed({"node": "did", "root": "component"})
         named = named.join(roots, "did", "left")
         named = named.select("did", "copy", F.coalesce("component", "did").alias("component"))
     else:
