@@ -14,8 +14,9 @@ those of SHORT different words or fewer meet in the exact join below, too.
 Keys that more than CROWDED documents share are not joined with themselves. In rounds, each ties
 its documents to its leader, the one whose fingerprints most others share (copies scatter around
 the text they were made from, so that is the one they resemble). Documents found similar to a
-leader are in its group and lead or follow no more. Rounds only find the bulk of the links cheaply;
-all others of these documents, and those of short ones, come from an exact join of their shingles, which needs no key:
+leader are in its group and lead or follow no more; a leader leads each key once. Rounds only
+find the bulk of the links cheaply; all others of these documents, and those of short ones, come
+from an exact join of their shingles, which needs no key:
 
 Shingles are put in an order, rarest first. Of two documents similar enough, the larger has one
 of its first ``n - SIMILAR * n + 1`` shingles among the first ``m - 2 * SIMILAR / (1 + SIMILAR) * m + 1``
@@ -52,6 +53,8 @@ CROWDED = 100
 SHORT = 128
 #: Rounds of leaders at most; what they leave is compared exactly.
 ROUNDS = 10
+#: Rounds in a row that tie nothing, after which no more are tried.
+IDLE = 3
 #: Counters of shingles, by the low bits of their hashes.
 SKETCH = 1 << 20
 #: Bits of the filter that thins out texts before a shuffle (8 MB at most). Fuller, it thins less.
@@ -233,18 +236,27 @@ def _links(met: DataFrame, shingles: DataFrame, order: DataFrame, short: DataFra
     crowds = crowds.select("key", "did", "fp").union(
         prefixes.filter(f"n > {CROWDED}").select("key", "did", F.lit(None).cast("long"))
     )
-    live, found = stage(crowds.join(order, "did"), "live"), []
+    live, found, idle = stage(crowds.join(order, "did"), "live"), [], 0
     for _ in range(ROUNDS):
         lead = live.groupBy("key").agg(F.min(F.struct("order", "did", "fp")).alias("lead"), F.count("*").alias("n"))
-        lead = lead.filter(f"n > {CROWDED}")
+        lead = stage(lead.filter(f"n > {CROWDED}"), "leaders")
+        if lead.isEmpty():
+            break
         near = F.col("fp").isNull() | _close("fp", "lead.fp")
         pairs = live.join(lead, "key").filter((F.col("did") != F.col("lead.did")) & near)
         pairs = pairs.select(F.col("did").alias("a"), F.col("lead.did").alias("b")).distinct()
         new = stage(_verified(pairs, shingles), "links")
+        # A leader has met all of its key; the next round takes another, should it resemble nobody.
+        live = live.join(lead.select("key", "lead.did"), ["key", "did"], "left_anti")
         if new.isEmpty():
-            break
-        found.append(new)
-        live = stage(live.join(new.select(F.col("a").alias("did")).distinct(), "did", "left_anti"), "live")
+            idle += 1
+            if idle == IDLE:
+                break
+        else:
+            idle = 0
+            found.append(new)
+            live = live.join(new.select(F.col("a").alias("did")).distinct(), "did", "left_anti")
+        live = stage(live, "live")
 
     few = met.filter(f"n <= {CROWDED}").select("key", "did", "fp")
     if found:
