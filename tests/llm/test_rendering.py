@@ -56,3 +56,49 @@ def test_rows_come_back(spark):
     assert [r.shown for r in got] == ["a", "a", "", "", ("long " * 200_000).strip()]
     assert [tuple(r)[:3] for r in got] == rows
     assert rendering.with_text(pages.limit(0), "shown").count() == 0
+
+
+@pytest.mark.parametrize(
+    "css, seen",
+    [
+        ("@media print { nav, .a { display: none } }", True),
+        ("@media print{.a{display:none}} .a{color:red}", True),
+        ("@media screen{.a{display:none}}", False),
+        ("@media print, screen{.a{display:none}}", False),
+        ("@media not print{.a{display:none}}", False),
+        ("@media not screen{.a{display:none}}", True),
+        ("@media (max-width: 600px){.a{display:none}}", True),
+        (".a{display:none}@media(min-width:600px){.a{display:block}}", True),
+        (".a{display:none} .a{display:block}", True),
+        (".a{display:block} .a{display:none}", False),
+        (".a{display:none !important} .a{display:block}", False),
+        (".a{display:none} .a{color:red}", False),
+        (".a{content:'}';display:none}", False),
+        ("/* .b{ */ .a{display:none}", False),
+        ("@keyframes k{from{display:none}} i{color:red}", True),
+        ("@import 'x';.a{display:none}", False),
+        (".a{display:none", False),
+    ],
+)
+def test_sheets(css, seen):
+    assert render(f"<style>{css}</style>x<i class=a>y</i>") == ("xy" if seen else "x")
+
+
+def test_print_sheets_and_order_of_sheets():
+    assert render("<style media=print>.a{display:none}</style><i class=a>y</i>") == "y"
+    assert render("<style>.a{display:none}</style><style>.a{display:inline}</style><i class=a>y</i>") == "y"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<script>no</script>yes", "yes"),
+        ("<style>.a{color:red}</style>yes", "yes"),
+        ("<div hidden>no<div>no</div>no</div>yes", "yes"),
+        ("<p style='display:none'>no<b>no</b><div>yes</div>", "yes"),
+        ("<ul><li hidden>no<li>yes</ul>", "yes"),
+        ("<div hidden>no<ul><li>no</ul>no</div>yes", "yes"),
+    ],
+)
+def test_unseen_text_stays_out_in_depth(html, text):
+    assert render("<div>" * 400 + html).strip(" -") == text

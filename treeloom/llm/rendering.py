@@ -4,7 +4,9 @@ Method. A tree is built from the tags with the usual implied ends (a new item en
 before it, a block ends an open paragraph, a row ends a cell, and so on) and unmatched ends
 ignored. Rendering walks the tree. Text that is not shown is left out: head, scripts, styles,
 templates, embedded media, hidden attributes, closed details and dialogs, and whatever inline
-styles or plain rules of the page's own style sheets (a tag, a class or an id) hide. All else
+styles or plain rules of the page's own style sheets (a tag, a class or an id) hide. Of the rules
+for a selector the last one wins; those for print do not count, and those that depend on the
+screen can show but not hide. All else
 comes out: inline text with white space collapsed, blocks on lines of their own with a blank
 line around those that have margins, list items with their bullet or number and indentation,
 preformatted text as it is, and tables as aligned columns.
@@ -52,7 +54,9 @@ NO_PARAGRAPH = BLOCK - {"body", "html", "td", "th", "tr", "caption", "thead", "t
 BOUNDS = frozenset({"table", "td", "th", "caption", "template", "html"})
 
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+_MARK = re.compile(r"""[{};]|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'""", re.S)
+_SHOWS = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*important)?\s*\Z", re.I)
 _SIMPLE = re.compile(r"[.#]?[A-Za-z_][\w-]*\Z")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -64,6 +68,14 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def _shown(node: Node) -> bool:
+    """Whether neither the element's tag nor its attributes hide it."""
+    attrs = node.attrs
+    if node.tag in UNSEEN or "hidden" in attrs or node.tag == "dialog" and "open" not in attrs:
+        return False
+    return not ("style" in attrs and _HIDES.search(attrs["style"]))
+
+
 class TreeBuilder(HTMLParser):
     """The element tree of one page. Whatever the markup is, it ends with a tree."""
 
@@ -71,8 +83,26 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.unseen: Node | None = None  # an element below DEPTH that is not shown, until it ends
+        self.inside: dict[str, int] = {}  # elements that started in it and have not ended
+
+    def _in_unseen(self, tag) -> bool:
+        """Whether a new element belongs to the unseen one; ends that one if it does not."""
+        if self.unseen is None:
+            return False
+        ends, bounds = ENDS.get(tag, (set(), set()))
+        if tag in NO_PARAGRAPH and tag not in ENDS:
+            ends, bounds = {"p"}, BOUNDS | BLOCK
+        if self.unseen.tag in ends and not any(self.inside.get(b) for b in bounds):
+            self.unseen = None
+            return False
+        return True
 
     def handle_starttag(self, tag, attrs):
+        if self._in_unseen(tag):
+            if tag not in VOID:
+                self.inside[tag] = self.inside.get(tag, 0) + 1
+            return
         if tag in ("html", "body") and any(n.tag == tag for n in self.open):
             return
         if tag in ENDS:
@@ -85,6 +115,8 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in VOID and len(self.open) < DEPTH:
             self.open.append(node)
+        elif tag not in VOID and not _shown(node):
+            self.unseen, self.inside = node, {}
 
     def _has(self, tag) -> bool:
         return any(n.tag == tag for n in self.open)
@@ -107,6 +139,16 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
             return  # what follows still belongs to the page
+        if self.unseen is not None:
+            if self.inside.get(tag):
+                self.inside[tag] -= 1
+                return
+            if tag == self.unseen.tag:
+                self.unseen = None
+                return
+            if not self._has(tag):
+                return
+            self.unseen = None
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
                 del self.open[i:]
@@ -117,6 +159,9 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.unseen is not None:
+            self.unseen.children.append(data)
+            return
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
         self.open[-1].children.append(data)
@@ -127,19 +172,81 @@ class TreeBuilder(HTMLParser):
         return end + 1 if end >= 0 else len(self.rawdata)
 
 
+#: Whether rules apply to a reader's screen.
+NO, MAYBE, YES = range(3)
+
+
+def _applies(media: str) -> int:
+    """Whether a list of media queries holds on a screen; MAYBE if that depends on the screen."""
+    found = []
+    for query in media.lower().split(","):
+        words = query.split("(")[0].split()
+        kind = [w for w in words if w not in ("only", "not", "and")]
+        holds = NO if kind and kind[0] not in ("all", "screen") else MAYBE if "(" in query else YES
+        if words[:1] == ["not"]:
+            holds = YES - holds
+        found.append(holds)
+    return max(found)
+
+
+def _inner(prelude: str) -> int:
+    """Whether the rules inside an at-rule apply."""
+    name, _, condition = prelude[1:].partition(" ")
+    if "(" in name:
+        name, condition = name[: name.index("(")], prelude[prelude.index("(") :]
+    name = name.strip().lower()
+    if name == "media":
+        return _applies(condition)
+    if name == "supports":
+        return NO if condition.strip().lower().startswith("not") else YES
+    return {"layer": YES, "container": MAYBE, "scope": MAYBE}.get(name, NO)
+
+
+def _declarations(css: str, applies: int) -> Iterator[tuple[str, str, int]]:
+    """Selectors, one declaration, and whether it applies, in order."""
+    css = _COMMENT.sub(" ", css)
+    blocks: list[tuple[str | None, int]] = [(None, applies)]  # selectors (None: holds rules), applies
+    start = 0
+    for mark in _MARK.finditer(css):
+        if mark[0] not in "{};":
+            continue
+        text, start = css[start : mark.start()].strip(), mark.end()
+        selectors, holds = blocks[-1]
+        if mark[0] == "{":
+            if selectors is not None:
+                blocks.append((None, NO))  # a nested rule has no simple selector
+            elif text.startswith("@"):
+                blocks.append((None, min(holds, _inner(" ".join(text.split())))))
+            else:
+                blocks.append((text, holds))
+            continue
+        if selectors is not None and text:
+            yield selectors, text, holds
+        if mark[0] == "}" and len(blocks) > 1:
+            blocks.pop()
+    if blocks[-1][0] is not None:
+        yield blocks[-1][0], css[start:], blocks[-1][1]
+
+
 def _hidden_by_sheets(root: Node) -> frozenset[str]:
     """Simple selectors that the page's style elements hide."""
-    out, todo = set(), [root]
+    last: dict[tuple[str, str], tuple[bool, bool]] = {}  # selector and property: important, hidden
+    todo = [root]
     while todo:
         node = todo.pop()
-        for child in node.children:
-            if isinstance(child, Node):
-                todo.append(child)
-            elif node.tag == "style":
-                for selectors, body in _RULE.findall(child):
-                    if _HIDES.search(body):
-                        out |= {s.strip() for s in selectors.split(",") if _SIMPLE.match(s.strip())}
-    return frozenset(out)
+        if node.tag == "style":
+            css = "".join(c for c in node.children if isinstance(c, str))
+            for selectors, text, holds in _declarations(css, _applies(node.attrs.get("media", ""))):
+                found = _SHOWS.match(text)
+                hides = bool(found and _HIDES.search(f"{found[1]}:{found[2]}"))
+                if not found or holds == NO or hides and holds == MAYBE:
+                    continue
+                for selector in map(str.strip, selectors.split(",")):
+                    at = selector, found[1].lower()
+                    if _SIMPLE.match(selector) and (found[3] or not last.get(at, (False,))[0]):
+                        last[at] = bool(found[3]), hides
+        todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return frozenset(selector for (selector, _), (_, hides) in last.items() if hides)
 
 
 class Lines:
@@ -188,9 +295,7 @@ class Renderer:
 
     def seen(self, node: Node) -> bool:
         attrs = node.attrs
-        if node.tag in UNSEEN or "hidden" in attrs or node.tag == "dialog" and "open" not in attrs:
-            return False
-        if "style" in attrs and _HIDES.search(attrs["style"]):
+        if not _shown(node):
             return False
         return not self.hidden or not (
             node.tag in self.hidden
