@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import contamination, language, licenses, mixing, outliers, quality, rendering, simhash, substrings, warc
+from treeloom.llm import (
+    contamination, jaccard, language, licenses, mixing, negatives, outliers, quality, rendering, simhash, spelling, substrings, warc,
+)
 from treeloom.llm.tables import read
 
 WHITE = r"[ \t\n\x0B\f\r]+"
@@ -132,9 +134,26 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive, some labels moved on by one first."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", "embedding", label.alias("label")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents, some runs short of a letter, with their forms and roots."""
+    return spelling.variants(read(spark, sf_dir, "documents"), drop_every=97)
+
+
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of shingles of every document and the smallest id that similar ones reach."""
+    return jaccard.similar_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_warc, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup)
+    for f in (op1_substring_dedup, op2_warc, op3_quality_classifier, op4_quality_rules, op5_language_id, op6_license_scan, op7_benchmark_decontamination, op8_source_mixing, op9_html_extraction, op10_simhash_near_dedup, op11_hard_negatives, op12_spelling_variants, op13_ngram_jaccard)
 }
 
 def _leak_sql() -> str:
@@ -169,7 +188,98 @@ def _leak_sql() -> str:
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
 
 
+NEGATIVES_SQL = """
+    WITH v AS (
+      SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same,
+        list_sum(list_transform(list_zip(a.v, b.v), lambda x: x[1] * x[2]))::BIGINT AS score
+      FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 50 = 0),
+    p AS (
+      SELECT anchor, other AS positive, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5),
+    n AS (
+      SELECT p.anchor, positive, s.other, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, positive ORDER BY s.score DESC, s.other) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND NOT same
+      WHERE 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT anchor AS anchor_id, positive AS positive_id, rank::INTEGER AS rank, other AS negative_id,
+      positive_score, negative_score
+    FROM n WHERE rank <= 3"""
+
+#: The checksum is crc32, byte by byte from its table.
+SPELLING_SQL = """
+    WITH RECURSIVE crc AS (
+      SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+      FROM range(256) r(i)),
+    run AS (
+      SELECT doc_id, run, count(*) AS n
+      FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{00C0}-\\x{00FF}]+')) AS run
+        FROM documents)
+      GROUP BY ALL),
+    sum AS (
+      SELECT run, n, xor(list_reduce(
+        flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+          lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+      FROM run, crc),
+    w AS (
+      SELECT word, sum(n)::BIGINT AS n
+      FROM (
+        SELECT n, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+        FROM sum)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cut AS (
+      SELECT word, n, pos, word[:pos] || word[pos + 2:] AS rest
+      FROM (SELECT *, unnest(range(length(word))) AS pos FROM w)),
+    near AS (
+      SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b USING (pos, rest) WHERE a.word <> b.word
+      UNION SELECT cut.word, w.word, w.n FROM cut JOIN w ON w.word = rest
+      UNION SELECT w.word, cut.word, cut.n FROM cut JOIN w ON w.word = rest),
+    best AS (
+      SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+    form AS (
+      SELECT w.word, min(other) AS form, any_value(most) AS form_n
+      FROM w JOIN best USING (word) JOIN near ON near.word = w.word AND near.n = most
+      WHERE most >= 2 * w.n GROUP BY w.word),
+    way(word, root) AS (
+      SELECT word, word FROM w
+      UNION SELECT way.word, form.form FROM way JOIN form ON form.word = way.root),
+    last AS (SELECT word, root FROM way WHERE root NOT IN (SELECT word FROM form))
+    SELECT w.word, form, root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+    FROM w LEFT JOIN form USING (word) LEFT JOIN best USING (word) JOIN last USING (word)"""
+
+
 SQL: dict[str, str] = {
+    "op11_hard_negatives": NEGATIVES_SQL,
+    "op12_spelling_variants": SPELLING_SQL,
+    "op13_ngram_jaccard": """
+        WITH RECURSIVE w AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+          FROM documents),
+        s AS (
+          SELECT DISTINCT doc_id, array_to_string(words[start:start + 3], ' ') AS shingle
+          FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS start FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        met AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x
+          FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        link AS (
+          SELECT a, b FROM met JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * x >= 85 * (na.n + nb.n - x)),
+        way AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION SELECT reach.doc_id, way.b FROM reach JOIN way ON way.a = reach.other)
+        SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op7_benchmark_decontamination": _leak_sql(),
     "op2_warc": """
         WITH p AS (
