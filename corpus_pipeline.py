@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from treeloom.llm import contamination, language, mixing, similar, substrings  # noqa: E402
+from treeloom.llm import contamination, language, mixing, simhash, substrings  # noqa: E402
 from treeloom.llm.tables import read  # noqa: E402
 from treeloom.session import ship_package, stage  # noqa: E402
 
@@ -26,9 +26,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near duplicates: fingerprints of three-word shingles, two bits apart at most."""
     ship_package(spark)
-    return similar.keep_one(docs)
+    return simhash.keep_one(docs, shingle=3, radius=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
