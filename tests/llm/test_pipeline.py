@@ -30,7 +30,7 @@ def test_empty_and_null_documents(spark, docs_of, sf_dir):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     got = queries.QUERIES[name](spark, sf_dir)
     columns = ", ".join(got.columns)

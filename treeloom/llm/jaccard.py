@@ -2,21 +2,23 @@
 
 Method. Similar documents are put in groups, and a group is known by the union of its members' tokens
 (a row of the token-group matrix). A document that is similar to a member shares at least ALIKE
-hundredths of its own tokens with that union, so the overlap of the two bounds all similarities in the group at once, and
-only a group that reaches it is opened and compared with exactly, member by member.
+hundredths of its own tokens with that union, so the overlap of the two bounds all similarities in
+the group at once, and only a group that reaches it is opened and compared with exactly, member by
+member.
 
-Equal sets are one. Tokens have an order, rare ones first; two similar sets share one of the first
-``n - ceil(ALIKE * n / 100) + 1`` of each, so only sets and groups that meet in such a token are
-held against each other, and only if their sizes and the tokens left from there on allow it. Any
-order gives the same links; it comes from counts of all tokens in SKETCH counters.
+Equal sets are one. Tokens have an order, rare ones first; two similar sets share ``MEET`` of the first
+``n - ceil(ALIKE * n / 100) + MEET`` of each (all of them, in sets of fewer). So a set with fewer of
+those that any other set has goes no further, and only sets and groups that share so many are held
+against each other, if their sizes and the tokens left from the first on allow it. Any order gives the same
+links; it comes from counts of all tokens in SKETCH counters.
 
 Groups are sets with the same smallest token hash, in pieces of GROUP. The member with the most
 common tokens leads its group, and those similar to it are tied to it. For tokens that more than
 CROWDED sets share, the leader of the largest class there is compared with all other sets of the
-token, which ties what scatters around one text without comparing it pair by pair. Last, every
-token that still has sets of two classes brings those of its smaller classes together with the groups that hold
-members of larger ones. Sets that links already join are never compared again: the result is
-classes, and a further link between two members of one changes nothing.
+token, which ties what scatters around one text without comparing it pair by pair. Last, classes
+are the groups, in pieces of GROUP, and every token brings the sets of smaller classes together
+with the groups of larger ones. Sets that links already join are never compared again: the result
+is classes, and a further link between two members of one changes nothing.
 """
 
 from __future__ import annotations
@@ -36,16 +38,18 @@ from treeloom.session import stage
 
 SHINGLE = 4
 ALIKE = 85
+#: First tokens that similar sets must share.
+MEET = 4
 #: Counters of tokens, by the low bits of their hashes.
 SKETCH = 1 << 18
 #: Members of a group and tokens of all of them, on average.
-GROUP, GROUP_TOKENS = 128, 1 << 21
+GROUP, GROUP_TOKENS = 128, 1 << 18
 #: Counters of group keys that are split.
 SPLIT = 1 << 20
 #: Sets of a token above which leaders come first, and rounds of leaders.
 CROWDED, ROUNDS = 32, 2
-#: Queries that one copy of a group meets, on average.
-QUERIES = 512
+#: Queries that one copy of a group meets and their tokens, on average.
+QUERIES, QUERY_TOKENS = 512, 1 << 18
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +116,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
                 text = np.repeat(np.arange(len(counts)), counts)
                 order = np.lexsort((tokens, often.value[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)], text))
                 place = np.arange(len(tokens)) - (np.cumsum(counts) - counts)[text]
-                first = np.where(counts > 0, counts - _least(counts) + 1, 0)
+                first = counts - _least(counts) + np.minimum(MEET, _least(counts))
                 taken = tokens[order][place < first[text]]
                 yield pa.record_batch(
                     [part.column("did"), pa.array(_names(tokens, counts)), pa.array(counts.astype(np.int32)), _lists(taken, first)],
@@ -266,37 +270,40 @@ def _opened(pairs: DataFrame, members: DataFrame, tokens: DataFrame, classes: Da
 
     members: ``gid, uid``. A group that many queries ask for is copied, a copy for about QUERIES of them.
     """
-    pairs = stage(pairs.distinct(), "pairs")
-    copies = pairs.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).alias("copies"))
+    pairs = stage(pairs.join(classes.select("uid", "class", "n"), "uid"), "pairs")
+    copies = F.ceil(F.greatest(F.count("*") / QUERIES, F.sum("n") / QUERY_TOKENS))
+    copies = pairs.groupBy("gid").agg(copies.alias("copies"))
     queries = pairs.join(copies, "gid").select(
-        "gid", F.pmod(F.xxhash64("uid"), "copies").alias("salt"), "uid", F.lit(False).alias("member")
-    )
-    targets = members.join(copies, "gid").select(
-        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"), "uid", F.lit(True).alias("member")
+        "gid", F.pmod(F.xxhash64("uid"), "copies").alias("salt"), "uid", "class", F.lit(False).alias("member")
     )
+    targets = members.join(copies, "gid").join(classes.select("uid", "class"), "uid").select(
+        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"), "uid", "class", F.lit(True).alias("member")
+    )
     asked = stage(queries.union(targets), "asked")
     needed = sieve(asked.select("uid"), "uid")
     if needed is None:
         return pairs.select(F.col("uid").alias("a"), F.col("gid").alias("b")).limit(0)
-    rows = asked.join(classes, "uid").join(tokens.filter(needed), "uid")
+    rows = asked.join(tokens.filter(needed), "uid")
     rows = spread(rows, "gid", "salt").sortWithinPartitions("gid", "salt")
     return rows.mapInArrow(lambda batches: _merged(_open(batches)), "a long, b long")
 
 
 def _classes(uids: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """``uid, class, size`` of all candidates."""
+    """``uid, n, class, size, gid`` of all candidates: the class with its size, and a piece of it as the group."""
     roots = components(reduce(DataFrame.union, links)).select(F.col("node").alias("uid"), F.col("root").alias("class"))
-    found = uids.join(roots, "uid", "left").select("uid", F.coalesce("class", "uid").alias("class"))
-    size = found.groupBy("class").agg(F.count("*").alias("size"))
-    return stage(found.join(size, "class").select("uid", "class", "size"), "classes")
+    found = uids.join(roots, "uid", "left").select("uid", "n", F.coalesce("class", "uid").alias("class"))
+    pieces = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_TOKENS))
+    size = found.groupBy("class").agg(F.count("*").alias("size"), pieces.alias("pieces"))
+    gid = F.xxhash64("class", F.pmod(F.xxhash64("uid"), "pieces"))
+    return stage(found.join(size, "class").select("uid", "n", "class", "size", gid.alias("gid")), "classes")
 
 
-def _mixed(prefixes: DataFrame, classes: DataFrame, least: int = 0) -> DataFrame:
-    """The rows of tokens that sets of two classes share, with ``rank``, the class with its size, and the token's ``top``."""
-    rows = prefixes.join(classes, "uid").withColumn("rank", F.struct("size", "class"))
-    keys = rows.groupBy("key").agg(F.min("rank").alias("low"), F.max("rank").alias("top"), F.count("*").alias("sets"))
-    keys = keys.filter((F.col("low") != F.col("top")) & (F.col("sets") > least)).select("key", "top")
-    return rows.join(keys, "key")
+def _below_top(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``key, size, class`` with ``top``, the largest class of the key, where there are two."""
+    keys = rows.groupBy("key").agg(
+        F.min("class").alias("one"), F.max("class").alias("other"), F.max(F.struct("size", "class")).alias("top")
+    )
+    return rows.join(keys.filter("one <> other").select("key", "top"), "key")
 
 
 def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Column) -> Column:
@@ -309,31 +316,52 @@ def _links(prefixes: DataFrame, tokens: DataFrame) -> list[DataFrame]:
     """Links that join the same sets as all links do."""
     groups = spread(_grouped(tokens), "gid").sortWithinPartitions("gid")
     groups = stage(groups.mapInArrow(lambda b: _merged(_lead(b)), "uid long, gid long, leader long"), "groups")
-    uids = stage(groups.select("uid").distinct(), "uids")
+    uids = prefixes.select("uid", "n")
     links = [groups.filter("uid <> leader").select(F.col("uid").alias("a"), F.col("leader").alias("b"))]
     classes = _classes(uids, links)
-    leaders = groups.join(classes, "uid").groupBy("class", "leader").agg(F.count("*").alias("led"))
+    leaders = groups.select("uid", "leader").join(classes, "uid").groupBy("class", "leader").agg(F.count("*").alias("led"))
     leaders = stage(leaders.groupBy("class").agg(F.max_by("leader", "led").alias("leader")), "leaders")
+    crowded = prefixes.select("uid", F.explode(F.filter("keys", lambda k: k["sets"] > CROWDED)).alias("k")).select("uid", "k.key")
+    crowded = stage(crowded, "crowded")
     for _ in range(ROUNDS):
-        rows = _mixed(prefixes, classes, CROWDED).filter("rank < top").select("uid", F.col("top.class").alias("class"))
-        pairs = stage(rows.distinct().join(leaders, "class").select("uid", F.col("leader").alias("gid")), "pairs")
+        rows = _below_top(crowded.join(classes, "uid")).filter("struct(size, class) < top")
+        pairs = rows.select("uid", F.col("top.class").alias("class")).distinct().join(leaders, "class")
+        pairs = stage(pairs.select("uid", F.col("leader").alias("gid")), "pairs")
         if pairs.isEmpty():
             break
         members = pairs.select("gid", F.col("gid").alias("uid")).distinct()
-        links.append(stage(_opened(pairs, members, tokens, classes.select("uid", "class")), "links"))
+        links.append(stage(_opened(pairs, members, tokens, classes), "links"))
         classes = _classes(uids, links)
-    rows = stage(_mixed(prefixes, classes), "mixed")
-    queries = rows.filter("rank < top").select("key", "uid", "at", "n", "rank").alias("q")
-    targets = rows.join(groups.select("uid", "gid").distinct(), "uid").groupBy("key", "gid").agg(
-        F.max("rank").alias("most"), F.min("at").alias("at"), F.min("n").alias("n_least"), F.max("n").alias("n_most")
+
+    rows = prefixes.select("uid", "keys").join(classes, "uid").select("uid", "n", "class", "size", "gid", F.explode("keys").alias("k"))
+    rows = rows.select("uid", "n", "class", "size", "gid", "k.key", "k.at", (F.col("k.sets") > CROWDED).alias("crowded"))
+    few = rows.filter("not crowded")
+    q, g = few.alias("q"), few.select("key", "class", "size", "gid", "n", "at").alias("g")
+    hits = q.join(g, [F.col("q.key") == F.col("g.key"), F.expr("struct(q.size, q.class) < struct(g.size, g.class)")])
+    hits = hits.select(
+        "q.uid", "g.gid", "q.n", "q.key", _fit(F.col("q.n"), F.col("q.at"), F.col("g.n"), F.col("g.n"), F.col("g.at")).alias("fit")
+    )
+    many = rows.filter("crowded")
+    q = _below_top(many).filter("struct(size, class) < top").alias("q")
+    g = many.groupBy("key", "gid").agg(
+        F.max(F.struct("size", "class")).alias("rank"), F.min("at").alias("at"), F.min("n").alias("n_least"), F.max("n").alias("n_most")
     ).alias("g")
     fit = _fit(F.col("q.n"), F.col("q.at"), F.col("g.n_least"), F.col("g.n_most"), F.col("g.at"))
-    pairs = queries.join(targets, [F.col("q.key") == F.col("g.key"), F.col("q.rank") < F.col("g.most"), fit])
-    pairs = pairs.select("q.uid", "g.gid")
-    links.append(stage(_opened(pairs, groups.select("gid", "uid").distinct(), tokens, classes.select("uid", "class")), "links"))
+    more = q.join(g, [F.col("q.key") == F.col("g.key"), F.expr("struct(q.size, q.class) < g.rank")])
+    hits = hits.union(more.select("q.uid", "g.gid", "q.n", "q.key", fit.alias("fit")))
+    # Members of a group that share a token with the query count it once.
+    hits = hits.groupBy("uid", "gid", "key").agg(F.max("n").alias("n"), F.max("fit").alias("fit"))
+    hits = hits.groupBy("uid", "gid").agg(F.count("*").alias("met"), F.max("n").alias("n"), F.max("fit").alias("fit"))
+    pairs = hits.filter(F.col("fit") & (F.col("met") >= _meet("n"))).select("uid", "gid")
+    links.append(stage(_opened(pairs, classes.select("gid", "uid"), tokens, classes), "links"))
     return links
 
 
+def _meet(n: str) -> Column:
+    """First tokens that a set of ``n`` shares with any similar one."""
+    return F.least(F.lit(MEET), F.ceil(F.col(n) * ALIKE / 100))
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
@@ -352,10 +380,13 @@ def similar_documents(
     unique = sets.filter("n > 0").groupBy("uid").agg(F.min("did").alias("did"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     unique = stage(unique, "unique")
     first = unique.select("uid", "n", F.posexplode("prefix").alias("at", "key"))
-    shared = first.groupBy("key").count().filter("count > 1").select("key")
-    prefixes = stage(first.join(shared, "key"), "prefixes")
+    shared = first.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
+    prefixes = first.join(shared, "key").groupBy("uid").agg(
+        F.max("n").alias("n"), F.collect_list(F.struct("key", "at", "sets")).alias("keys")
+    )
+    prefixes = stage(prefixes.filter(F.size("keys") >= _meet("n")), "prefixes")
     ids = unique.select("uid", "did")
-    needed = sieve(prefixes.select("uid").distinct().join(ids, "uid").select("did"), "did")
+    needed = sieve(prefixes.select("uid").join(ids, "uid").select("did"), "did")
     if needed is None:
         roots = ids.select("uid", F.col("uid").alias("root")).limit(0)
     else:

@@ -43,8 +43,8 @@ SLAB, SLAB_BYTES = 1 << 16, 32 << 20
 PAGE_BYTES, FOREST_BYTES = 2 << 20, 16 << 20
 #: Anchors of a block and bytes of their vectors, on average.
 ANCHORS, ANCHOR_BYTES = 1 << 14, 16 << 20
-#: Queries that have queues at once.
-QUEUES = 1 << 10
+#: Places in all queues at once: queries times leaves.
+QUEUES = 1 << 22
 
 _MOST = np.iinfo(np.int64).max
 _NONE = -_MOST
@@ -151,13 +151,14 @@ def _forests(batches: Iterator[pa.RecordBatch], limit: int = FOREST_BYTES) -> It
         yield grown(pages)
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact ``a @ b.T``, saturated at a long: in doubles where they are exact, else in whole numbers."""
+def _exact(a: np.ndarray, b: np.ndarray) -> type:
+    """The type in which sums of products of two tables' rows are exact: doubles, or whole numbers of any size."""
     most = max(1, a.shape[1]) * float(np.abs(a.astype(float)).max(initial=0)) * float(np.abs(b.astype(float)).max(initial=0))
-    if most < 1 << 53:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    whole = a.astype(object) @ b.astype(object).T
-    return np.clip(whole, _NONE + 1, _MOST).astype(np.int64)
+    return float if most < 1 << 53 else object
+
+
+def _whole(scores: np.ndarray) -> np.ndarray:
+    return np.clip(scores, _NONE + 1, _MOST).astype(np.int64) if scores.dtype == object else scores.astype(np.int64)
 
 
 @dataclass
@@ -195,9 +196,11 @@ def _search(forest: Forest, queries: Queries, at: np.ndarray, best: Best, same:
     """Best-first search of the queries ``at``: in each turn every one opens its next leaf."""
     anchors, place = np.unique(queries.row[at], return_inverse=True)
     own = queries.vectors[anchors]
+    kind = _exact(own, forest.vectors)
+    own, vectors, box_low, box_high = (x.astype(kind) for x in (own, forest.vectors, forest.low, forest.high))
     up, down = np.maximum(own, 0), np.minimum(own, 0)
-    upper = (_product(up, forest.high) + _product(down, forest.low))[place]
-    lower = (_product(up, forest.low) + _product(down, forest.high))[place]
+    upper = _whole(up @ box_high.T + down @ box_low.T)[place]
+    lower = _whole(up @ box_low.T + down @ box_high.T)[place]
     order = np.argsort(-upper, axis=1, kind="stable")
     starts = np.append(0, forest.ends[:-1])
     low, high = queries.low[at], queries.high[at]
@@ -217,7 +220,7 @@ def _search(forest: Forest, queries: Queries, at: np.ndarray, best: Best, same:
         for one, a, n in zip(*np.unique(leaf, return_index=True, return_counts=True), strict=True):
             rows, q = slice(starts[one], forest.ends[one]), opened[a : a + n]
             wanted, back = np.unique(place[q], return_inverse=True)
-            found = _product(own[wanted], forest.vectors[rows])[back]
+            found = _whole(own[wanted] @ vectors[rows].T)[back]
             fit = (forest.labels[rows] == queries.labels[at[q], None]) == same
             if same:
                 fit &= forest.ids[rows] != queries.anchors[at[q], None]
@@ -228,6 +231,13 @@ def _search(forest: Forest, queries: Queries, at: np.ndarray, best: Best, same:
         best.add(at[opened[some]], scores[some], ids[some])
 
 
+def _chunks(queries: Queries | np.ndarray | tuple, forest: Forest) -> Iterator[np.ndarray]:
+    """Places of the queries that search a forest together, those of one anchor next to each other."""
+    step = max(1, QUEUES // max(1, len(forest.ends)))
+    for at in range(0, len(queries), step):
+        yield np.arange(at, min(at + step, len(queries)))
+
+
 def _searched(pages: DataFrame, queries: dict[int, Queries], k: int, same: bool) -> DataFrame:
     """``size, query, id, score``: the ``k`` best rows that each task finds for each query."""
     shared = pages.sparkSession.sparkContext.broadcast(queries)
@@ -236,8 +246,7 @@ def _searched(pages: DataFrame, queries: dict[int, Queries], k: int, same: bool)
         best = {size: Best(len(q), k) for size, q in shared.value.items()}
         for forest in _forests(batches):
             size = forest.vectors.shape[1]
-            for at in range(0, len(shared.value.get(size, ())), QUEUES):
-                chunk = np.arange(at, min(at + QUEUES, len(shared.value[size])))
+            for chunk in _chunks(shared.value.get(size, ()), forest):
                 _search(forest, shared.value[size], chunk, best[size], same)
         for size, own in best.items():
             query, rank = np.nonzero(own.scores > _NONE)
@@ -260,8 +269,8 @@ def _anchors(pages: DataFrame, every: int) -> DataFrame:
             own = forest.vectors[at]
             queries = Queries(own, forest.ids[at], forest.labels[at], np.arange(len(at)), np.full(len(at), _NONE + 1), np.full(len(at), _MOST))
             best = Best(len(at), POSITIVES)
-            for a in range(0, len(at), QUEUES):
-                _search(forest, queries, np.arange(a, min(a + QUEUES, len(at))), best, True)
+            for chunk in _chunks(at, forest):
+                _search(forest, queries, chunk, best, True)
             yield pa.record_batch(
                 [pa.array(forest.ids[at]), pa.array(forest.labels[at]), pa.array(np.full(len(at), own.shape[1], np.int32)),
                  pa.array([v.tobytes() for v in own], pa.binary()), pa.array(np.maximum(best.scores[:, -1], _NONE + 1))],
@@ -285,7 +294,8 @@ def _negatives(pages: DataFrame, block: pa.Table) -> DataFrame:
     for size, all_anchors in queries.items():
         own = positives.filter(pc.equal(positives["size"], size))
         row, score, positive = (own[c].to_numpy() for c in ("query", "score", "id"))
-        low, high = -(-LOW * score // 100), HIGH * score // 100
+        exact = score.astype(object)  # hundredths of a long may not fit one
+        low, high = (x.astype(np.int64) for x in (-(-LOW * exact // 100), HIGH * exact // 100))
         on = low <= high
         row, score, positive, low, high = (x[on] for x in (row, score, positive, low, high))
         windows[size] = Queries(all_anchors.vectors, all_anchors.anchors[row], all_anchors.labels[row], row, low, high)
