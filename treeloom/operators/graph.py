@@ -1,7 +1,8 @@
 """Property graph from node and edge events.
 
 Vertices and relationships only ever grow or get overwritten; nothing is
-deleted when a file changes, so old positions stay in the graph.
+deleted when a file changes, so old positions stay in the graph, and
+``current_only`` reads it without them.
 """
 
 from __future__ import annotations
@@ -88,6 +89,28 @@ def build_graph(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFram
     )
 
 
+def current_only(
+    nodes: DataFrame, graph_vertices: DataFrame, relations: DataFrame, documents: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Vertices and relationships of the last version of each file that parsed.
+
+    ``documents`` has the time of that version. An element is live if its last event is of that
+    time; tree relationships have none of their own, so they come from the node events ``nodes`` of that
+    version. Vertices without properties stay only while something live names them, and so does
+    a vertex of an old version, without its properties.
+    """
+    versions = documents.select(F.col("_id").alias("file_path"), "event_time")
+    live = graph_vertices.join(versions, ["file_path", "event_time"], "left_semi").select(*schemas.VERTEX.names)
+    typed = relations.filter(F.col("type") != PARENT_OF).join(versions, ["file_path", "event_time"], "left_semi")
+    tree = parent_pairs(nodes.join(versions, ["file_path", "event_time"], "left_semi")).select(
+        F.col("parent_id").alias("src"), F.col("node_id").alias("dst"), F.lit(PARENT_OF).alias("type")
+    )
+    linked = tree.unionByName(typed, allowMissingColumns=True).select(*schemas.RELATIONSHIP.names)
+    named = linked.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    stubs = named.join(live.select("id"), "id", "left_anti")
+    return live.unionByName(stubs, allowMissingColumns=True).select(*schemas.VERTEX.names), linked
+
+
 def relationship_counts(relations: DataFrame) -> DataFrame:
     """Count per type, and the total in the row without a type."""
     return relations.rollup("type").agg(F.count(F.lit(1)).alias("relationships"))

@@ -5,7 +5,8 @@ holds. Now and then the changes are folded into a snapshot: a new version folder
 row of each key, laid out by a hash of the key, which notes up to which batch of each feed it
 goes. A version counts once it is complete, so readers see the old one or the new one; they read
 the last version and the batches after it. What a version replaced is deleted with the next one,
-when no reader that began before can still need it.
+when no reader that began before can still need it. Feeds that want to fold one table at once
+each try to create the claim of the next version, which one can; the others go on without.
 
 A folder that is complete is never written again: a batch that runs again holds the same events.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +26,8 @@ from treeloom.session import hadoop_path
 BUCKETS = 64
 # Batches between two snapshots of a stream's table.
 FOLD_EVERY = 100
+# Milliseconds after which a claim counts as left behind by a driver that was lost.
+CLAIM_AGE = 3_600_000
 
 
 def latest(df: DataFrame, keys: list[str], order: str = "position") -> DataFrame:
@@ -119,17 +123,33 @@ def read_latest(
     return latest(read_changes(spark, path, schema), keys)
 
 
+def _claim(spark: SparkSession, path: str, version: int) -> bool:
+    """Whether the caller may write the version: only one creates its file, unless that is too old."""
+    filesystem, claim = hadoop_path(spark, f"{path}/claims/version-{version}")
+    filesystem.mkdirs(claim.getParent())
+    if filesystem.exists(claim):
+        made = filesystem.getFileStatus(claim).getModificationTime()
+        if spark.sparkContext._jvm.java.lang.System.currentTimeMillis() - made < CLAIM_AGE:
+            return False
+        filesystem.delete(claim, False)
+    try:
+        return filesystem.createNewFile(claim)
+    except Py4JJavaError:  # some stores raise where another was first
+        return False
+
+
 def fold(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
     """Make a new snapshot of the table, and delete what the one before the last replaced."""
     version, folded = _snapshot(spark, path)
     changes = _changes(spark, path, folded)
-    if not changes:
+    if not changes or not _claim(spark, path, version + 1):
         return
     now = dict(folded)
     for feed, batch in changes:
         now[feed] = max(batch, now.get(feed, -1))
     notes = spark.createDataFrame(list(now.items()), "feed STRING, batch BIGINT")
     notes.write.mode("overwrite").parquet(f"{path}/folded/version={version + 1}")
+    # What other feeds add meanwhile is in later folders than the notes name, and read again on top.
     rows = read_latest(spark, path, schema, keys).withColumn("bucket", bucket(keys))
     rows = rows.repartition(BUCKETS, "bucket")
     rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/snapshots/version={version + 1}")

@@ -72,6 +72,16 @@ def stream(
     return reader.parquet(f"{path}/topic={envelope.TOPIC[kind]}").select("*", topic)
 
 
+def ordered_by_offset(rows: DataFrame) -> DataFrame:
+    """Broker rows with the ``position`` that orders the events of one key: time, partition, offset.
+
+    A broker keeps the order of a key within its partition, so events of one time are told apart
+    by the offset; the time comes first because a key moves when partitions are added.
+    """
+    position = F.array(F.unix_micros("timestamp"), F.col("partition").cast("long"), F.col("offset").cast("long"))
+    return rows.withColumn("position", position)
+
+
 def stream_broker(spark: SparkSession, servers: str, kind: str, **options: str) -> DataFrame:
     """Stream of one broker topic, from its start; needs Spark's Kafka package."""
     raw = (
@@ -82,7 +92,7 @@ def stream_broker(spark: SparkSession, servers: str, kind: str, **options: str)
         .options(**options)
         .load()
     )
-    return raw.withColumn("position", F.array("offset"))
+    return ordered_by_offset(raw)
 
 
 def append_broker(events: DataFrame, servers: str, **options: str) -> None:

@@ -14,7 +14,7 @@ from itertools import islice
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treeloom import schemas
 from treeloom.functions import paths
@@ -181,12 +181,34 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LISTING).parquet(path)
 
 
+#: The first key of a listed file. It cannot stand inside a JSON text, where its quotes are escaped.
+_FIRST_KEY = '"rel_path"'
+_BEGINS = r'"files"\s*:\s*\[\s*\{\s*$'
+_ENDS = r'^\s*:\s*(?:[^"{}\]]|"(?:[^"\\]|\\.)*")*\}\s*\]'
+
+
 def read_listing_document(spark: SparkSession, path: str) -> DataFrame:
-    """Listing from one JSON document with its rows under ``files``."""
-    document = f"files ARRAY<STRUCT<{schemas.LISTING.simpleString()[7:-1]}>>"
-    return (
-        spark.read.schema(document)
-        .json(path, multiLine=True)
-        .select(F.explode("files").alias("file"))
-        .select("file.*")
-    )
+    """Listing from one JSON document with its rows under ``files``.
+
+    A document may be as large as the listing, so it is not parsed as a whole: it is cut at the
+    first key of each listed file, which tasks do for their parts of it, and each piece parsed by
+    itself. What stands before the array ``files`` and after its end is left out, such as a
+    summary with files of its own.
+    """
+    pieces = spark.read.option("lineSep", _FIRST_KEY).text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    pieces = pieces.select("value", place.alias("place"))
+    begin = pieces.filter(F.col("value").rlike(_BEGINS)).agg(F.min("place")).first()[0]
+    if begin is None:
+        return spark.createDataFrame([], schemas.LISTING)
+
+    def after(found) -> Column:
+        block, row = F.col("place.block"), F.col("place.row")
+        return (block > found["block"]) | ((block == found["block"]) & (row > found["row"]))
+
+    pieces = pieces.filter(after(begin))
+    end = pieces.filter(F.col("value").rlike(_ENDS)).agg(F.min("place")).first()[0]
+    if end is not None:
+        pieces = pieces.filter(~after(end))
+    whole = F.concat(F.lit("{" + _FIRST_KEY), F.col("value"))
+    return pieces.select(F.from_json(whole, schemas.LISTING).alias("file")).select("file.*")

@@ -23,6 +23,13 @@ def with_trigger(writer, continuous: bool):
     return writer.trigger(availableNow=True)
 
 
+def stop_when_idle(query: StreamingQuery) -> StreamingQuery:
+    """Let a long-lived stream take all input that is there by now, then end it between two batches."""
+    query.processAllAvailable()
+    query.stop()
+    return query
+
+
 def as_documents(raw: DataFrame) -> DataFrame:
     """Decoded metadata events, keyed by file path."""
     return envelope.decode(raw, "metadata").withColumnRenamed("file_path", "_id")

@@ -15,6 +15,7 @@ from treeloom.plans import batch, report
 from treeloom.session import stage, staging_path
 from treeloom.sources import eventlog, files
 from treeloom.streaming import documents as document_stream
+from treeloom.streaming import errors as error_stream
 from treeloom.streaming import graphs as graph_stream
 from workloads import sources
 from workloads.sources import table
@@ -379,6 +380,42 @@ def end_to_end_run(spark, sf_dir):
     return counts.unionByName(rows).unionByName(totals).unionByName(found)
 
 
+def incremental_run(spark, sf_dir):
+    """A full run over the files of all customers, and one over those that changed since, the customers in debt.
+
+    The manifest after both, and how often each file was parsed.
+    """
+    root, log, manifest = (staging_path(spark, n) for n in ("tree", "log", "manifest"))
+    for name, moment in (("routines", FIRST_RUN), ("routines_again", SECOND_RUN)):
+        sources.write_tree(getattr(sources, name)(spark, sf_dir), root)
+        listing = stage(files.discover(spark, root), "listing")
+        batch.run(
+            spark, listing, root, sources.REPOSITORY, log, manifest,
+            event_time=_instant(moment), changed_only=True,
+        )
+    parses = eventlog.read(spark, log, "metadata").groupBy("key").agg(F.count(F.lit(1)).alias("parses"))
+    parses = parses.select(paths.relative_path(sources.REPOSITORY, F.col("key")).alias("rel_path"), "parses")
+    return batch.load_manifest(spark, manifest).join(parses, "rel_path", "left")
+
+
+def manifest_scan(spark, sf_dir):
+    """The listing from one JSON document, behind a summary that lists files as well."""
+    path = staging_path(spark, "listing-document")
+    listing = sources.ledger_listing(spark, sf_dir)
+    entry = F.to_json(F.struct("rel_path", "size_bytes", "excluded"))
+    largest = F.concat(F.lit('{"summary": {"largest_files": ['), F.array_join(F.collect_list("entry"), ", "), F.lit(']}, "files": ['))
+    head = discovery.largest(listing.withColumn("entry", entry)).select("entry").agg(largest.alias("value"))
+    last = listing.agg(F.max("rel_path")).first()[0]
+    comma = F.when(F.col("rel_path") == last, "\n").otherwise(",\n")
+    rows = listing.select(F.lit(1).alias("part"), "rel_path", F.concat(entry, comma).alias("value"))
+    ends = head.select(F.lit(0).alias("part"), F.lit("").alias("rel_path"), "value").unionByName(
+        spark.createDataFrame([(2, "", "]}")], "part INT, rel_path STRING, value STRING")
+    )
+    whole = ends.unionByName(rows).orderBy("part", "rel_path").coalesce(1)
+    whole.select("value").write.option("lineSep", " ").text(path)
+    return files.read_listing_document(spark, path).withColumn("top_dir", paths.top_dir(F.col("rel_path")))
+
+
 # --- graph ------------------------------------------------------------------
 
 
@@ -457,25 +494,36 @@ def relationship_merge(spark, sf_dir):
     return graph.relationships(nothing, changes).drop("file_path")
 
 
+def _moved(spark, sf_dir):
+    """Node events, vertices, relationships and documents after the files of customers in debt moved down by one line."""
+
+    def build():
+        events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN)).unionByName(
+            parsed(spark, sf_dir, "routines_moved").events(_instant(SECOND_RUN))
+        )
+
+        def of(kind):
+            return events.filter(F.col("topic") == envelope.TOPIC[kind])
+
+        decoded = [stage(envelope.decode(of(kind), kind), kind) for kind in ("nodes", "edges")]
+        documents = upsert.latest(document_stream.as_documents(of("metadata")), document_stream.KEYS)
+        return [decoded[0], *[stage(df, "moved") for df in (*graph.build_graph(*decoded), documents)]]
+
+    return _once(spark, sf_dir, "moved", build)
+
+
 def moved_vertices(spark, sf_dir):
-    """Vertices after the files of customers in debt moved down by one line.
+    """New positions of moved files are new vertices; those at the old positions stay."""
+    return _moved(spark, sf_dir)[1]
+
+
+def current_vertices(spark, sf_dir):
+    """The same graph without what only old versions of files hold."""
+    return graph.current_only(*_moved(spark, sf_dir))[0]
 
-    Their new positions are new vertices; those at the old positions stay.
-    """
-    moved = stage(flatten(sources.routines_moved(spark, sf_dir)), "syntax")
-    linked = stage(derive.all_edges(moved), "edges")
-    second = batch.Parsed(
-        derive.ast_nodes(moved), linked, derive.file_metadata(moved, linked), derive.parse_errors(moved)
-    )
-    events = parsed(spark, sf_dir, "routines").events(_instant(FIRST_RUN)).unionByName(
-        second.events(_instant(SECOND_RUN))
-    )
-    return graph.build_graph(
-        *[
-            stage(envelope.decode(events.filter(F.col("topic") == envelope.TOPIC[kind]), kind), kind)
-            for kind in ("nodes", "edges")
-        ]
-    )[0]
+
+def current_relationships(spark, sf_dir):
+    return graph.current_only(*_moved(spark, sf_dir))[1]
 
 
 def relationship_counts(spark, sf_dir):
@@ -636,6 +684,70 @@ def report_dataset(spark, sf_dir):
     )
 
 
+def continuous_documents(spark, sf_dir):
+    """Table of a long-lived stream over both runs that is stopped once it has taken all of them."""
+    target = staging_path(spark, "documents")
+    stream = eventlog.stream(spark, routines_log(spark, sf_dir), "metadata")
+    query = document_stream.write_documents(
+        stream, target, staging_path(spark, "checkpoint"), continuous=True
+    )
+    document_stream.stop_when_idle(query)
+    return document_stream.documents(spark, target)
+
+
+def concurrent_documents(spark, sf_dir):
+    """Table that two streams write at once, the second run's and the first's, folding after every batch."""
+    target, running = staging_path(spark, "documents"), []
+    for name, moment in (("routines_again", SECOND_RUN), ("routines", FIRST_RUN)):
+        log = staging_path(spark, "log")
+        eventlog.append(parsed(spark, sf_dir, name).events(_instant(moment)), log)
+        stream = eventlog.stream(spark, log, "metadata", max_files_per_trigger=2)
+        running.append((stream, staging_path(spark, "checkpoint")))
+    running = [document_stream.write_documents(s, target, c, fold_every=1) for s, c in running]
+    for query in running:
+        query.awaitTermination()
+    return document_stream.documents(spark, target)
+
+
+def offset_order(spark, sf_dir):
+    """Documents of broker rows that all have one time: the highest offset of a key wins, in whatever batch it comes."""
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("file_path"),
+        F.sha2("event_type", 256).alias("file_hash"), F.col("event_id").alias("loc"),
+        *[F.lit(0).cast("long").alias(c) for c in ("size_bytes", "num_functions", "num_classes", "num_nodes", "num_edges")],
+        (F.col("user_id") % 3).cast("int").alias("at"),
+    )
+    moment = _instant(FIRST_RUN)
+    log = staging_path(spark, "broker")
+    broker = rows.select(
+        F.col("file_path").alias("key"), envelope.envelope("metadata", envelope.iso_time(moment)).alias("value"),
+        F.col("at").alias("partition"), F.col("loc").alias("offset"), moment.alias("timestamp"),
+    )
+    broker.repartition(6, F.col("offset") % 6).write.parquet(log)
+    stream = spark.readStream.schema(broker.schema).option("maxFilesPerTrigger", 2).parquet(log)
+    target = staging_path(spark, "documents")
+    document_stream.write_documents(
+        eventlog.ordered_by_offset(stream), target, staging_path(spark, "checkpoint"), fold_every=2
+    ).awaitTermination()
+    return document_stream.documents(spark, target).select("_id", "file_hash", "loc", "event_time")
+
+
+def stream_errors(spark, sf_dir):
+    """Errors of all prose as files, some of which a second run finds mended."""
+    log, table_, target = (staging_path(spark, n) for n in ("log", "errors", "documents"))
+    checkpoints = [staging_path(spark, "checkpoint") for _ in range(2)]
+    for name, moment in (("prose", FIRST_RUN), ("mended", SECOND_RUN)):
+        eventlog.create_topics(spark, log)
+        eventlog.append(parsed(spark, sf_dir, name).events(_instant(moment)), log)
+        running = [
+            error_stream.write_errors(eventlog.stream(spark, log, "errors"), table_, checkpoints[0], fold_every=1),
+            document_stream.write_documents(eventlog.stream(spark, log, "metadata"), target, checkpoints[1]),
+        ]
+        for query in running:
+            query.awaitTermination()
+    return error_stream.errors(spark, table_, target).select("file_path", "error_type", "event_time", "closed_time")
+
+
 def _resumed(spark, sf_dir):
     """Two drained streams on one checkpoint, the second after the second run."""
 
@@ -724,6 +836,21 @@ def _streamed_graph(spark, sf_dir):
     return _once(spark, sf_dir, "streamed-graph", build)
 
 
+def concurrent_vertices(spark, sf_dir):
+    """Vertices of a store that a node and an edge stream fill at the same time, in small batches."""
+    log, store = routines_log(spark, sf_dir), staging_path(spark, "graph")
+    running = [
+        write(
+            eventlog.stream(spark, log, kind, max_files_per_trigger=8), store,
+            staging_path(spark, "checkpoint"), fold_every=1,
+        )
+        for kind, write in (("edges", graph_stream.write_edges), ("nodes", graph_stream.write_nodes))
+    ]
+    for query in running:
+        query.awaitTermination()
+    return graph_stream.read_graph(spark, store)[0]
+
+
 def stream_graph_rejects(spark, sf_dir):
     """Vertices of topics in which all prose stands among the events, and the prose set aside."""
     log, store = staging_path(spark, "log"), staging_path(spark, "graph")
@@ -761,13 +888,16 @@ def queries() -> dict[str, Query]:
         "run_summary", "run_rates", "batch_table", "samples", "manifest_upsert",
         "manifest_saved",
         "node_events", "edge_events", "metadata_events", "error_events", "event_keys",
-        "topic_counts", "consumer_lag", "end_to_end_run", "report_dataset",
+        "topic_counts", "consumer_lag", "end_to_end_run", "incremental_run", "manifest_scan",
+        "report_dataset",
         "vertices", "relationships", "stub_vertices", "unknown_edge_types", "vertex_merge",
-        "relationship_merge", "moved_vertices", "relationship_counts", "graph_totals", "type_histogram",
+        "relationship_merge", "moved_vertices", "current_vertices",
+        "current_relationships", "relationship_counts", "graph_totals", "type_histogram",
         "type_histogram_with_null", "node_type_counts", "named_definitions",
         "named_definitions_all", "call_paths", "call_paths_first", "subtree_paths",
         "subtree_paths_first", "dataflow_paths", "dataflow_paths_first", "region_paths",
         "stream_documents", "document_by_id", "stream_rejects", "stream_resume", "stream_resumed_documents", "replay_counts",
-        "stream_vertices", "stream_relationships", "stream_graph_rejects",
+        "continuous_documents", "concurrent_documents", "offset_order", "stream_errors",
+        "stream_vertices", "stream_relationships", "concurrent_vertices", "stream_graph_rejects",
     ]
     return {name: globals()[name] for name in names}

@@ -441,6 +441,11 @@ def oracle_sql() -> dict[str, str]:
           sha256(text) as file_hash, cast({_ROUTINES_COUNTS[2]} as bigint) as num_nodes,
           cast({_ROUTINES_COUNTS[3]} as bigint) as num_edges, epoch::double as last_processed
           from run qualify row_number() over (partition by file order by run desc) = 1""",
+        "incremental_run": f"""{ROUTINES.with_(_RUNS)} select replace(file, '{REPO}/', '') as rel_path,
+          sha256(text) as file_hash, cast({_ROUTINES_COUNTS[2]} as bigint) as num_nodes,
+          cast({_ROUTINES_COUNTS[3]} as bigint) as num_edges, epoch::double as last_processed, run as parses
+          from run qualify row_number() over (partition by file order by run desc) = 1""",
+        "manifest_scan": f"{_LISTING} select *, split_part(rel_path, '/', 1) as top_dir from listing",
         "node_events": f"""{ROUTINES.with_(_RUNS, _NODE)} select {event_head}, 'node' as event_type,
           node.* exclude (rank) from node join run on file = file_path""",
         "edge_events": f"""{ROUTINES.with_(_RUNS, _EDGE)} select {event_head}, 'edge' as event_type, {edge_columns},
@@ -505,6 +510,32 @@ def oracle_sql() -> dict[str, str]:
           qualify row_number() over (partition by node_id order by event_time desc, rank desc) = 1
           union all
           select {MODULE}, null, null, null, null, null, null, null, null, null from src""",
+        "current_vertices": f"""with src as materialized ({ROUTINES.src}), node as (
+            select * exclude (bal), '{T1}' as event_time from ({ROUTINES.node_sql()})
+              join (select file as file_path, bal from src) using (file_path) where bal >= 0
+            union all
+            select *, '{T2}' as event_time from (with src as ({MOVED.src}) {MOVED.node_sql()}))
+          select node_id as id, file_path, node_type, name, lineno, col_offset, end_lineno, parent_id,
+            '1.0' as schema_version, event_time from node
+          qualify row_number() over (partition by node_id order by event_time desc, rank desc) = 1
+          union all
+          select {MODULE}, null, null, null, null, null, null, null, null, null from src""",
+        "current_relationships": f"""with src as materialized ({ROUTINES.src}), node as (
+            select parent_id, node_id from ({ROUTINES.node_sql()})
+              join (select file as file_path, bal from src) using (file_path) where bal >= 0
+            union all
+            select parent_id, node_id from (with src as ({MOVED.src}) {MOVED.node_sql()})),
+          edge as (
+            select source_id, target_id, edge_type, edge_id, file_path, '{T1}' as event_time from ({ROUTINES.edge_sql()})
+              join (select file as file_path, bal from src) using (file_path) where bal >= 0
+            union all
+            select source_id, target_id, edge_type, edge_id, file_path, '{T2}'
+              from (with src as ({MOVED.src}) {MOVED.edge_sql()}))
+          select distinct parent_id as src, node_id as dst, 'PARENT_OF' as type, cast(null as varchar) as edge_id,
+            cast(null as varchar) as file_path, cast(null as varchar) as event_time
+          from node where parent_id is not null
+          union all
+          select distinct source_id, target_id, edge_type, edge_id, file_path, event_time from edge""",
         "relationship_counts": f"""{_GRAPH} select type, count(*) as relationships from rel group by 1
           union all select null, count(*) from rel""",
         "graph_totals": f"""{_GRAPH} select count(*) as vertices,
@@ -545,6 +576,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_graph_rejects": f"""{_GRAPH} select 'vertex' as part, id as item from vertex
           union all select 'nodes', sha256(text) from documents
           union all select 'edges', sha256(text) from documents""",
+        "continuous_documents": _LATEST_DOCUMENT,
+        "concurrent_documents": _LATEST_DOCUMENT,
+        "concurrent_vertices": f"{_GRAPH} select * from vertex",
+        "offset_order": f"""select 'u' || user_id as _id, sha256(arg_max(event_type, event_id)) as file_hash,
+          max(event_id) as loc, '{T1}' as event_time from events group by user_id""",
+        "stream_errors": f"""select '{REPO}/prose/' || doc_id || '.py' as file_path,
+          case when lang = 'fr' then 'io_error' else 'syntax_error' end as error_type, '{T1}' as event_time,
+          case when lang = 'de' then '{T2}' end as closed_time from documents""",
         "stream_resume": """select cast(0 as bigint) as batch_id, count(*) as input_rows from customer
           union all select 1, count(*) from customer where c_acctbal < 0""",
         "stream_resumed_documents": _LATEST_DOCUMENT,

@@ -227,6 +227,14 @@ def prose(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The German documents of ``prose`` once more, as Python that parses."""
+    path = F.concat(F.lit(f"{REPOSITORY}/prose/"), F.col("doc_id").cast("string"), F.lit(".py"))
+    german = table(spark, sf_dir, "documents").filter(F.col("lang") == "de")
+    text = F.concat(F.lit("# "), F.replace(F.col("text"), F.lit("\n"), F.lit("\n# ")), F.lit("\ndone = 1\n"))
+    return _written(german, path, text)
+
+
 def quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as Python: one assignment, then the whole text as remarks.
 
