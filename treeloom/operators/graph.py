@@ -47,21 +47,32 @@ def parent_pairs(nodes: DataFrame) -> DataFrame:
     return nodes.filter(F.col("parent_id").isNotNull()).select("parent_id", "node_id").distinct()
 
 
-def vertices(changes: DataFrame, parents: DataFrame, relations: DataFrame) -> DataFrame:
+def mentions(parents: DataFrame | None = None, relations: DataFrame | None = None) -> DataFrame:
+    """Distinct ids that parent pairs or relations name.
+
+    Mentions are many and repeat, the module's most of all: tasks drop repeats in a hash
+    aggregation before the shuffle.
+    """
+    named = []
+    if parents is not None:
+        named.append(parents.filter(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("id")))
+    if relations is not None:
+        named.append(relations.select(F.explode(F.array("src", "dst")).alias("id")))
+    return reduce(DataFrame.unionByName, named).distinct()
+
+
+def with_stubs(changes: DataFrame, mentioned: DataFrame) -> DataFrame:
     """One row per id, with the latest properties or, for a mere mention, none.
 
-    ``parents`` and ``relations`` may repeat rows. Mentions are many and repeat, the module's most of all: tasks drop repeats
-    in a hash aggregation before the shuffle. Both sides then lie by id, so the
-    outer join moves nothing again.
+    Both sides lie by id after their aggregations, so the outer join moves nothing again.
     """
-    mentions = (
-        parents.filter(F.col("parent_id").isNotNull())
-        .select(F.col("parent_id").alias("id"))
-        .unionByName(relations.select(F.explode(F.array("src", "dst")).alias("id")))
-        .distinct()
-    )
     newest = latest(changes, ["id"]).drop("position")
-    return newest.join(mentions, "id", "full").select(*schemas.VERTEX.names)
+    return newest.join(mentioned.distinct(), "id", "full").select(*schemas.VERTEX.names)
+
+
+def vertices(changes: DataFrame, parents: DataFrame, relations: DataFrame) -> DataFrame:
+    """Vertices of node changes and of all that ``parents`` and ``relations`` name; both may repeat rows."""
+    return with_stubs(changes, mentions(parents, relations))
 
 
 def relationships(parents: DataFrame, relations: DataFrame) -> DataFrame:

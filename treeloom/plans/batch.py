@@ -70,10 +70,17 @@ def update_manifest(known: DataFrame, processed: DataFrame) -> DataFrame:
     return upsert.latest(known.unionByName(processed), ["rel_path"], "last_processed")
 
 
-def save_manifest(processed: DataFrame, path: str, run_id: int) -> None:
-    """Add the rows of a run; saving the same run again changes nothing."""
+def save_manifest(
+    processed: DataFrame, path: str, run_id: int, fold_every: int = upsert.FOLD_EVERY
+) -> None:
+    """Add the rows of a run; saving the same run again changes nothing.
+
+    Each run is a feed of its own, since runs may end in another order than they began. The
+    manifest is folded once ``fold_every`` runs wait.
+    """
     position = F.array((F.col("last_processed") * 1_000_000).cast("long"))
-    upsert.write_changes(processed.withColumn("position", position), path, "runs", run_id)
+    upsert.write_changes(processed.withColumn("position", position), path, f"{upsert.RUN}{run_id}", 0)
+    upsert.fold_when_many(processed.sparkSession, path, schemas.MANIFEST, ["rel_path"], fold_every)
 
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -99,6 +99,7 @@ RELATIONSHIP = _struct(
     "src STRING, dst STRING, type STRING, edge_id STRING, file_path STRING, event_time STRING"
 )
 PARENT = _struct("parent_id STRING, node_id STRING")
+MENTION = _struct("id STRING")
 
 MANIFEST = _struct(
     """rel_path STRING, file_hash STRING, num_nodes BIGINT, num_edges BIGINT,
