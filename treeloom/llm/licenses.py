@@ -1,8 +1,10 @@
 """License phrases and license notices in texts.
 
 Phrases are found as consecutive words. Notices are found by an exact set-similarity join of
-text blocks (the lines of a text) with templates: a block matches a template if it contains at
-least CONTAINED of the template's distinct words.
+text blocks with templates: a block matches a template if it contains at least CONTAINED of the
+template's distinct words. A block is one line of any length, or a run of up to LINES lines, none
+without a word, that together have at most twice as many words as the template: notices are
+mostly wrapped. Of runs within each other that contain as much of a template, only the shortest count.
 
 Method. Words of templates are ordered by how many blocks of the whole corpus have them, rarest
 first. A block that contains enough of a template's words has one of its first
@@ -10,6 +12,10 @@ first. A block that contains enough of a template's words has one of its first
 (length filter), and from the first word they share on, both must have enough words left in the
 order (positional filter). What passes is compared exactly, so nothing is missed. The templates
 are a fixed small table that every task holds; texts are never shuffled.
+
+All matches are returned. A match is the best for its lines unless another one that shares a line
+explains it: the other template has all words that this one shares with its block, and more of it is
+there, or as much of it and it is the wider one. So a notice of one license does not count as its neighbour in wording.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ from treeloom.llm import words as W
 from treeloom.llm.tables import slices
 
 CONTAINED = 0.8
+#: Most lines of a wrapped notice.
+LINES = 5
 
 #: Phrases and the labels they give.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -54,7 +62,7 @@ TEMPLATES = (
     ("all-rights-reserved", "Copyright. All rights reserved."),
 )
 
-MATCHES = "array<struct<label:string,line:bigint,containment:double>>"
+MATCHES = "array<struct<label:string,line:bigint,last_line:bigint,containment:double,best:boolean>>"
 FOUND = (
     f"n_words long, n_base long, first_word long, last_word long, base_labels array<string>, matches {MATCHES}"
 )
@@ -80,6 +88,7 @@ class Templates:
 
     labels: list[str]
     sets: list[list[int]]  # ascending ranks, so rarest first
+    lengths: list[int]  # words, repeats included
     prefix: dict[int, list[int]]  # templates by the ranks in their prefix
     hashes: np.ndarray  # sorted
     ranks: np.ndarray  # of each hash
@@ -88,7 +97,8 @@ class Templates:
     @classmethod
     def build(cls, templates, counts: dict[int, int]) -> Templates:
         """``counts``: blocks that have a word, by the word's hash as a signed long."""
-        tokens = [sorted(set(words_of(text))) for _, text in templates]
+        texts = [words_of(text) for _, text in templates]
+        tokens = [sorted(set(words)) for words in texts]
         vocabulary = sorted({w for t in tokens for w in t})
         hashes = _hash_of(vocabulary)
         often = [counts.get(int(h), 0) for h in hashes.view(np.int64)]
@@ -101,7 +111,7 @@ class Templates:
                 prefix.setdefault(r, []).append(t)
         by_hash = np.argsort(hashes)
         return cls(
-            [label for label, _ in templates], sets, prefix, hashes[by_hash],
+            [label for label, _ in templates], sets, [len(words) for words in texts], prefix, hashes[by_hash],
             np.array([rank[vocabulary[i]] for i in by_hash], np.int64),
             [(_hash_of(phrase.split()), label) for phrase, label in PHRASES.items()],
         )
@@ -113,27 +123,67 @@ class Templates:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.ranks[at], -1)
 
-    def contained(self, own: list[int], distinct: int) -> list[tuple[str, float]]:
-        """Templates that a block of ``distinct`` words matches; own: ascending ranks of its words.
-        Of two that match, one whose words are all in the other is left out."""
+    def contained(self, own: list[int], size: int) -> list[tuple[int, frozenset[int]]]:
+        """Templates that a block of at most ``size`` distinct words matches, with the ranks they share.
+
+        own: ascending ranks of the block's words.
+        """
         found = []
         have = set(own)
         for t in sorted({t for r in own for t in self.prefix.get(r, ())}):
             template = self.sets[t]
             need = needed(len(template))
-            if distinct < need:
+            if size < need:
                 continue
             i = next(i for i, r in enumerate(template) if r in have)
             j = own.index(template[i])
             if min(len(template) - i, len(own) - j) < need:
                 continue
-            both = sum(r in have for r in template)
-            if both >= need:
-                found.append((t, both / len(template)))
-        sets = {t: set(self.sets[t]) for t, _ in found}
-        return [
-            (self.labels[t], share) for t, share in found if not any(sets[t] < sets[o] for o, _ in found)
-        ]
+            both = frozenset(have.intersection(template))
+            if len(both) >= need:
+                found.append((t, both))
+        return found
+
+    def match_lines(self, lines: dict[int, tuple[int, frozenset[int]]], hits: list[int]) -> list[dict]:
+        """Matches of a text. lines: words and ranks of the lines around ``hits``, which have a word of a prefix."""
+        least = min((needed(len(s)) for s in self.sets), default=0)
+        found = []  # template, first and last line, ranks shared
+        done: set[tuple[int, int]] = set()
+        for hit in hits:
+            for first in range(max(hit - LINES + 1, 0), hit + 1):
+                for last in range(hit, first + LINES):
+                    run = [lines.get(k, (0, frozenset())) for k in range(first, last + 1)]
+                    if (first, last) in done or (len(run) > 1 and not all(n for n, _ in run)):
+                        continue
+                    done.add((first, last))
+                    have = frozenset().union(*(ranks for _, ranks in run))
+                    if len(have) < least:
+                        continue
+                    # Without its first or its last line a run of several contains less of the template.
+                    inner = [frozenset().union(*(r for _, r in part)) for part in (run[1:], run[:-1])]
+                    size = sum(n for n, _ in run)
+                    for t, both in self.contained(sorted(have), size):
+                        short = size <= 2 * self.lengths[t] and not any(both <= part for part in inner)
+                        if first == last or short:
+                            found.append((t, first, last, both))
+        at: dict[int, list[int]] = {}
+        for m, (_, first, last, _) in enumerate(found):
+            for line in range(first, last + 1):
+                at.setdefault(line, []).append(m)
+        out = []
+        for t, first, last, both in found:
+            others = {m for line in range(first, last + 1) for m in at[line]}
+            best = not any(self._explains(found[m], t, both) for m in others)
+            share = len(both) / len(self.sets[t])
+            out.append({"label": self.labels[t], "line": first, "last_line": last, "containment": share, "best": best})
+        return out
+
+    def _explains(self, other: tuple, t: int, both: frozenset[int]) -> bool:
+        o, _, _, theirs = other
+        if not both.issubset(self.sets[o]):
+            return False
+        more = len(theirs) / len(self.sets[o]) - len(both) / len(self.sets[t])
+        return more > 0 or (more == 0 and set(self.sets[t]) < set(self.sets[o]))
 
     def scan(self, texts: pa.Array) -> list[dict]:
         words = W.split(texts, W.NOT_ALNUM, lower=True)
@@ -153,27 +203,30 @@ class Templates:
                 r["last_word"] = at if r["last_word"] is None else max(at, r["last_word"])
                 if label not in r["base_labels"]:
                     r["base_labels"] = sorted([*r["base_labels"], label])
-        for row, line, block, ranks in self._blocks(words, hashes, text):
-            for label, share in self.contained(ranks, block):
-                out[row]["matches"].append({"label": label, "line": line, "containment": share})
+        for row, lines, hits in self._lines(words, hashes, text):
+            out[row]["matches"] = self.match_lines(lines, hits)
         return out
 
-    def _blocks(self, words: W.Words, hashes: np.ndarray, text: np.ndarray):
-        """``(text, line, distinct words, ranks)`` of the lines that hold a word of some prefix."""
+    def _lines(self, words: W.Words, hashes: np.ndarray, text: np.ndarray):
+        """``(text, lines, hits)`` of the texts that hold a word of some prefix, as ``match_lines`` takes them."""
         rank = self.rank_of(hashes)
         hit = np.flatnonzero(np.isin(rank, np.array(list(self.prefix), np.int64)))
+        if not len(hit):
+            return
         ends = np.flatnonzero(words.data == 0x0A)
-        line = np.searchsorted(ends, words.starts[hit])
-        seen = np.append(True, (line[1:] != line[:-1]) | (text[hit][1:] != text[hit][:-1]))[: len(hit)]
-        for at, number in zip(hit[seen].tolist(), line[seen].tolist(), strict=True):
-            row = int(text[at])
-            low, high = words.offsets[row], words.offsets[row + 1]
-            first_line = int(np.searchsorted(ends, low))
-            start = max(low, ends[number - 1] + 1 if number else 0)
-            stop = min(high, ends[number] if number < len(ends) else len(words.data))
-            a, b = np.searchsorted(words.starts, [start, stop])
-            ranks = np.unique(rank[a:b])
-            yield row, number - first_line, len(np.unique(hashes[a:b])), ranks[ranks >= 0].tolist()
+        line = np.searchsorted(ends, words.starts)
+        for row in np.unique(text[hit]).tolist():
+            low, high = np.searchsorted(text, [row, row + 1])
+            first_line = int(np.searchsorted(ends, words.offsets[row]))
+            own = line[low:high] - first_line
+            hits = np.unique(line[hit[np.searchsorted(hit, low) : np.searchsorted(hit, high)]] - first_line)
+            near = np.unique((hits[:, None] + np.arange(1 - LINES, LINES)).ravel())
+            starts, stops = np.searchsorted(own, near), np.searchsorted(own, near, "right")
+            lines = {}
+            for number, a, b in zip(near.tolist(), starts.tolist(), stops.tolist(), strict=True):
+                ranks = rank[low + a : low + b]
+                lines[number] = (b - a, frozenset(ranks[ranks >= 0].tolist()))
+            yield row, lines, hits.tolist()
 
 
 def _count_blocks(hashes: np.ndarray):
@@ -207,15 +260,18 @@ def with_licenses(docs: DataFrame, templates: Templates, name: str, text_col: st
     """``docs`` with a struct of phrases and notices.
 
     n_words; n_base, first_word, last_word: number, smallest and largest start of the phrases'
-    places (in words from 0, null without any); base_labels: their labels; matches: each line
-    (from 0) that contains a template, with the template's label. Null and empty texts have no
-    words. Every row comes back with all its columns.
+    places (in words from 0, null without any); base_labels: their labels; matches: each block
+    (its first and last line, from 0) that contains a template, with the template's label, and whether
+    it is the best for its lines. Null and empty texts have no words. Every row comes back with all its columns.
     """
     shared = docs.sparkSession.sparkContext.broadcast(templates)
 
     @F.arrow_udf(FOUND)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        match = pa.struct([("label", pa.string()), ("line", pa.int64()), ("containment", pa.float64())])
+        match = pa.struct(
+            [("label", pa.string()), ("line", pa.int64()), ("last_line", pa.int64()), ("containment", pa.float64()),
+             ("best", pa.bool_())]
+        )
         kind = pa.struct(
             [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
              ("base_labels", pa.list_(pa.string())), ("matches", pa.list_(match))]

@@ -73,7 +73,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.with_licenses(docs, licenses.fit(docs), "found")
-    labels = F.array_sort(F.array_union("found.base_labels", F.transform("found.matches", lambda m: m["label"])))
+    own = F.transform(F.filter("found.matches", lambda m: m["best"]), lambda m: m["label"])
+    labels = F.array_sort(F.array_union("found.base_labels", own))
     best = F.array_max(F.transform("found.matches", lambda m: m["containment"]))
     return found.select(
         "doc_id", "found.n_words", "found.n_base", "found.first_word", "found.last_word",
@@ -84,14 +85,21 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _license_sql() -> str:
     rows = ", ".join(
-        f"({i}, '{label}', {sorted(set(licenses.words_of(text)))})"
+        f"({i}, '{label}', {sorted(set(licenses.words_of(text)))}, {len(licenses.words_of(text))})"
         for i, (label, text) in enumerate(licenses.TEMPLATES)
     )
     phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in licenses.PHRASES.items())
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    vocabulary = sorted({w for _, text in licenses.TEMPLATES for w in licenses.words_of(text)})
+    runs = " UNION ALL ".join(
+        f"""SELECT doc_id, nr AS first, nr + {n - 1} AS last, flatten(list(own) OVER w) AS own, sum(n) OVER w AS n,
+            count(*) OVER w AS lines, {n} AS want FROM line
+            WINDOW w AS (PARTITION BY doc_id, part ORDER BY nr ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)"""
+        for n in range(1, licenses.LINES + 1)
+    )
     return f"""
-        WITH t(id, label, words) AS (VALUES {rows}),
+        WITH t(id, label, words, n_words) AS (VALUES {rows}),
         p(words, label) AS (VALUES {phrases}),
         d AS (SELECT doc_id, {words.format(lower)} AS words, string_split({lower}, chr(10)) AS lines FROM documents),
         place AS (
@@ -104,15 +112,26 @@ def _license_sql() -> str:
           SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
             list_sort(list(DISTINCT label)) AS base FROM place GROUP BY doc_id),
         line AS (
-          SELECT doc_id, nr, list_distinct({words.format('line')}) AS own
-          FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS nr FROM d)),
+          SELECT doc_id, nr, list_intersect(list_distinct(words), {vocabulary}) AS own, len(words) AS n,
+            nr - row_number() OVER (PARTITION BY doc_id ORDER BY nr) AS part
+          FROM (SELECT doc_id, nr, {words.format('line')} AS words
+            FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS nr FROM d))
+          WHERE len(words) > 0),
+        run AS (SELECT doc_id, first, last, list_distinct(own) AS own, n FROM ({runs}) WHERE lines = want AND len(own) > 0),
+        shared AS (
+          SELECT doc_id, first, last, n, n_words, id, label, words, list_intersect(own, words) AS both,
+            len(list_intersect(own, words)) / len(words) AS share FROM run, t),
+        reached AS (
+          SELECT * FROM shared WHERE share >= {licenses.CONTAINED} AND (first = last OR n <= 2 * n_words)),
         hit AS (
-          SELECT doc_id, nr, id, label, words, len(list_intersect(own, words)) / len(words) AS share
-          FROM line, t WHERE len(list_intersect(own, words)) / len(words) >= {licenses.CONTAINED}),
+          SELECT * FROM reached a WHERE NOT EXISTS (
+            SELECT 1 FROM reached b WHERE b.doc_id = a.doc_id AND b.id = a.id AND b.share = a.share
+              AND b.first >= a.first AND b.last <= a.last AND b.last - b.first < a.last - a.first)),
         best AS (
           SELECT * FROM hit a WHERE NOT EXISTS (
-            SELECT 1 FROM hit b WHERE b.doc_id = a.doc_id AND b.nr = a.nr AND list_has_all(b.words, a.words)
-              AND len(b.words) > len(a.words))),
+            SELECT 1 FROM hit b WHERE b.doc_id = a.doc_id AND b.first <= a.last AND b.last >= a.first
+              AND list_has_all(b.words, a.both) AND (b.share > a.share OR
+                (b.share = a.share AND list_has_all(b.words, a.words) AND len(b.words) > len(a.words))))),
         own AS (SELECT doc_id, list(label) AS extra, max(share) AS share FROM best GROUP BY doc_id)
         SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
           first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
