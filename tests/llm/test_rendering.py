@@ -32,6 +32,10 @@ from treeloom.llm.rendering import render
         ("<p>a</p></p></div><td>b", "a\n\nb"),
         ("<head><title>t</title><p>visible", "visible"),
         ("x<", "x<"),
+        ("Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold", "Let x=2 hold"),
+        ("<map name=m><a href=a>link</a><area href=b></map>", "link"),
+        ("a<svg>\n<title>t</title><desc>d</desc><g>no<text>one</text><text>two</text></g></svg>b", "a one two b"),
+        ("<svg><style>text{display:none}</style><defs><text>d</text></defs><text>x</text></svg>y", "y"),
     ],
 )
 def test_layout(html, text):

@@ -3,11 +3,11 @@
 Method. A tree is built from the tags with the usual implied ends (a new item ends the item
 before it, a block ends an open paragraph, a row ends a cell, and so on) and unmatched ends
 ignored. Rendering walks the tree. Text that is not shown is left out: head, scripts, styles,
-templates, embedded media, hidden attributes, closed details and dialogs, and whatever inline
+templates, embedded media, descriptions and definitions in drawings, hidden attributes, closed details and dialogs, and whatever inline
 styles or plain rules of the page's own style sheets (a tag, a class or an id) hide. Of the rules
 for a selector the last one wins; those for print do not count, and those that depend on the
 screen can show but not hide. All else
-comes out: inline text with white space collapsed, blocks on lines of their own with a blank
+comes out, formulas and the text elements of drawings too: inline text with white space collapsed, blocks on lines of their own with a blank
 line around those that have margins, list items with their bullet or number and indentation,
 preformatted text as it is, and tables as aligned columns.
 """
@@ -28,8 +28,11 @@ GAP = "  "
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "head title script style template noscript iframe object svg canvas audio video datalist map math".split()
+    "head title script style template noscript iframe object canvas audio video datalist desc metadata defs symbol "
+    "annotation annotation-xml".split()
 )
+#: Parts of a drawing whose own text is not drawn; that of the text elements in them is.
+DRAWING = frozenset(["svg", "g"])
 BLOCK = frozenset(
     "address article aside body center details dialog div dd dl dt fieldset figcaption figure footer form header "
     "hgroup html legend li main menu nav ol option p pre search section summary table ul blockquote caption "
@@ -312,7 +315,7 @@ class Renderer:
         closed = node.tag == "details" and "open" not in node.attrs
         for child in node.children:
             if isinstance(child, str):
-                if not closed:
+                if not closed and node.tag not in DRAWING:
                     out.text(child)
             elif (not closed or child.tag == "summary") and self.seen(child):
                 self.element(child, out)
@@ -326,7 +329,10 @@ class Renderer:
                 out.gap += bool(out.lines)
             return
         if tag not in BLOCK:
+            apart = tag == "text"  # labels of a drawing stand apart
+            out.space = out.space or apart
             self.children(node, out)
+            out.space = out.space or apart
             return
         margin = tag in MARGIN
         out.block(margin)
