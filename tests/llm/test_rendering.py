@@ -35,6 +35,14 @@ from treeloom.llm.rendering import render
         ("Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold", "Let x=2 hold"),
         ("<map name=m><a href=a>link</a><area href=b></map>", "link"),
         ("a<svg>\n<title>t</title><desc>d</desc><g>no<text>one</text><text>two</text></g></svg>b", "a one two b"),
+        ("<svg><desc/><g/><text>one</text></svg>x", "one x"),
+        ("<p style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</p>d", "b\n\nd"),
+        ("<style>.h{visibility:hidden}.v{visibility:visible}</style><div class=h>a<p>b<p class=v>c<i>d</i></div>e", "cd\n\ne"),
+        ("<div style='display:none'>a<b style='display:inline;visibility:visible'>b</b></div>c", "c"),
+        ("<ol><li>a<li style='visibility:hidden'>b<li>c</ol>", "1. a\n3. c"),
+        ("<style>.a{display:none}#b{display:block}i{display:none}</style><i class=a>1</i><b class=a id=b>2</b>", "2"),
+        ("<style>.a{display:none}.c{display:none!important}</style><i class=a style='display:inline'>1</i>"
+         "<i class=c style='display:inline'>2</i>", "1"),
         ("<svg><style>text{display:none}</style><defs><text>d</text></defs><text>x</text></svg>y", "y"),
     ],
 )
@@ -102,7 +110,16 @@ def test_print_sheets_and_order_of_sheets():
         ("<p style='display:none'>no<b>no</b><div>yes</div>", "yes"),
         ("<ul><li hidden>no<li>yes</ul>", "yes"),
         ("<div hidden>no<ul><li>no</ul>no</div>yes", "yes"),
+        ("<style>.a{display:none}</style><div class=a>no<p>no</div>yes", "yes"),
+        ("<p class=b>no<b class=c>yes</b>no</p><style>.b{visibility:hidden}.c{visibility:visible}</style>", "yes"),
     ],
 )
-def test_unseen_text_stays_out_in_depth(html, text):
-    assert render("<div>" * 400 + html).strip(" -") == text
+@pytest.mark.parametrize("depth", [1, 299, 300, 400, 5000])
+def test_unseen_text_stays_out_in_depth(html, text, depth):
+    assert render("<div>" * depth + html).strip(" -") == text
+
+
+def test_layout_in_depth():
+    page = "<p>a<p>b<ul><li>c<li>d</ul><table><tr><td>e<td>f<tr><td>g</table>h<br>i"
+    assert render("<div>" * 400 + page) == "a\n\nb\n\nc\nd\n\ne f\ng\n\nh\ni"
+    assert "- c\n- d\n\ne  f\ng\n\nh" in render("<div>" * 250 + page)

@@ -2,14 +2,17 @@
 
 Method. A tree is built from the tags with the usual implied ends (a new item ends the item
 before it, a block ends an open paragraph, a row ends a cell, and so on) and unmatched ends
-ignored. Rendering walks the tree. Text that is not shown is left out: head, scripts, styles,
-templates, embedded media, descriptions and definitions in drawings, hidden attributes, closed details and dialogs, and whatever inline
-styles or plain rules of the page's own style sheets (a tag, a class or an id) hide. Of the rules
-for a selector the last one wins; those for print do not count, and those that depend on the
-screen can show but not hide. All else
-comes out, formulas and the text elements of drawings too: inline text with white space collapsed, blocks on lines of their own with a blank
-line around those that have margins, list items with their bullet or number and indentation,
-preformatted text as it is, and tables as aligned columns.
+ignored. What is not shown is then taken out of the tree: head, scripts, styles, templates,
+embedded media, descriptions and definitions in drawings, hidden attributes, closed details and
+dialogs, and what inline styles or plain rules of the page's own style sheets (a tag, a class or
+an id) hide. ``display: none`` takes an element out with all in it; ``visibility`` is inherited,
+so parts of a hidden element can be visible. Of the rules for an element the more specific one
+wins, then the later one; those for print do not count, and those that depend on the screen can
+show but not hide. All else comes out, formulas and the text elements of drawings too: inline
+text with white space collapsed, blocks on lines of their own with a blank line around those
+that have margins, list items with their bullet or number and indentation, preformatted text as
+it is, and tables as aligned columns. What is nested deeper than DEPTH is laid out plainly:
+blocks and rows on lines of their own, without markers, indentation and alignment.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements nested deeper than this become children of the one at this depth; no text is lost.
-DEPTH = 150
+#: Nested blocks, lists and cells up to which there is indentation and alignment.
+DEPTH = 300
 GAP = "  "
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,7 +59,6 @@ ENDS = {
 NO_PARAGRAPH = BLOCK - {"body", "html", "td", "th", "tr", "caption", "thead", "tbody", "tfoot", "option", "optgroup"}
 BOUNDS = frozenset({"table", "td", "th", "caption", "template", "html"})
 
-_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
 _MARK = re.compile(r"""[{};]|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'""", re.S)
 _SHOWS = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*important)?\s*\Z", re.I)
@@ -71,14 +73,6 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
-def _shown(node: Node) -> bool:
-    """Whether neither the element's tag nor its attributes hide it."""
-    attrs = node.attrs
-    if node.tag in UNSEEN or "hidden" in attrs or node.tag == "dialog" and "open" not in attrs:
-        return False
-    return not ("style" in attrs and _HIDES.search(attrs["style"]))
-
-
 class TreeBuilder(HTMLParser):
     """The element tree of one page. Whatever the markup is, it ends with a tree."""
 
@@ -86,87 +80,72 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
-        self.unseen: Node | None = None  # an element below DEPTH that is not shown, until it ends
-        self.inside: dict[str, int] = {}  # elements that started in it and have not ended
-
-    def _in_unseen(self, tag) -> bool:
-        """Whether a new element belongs to the unseen one; ends that one if it does not."""
-        if self.unseen is None:
-            return False
-        ends, bounds = ENDS.get(tag, (set(), set()))
-        if tag in NO_PARAGRAPH and tag not in ENDS:
-            ends, bounds = {"p"}, BOUNDS | BLOCK
-        if self.unseen.tag in ends and not any(self.inside.get(b) for b in bounds):
-            self.unseen = None
-            return False
-        return True
+        #: Where elements of a tag, and blocks of any tag, stand among the open ones.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def _start(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, at: int) -> None:
+        """Ends the open elements from a place on."""
+        while len(self.open) > at:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def _last(self, tags) -> int:
+        """The place of the innermost open element with one of the tags; 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def _last_block(self) -> int:
+        return self.blocks[-1] if self.blocks else 0
 
     def handle_starttag(self, tag, attrs):
-        if self._in_unseen(tag):
-            if tag not in VOID:
-                self.inside[tag] = self.inside.get(tag, 0) + 1
-            return
-        if tag in ("html", "body") and any(n.tag == tag for n in self.open):
+        if tag in ("html", "body") and self.places.get(tag):
             return
         if tag in ENDS:
-            self._end_up_to(*ENDS[tag])
-        elif tag in NO_PARAGRAPH and tag != "table" or tag == "table" and self._has("p"):
-            self._end_up_to({"p"}, BOUNDS | {"button"}, only_inline=True)
+            ends, bounds = ENDS[tag]
+            at = self._last(ends)
+            if at > self._last(bounds):
+                while self.open[at - 1].tag in ends:
+                    at -= 1
+                self._cut(at)
+        elif tag in NO_PARAGRAPH:
+            at = self._last(["p"])
+            if at and at >= max(self._last(BOUNDS), self._last(["button"]), self._last_block()):
+                self._cut(at)
         if self.open[-1].tag == "head" and tag not in UNSEEN and tag not in VOID:
-            self.open.pop()  # a visible element ends the head
+            self._cut(len(self.open) - 1)  # a visible element ends the head
         node = Node(tag, {k: v or "" for k, v in reversed(attrs)})
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEPTH:
-            self.open.append(node)
-        elif tag not in VOID and not _shown(node):
-            self.unseen, self.inside = node, {}
-
-    def _has(self, tag) -> bool:
-        return any(n.tag == tag for n in self.open)
-
-    def _end_up_to(self, ends, bounds, only_inline=False):
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in ends:
-                cut = i
-                while not only_inline and self.open[cut - 1].tag in ends:
-                    cut -= 1
-                del self.open[cut:]
-                return
-            if tag in bounds or only_inline and tag in BLOCK:
-                return
+        if tag not in VOID:
+            self._start(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if self.places.get("svg") or self.places.get("math"):
+            self.handle_endtag(tag)  # elsewhere the slash means nothing
 
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
             return  # what follows still belongs to the page
-        if self.unseen is not None:
-            if self.inside.get(tag):
-                self.inside[tag] -= 1
-                return
-            if tag == self.unseen.tag:
-                self.unseen = None
-                return
-            if not self._has(tag):
-                return
-            self.unseen = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in BLOCK and tag not in BLOCK:
-                return  # the end of bold or a link does not end the block inside it
-            if self.open[i].tag in BOUNDS and tag not in ("table", "tr", "thead", "tbody", "tfoot"):
-                return
+        at = self._last([tag])
+        if not at:
+            return
+        if tag not in BLOCK and self._last_block() > at:
+            return  # the end of bold or a link does not end the block inside it
+        if tag not in ("table", "tr", "thead", "tbody", "tfoot") and self._last(BOUNDS) > at:
+            return
+        self._cut(at)
 
     def handle_data(self, data):
-        if self.unseen is not None:
-            self.unseen.children.append(data)
-            return
         if self.open[-1].tag == "head" and data.strip():
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         self.open[-1].children.append(data)
 
     def parse_marked_section(self, i, report=1):
@@ -231,25 +210,74 @@ def _declarations(css: str, applies: int) -> Iterator[tuple[str, str, int]]:
         yield blocks[-1][0], css[start:], blocks[-1][1]
 
 
-def _hidden_by_sheets(root: Node) -> frozenset[str]:
-    """Simple selectors that the page's style elements hide."""
-    last: dict[tuple[str, str], tuple[bool, bool]] = {}  # selector and property: important, hidden
+#: Of the rules that set a property the greatest wins: (important, kind of selector, order, hides).
+Rule = tuple[bool, int, int, bool]
+
+
+def _rule(text: str, kind: int, order: int) -> tuple[str, Rule] | None:
+    """The property that a declaration sets, and its rule; None for other properties."""
+    found = _SHOWS.match(text)
+    if not found:
+        return None
+    name, value = found[1].lower(), found[2].lower()
+    hides = value == "none" if name == "display" else value in ("hidden", "collapse")
+    return name, (bool(found[3]), kind, order, hides)
+
+
+def _sheets(root: Node) -> dict[tuple[str, str], Rule]:
+    """What the page's style elements set for each simple selector and property."""
+    rules: dict[tuple[str, str], Rule] = {}
     todo = [root]
     while todo:
         node = todo.pop()
         if node.tag == "style":
             css = "".join(c for c in node.children if isinstance(c, str))
             for selectors, text, holds in _declarations(css, _applies(node.attrs.get("media", ""))):
-                found = _SHOWS.match(text)
-                hides = bool(found and _HIDES.search(f"{found[1]}:{found[2]}"))
-                if not found or holds == NO or hides and holds == MAYBE:
-                    continue
                 for selector in map(str.strip, selectors.split(",")):
-                    at = selector, found[1].lower()
-                    if _SIMPLE.match(selector) and (found[3] or not last.get(at, (False,))[0]):
-                        last[at] = bool(found[3]), hides
+                    found = _rule(text, ".#".find(selector[:1]) + 1, len(rules))
+                    if not found or not _SIMPLE.match(selector) or holds == NO or found[1][3] and holds == MAYBE:
+                        continue
+                    at, rule = (selector, found[0]), found[1]
+                    if not rules.get(at, (False,))[0] or rule[0]:
+                        rules.pop(at, None)
+                        rules[at] = rule
         todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return frozenset(selector for (selector, _), (_, hides) in last.items() if hides)
+    return {at: (rule[0], rule[1], order, rule[3]) for order, (at, rule) in enumerate(rules.items())}
+
+
+def take_out_unseen(root: Node) -> None:
+    """Leaves in the tree what is shown."""
+    rules = _sheets(root)
+
+    def hides(node: Node, name: str) -> bool | None:
+        """Whether rules hide the element by a property; None if none sets it."""
+        found = []
+        if rules:
+            classes = [f".{c}" for c in node.attrs.get("class", "").split()]
+            selectors = (node.tag, f"#{node.attrs.get('id', '')}", *classes)
+            found = [rules[at] for s in selectors if (at := (s, name)) in rules]
+        if "style" in node.attrs:
+            own = [_rule(text, 3, i) for i, text in enumerate(_COMMENT.sub(" ", node.attrs["style"]).split(";"))]
+            found += [r[1] for r in own if r and r[0] == name]
+        return max(found)[3] if found else None
+
+    todo = [(root, True)]
+    while todo:
+        node, visible = todo.pop()
+        closed = node.tag == "details" and "open" not in node.attrs
+        shown = visible and not closed and node.tag not in DRAWING
+        kept = []
+        for child in node.children:
+            if isinstance(child, str):
+                if shown:
+                    kept.append(child)
+            elif child.tag in UNSEEN or "hidden" in child.attrs or closed and child.tag != "summary":
+                continue
+            elif not (child.tag == "dialog" and "open" not in child.attrs or hides(child, "display")):
+                kept.append(child)
+                hidden = hides(child, "visibility")
+                todo.append((child, visible if hidden is None else not hidden))
+        node.children = kept
 
 
 class Lines:
@@ -293,32 +321,47 @@ class Lines:
 
 
 class Renderer:
-    def __init__(self, root: Node):
-        self.hidden = _hidden_by_sheets(root)
-
-    def seen(self, node: Node) -> bool:
-        attrs = node.attrs
-        if not _shown(node):
-            return False
-        return not self.hidden or not (
-            node.tag in self.hidden
-            or any(f".{c}" in self.hidden for c in attrs.get("class", "").split())
-            or f"#{attrs.get('id', '')}" in self.hidden
-        )
+    """Lays out a tree from which all that is not shown has been taken."""
+
+    def __init__(self):
+        self.depth = 0
 
     def lines(self, node: Node) -> list[str]:
         out = Lines()
+        self.depth += 1
         self.children(node, out)
+        self.depth -= 1
         return out.done()
 
     def children(self, node: Node, out: Lines) -> None:
-        closed = node.tag == "details" and "open" not in node.attrs
         for child in node.children:
             if isinstance(child, str):
-                if not closed and node.tag not in DRAWING:
-                    out.text(child)
-            elif (not closed or child.tag == "summary") and self.seen(child):
+                out.text(child)
+            elif self.depth < DEPTH:
+                self.depth += 1
                 self.element(child, out)
+                self.depth -= 1
+            else:
+                self.plain(child, out)
+
+    def plain(self, node: Node, out: Lines) -> None:
+        """The text below an element, however deep, with its blocks on lines of their own."""
+        todo: list[str | Node | bool] = [node]
+        while todo:
+            item = todo.pop()
+            if isinstance(item, str):
+                out.text(item)
+            elif isinstance(item, bool):
+                out.block(item)
+            elif item.tag in ("br", "td", "th", "text"):
+                out.block(False) if item.tag == "br" else out.text(" ")
+                todo += reversed([*item.children, " "])
+            elif item.tag in BLOCK:
+                out.block(item.tag in MARGIN)
+                todo.append(item.tag in MARGIN)
+                todo += reversed(item.children)
+            else:
+                todo += reversed(item.children)
 
     def element(self, node: Node, out: Lines) -> None:
         tag = node.tag
@@ -354,8 +397,6 @@ class Renderer:
         for child in node.children:
             if isinstance(child, str):
                 nested.text(child)
-            elif not self.seen(child):
-                continue
             elif child.tag != "li":
                 self.element(child, nested)
             else:
@@ -377,7 +418,7 @@ class Renderer:
                 parts.append(item)
             elif item.tag == "br":
                 parts.append("\n")
-            elif item is node or self.seen(item):
+            else:
                 todo += reversed(item.children)
         lines = [line.rstrip() for line in "".join(parts).replace("\r\n", "\n").expandtabs(8).split("\n")]
         while lines and not lines[0]:
@@ -434,14 +475,12 @@ class Renderer:
         for child in node.children:
             if isinstance(child, str):
                 stray.children.append(child)
-            elif not self.seen(child):
-                continue
             elif child.tag == "caption":
                 before.add(self.lines(child))
             elif child.tag in ("thead", "tbody", "tfoot"):
                 self.rows(child, rows, before, loose)
             elif child.tag == "tr":
-                rows.append([c for c in child.children if isinstance(c, Node) and c.tag in ("td", "th") and self.seen(c)])
+                rows.append([c for c in child.children if isinstance(c, Node) and c.tag in ("td", "th")])
                 other = Node("", {})
                 other.children = [c for c in child.children if isinstance(c, str) or c.tag not in ("td", "th")]
                 loose.append(self.lines(other))
@@ -463,7 +502,8 @@ def render(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
-    lines = Renderer(builder.root).lines(builder.root)
+    take_out_unseen(builder.root)
+    lines = Renderer().lines(builder.root)
     return "\n".join(lines).replace("\xa0", " ")
 
 
