@@ -43,7 +43,8 @@ def test_outliers_go_and_the_rest_stays(spark, docs_of, words):
     assert len(got) == 465
     kept = {r.doc_id for r in got if r.kept}
     assert {i for i, _ in usual} <= kept and not {i for i, _ in odd} & kept
-    assert {2000, 2001, None} <= kept  # two documents are too few to be judged by
+    assert {2000, None} <= kept and 2001 not in kept  # two documents are judged by all others
+    assert all(r.distance is not None for r in got if not r.base_failed)
     assert [r.distance for r in got if r.doc_id == 3000] == [None, None]
 
 
@@ -59,6 +60,20 @@ def test_small_groups_join_wider_ones(docs_of, words, monkeypatch):
     assert outliers.judge(docs_of([])).count() == 0
 
 
+def test_wider_groups_hold_the_large_ones_too(docs_of, words):
+    docs = docs_of([(i, " ".join(words(60, seed=i))) for i in range(120)], "en", "large")
+    docs = docs.union(docs_of([(200 + i, " ".join(w + "$$$$" for w in words(60, seed=i))) for i in range(20)], "en", "few"))
+    docs = docs.union(docs_of([(300, " ".join(words(60, seed=300)))], "en", "one"))
+    got = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    assert {i for i, r in got.items() if not r.kept} == set(range(200, 220))
+    assert all(r.distance is not None for r in got.values())
+
+
+def test_too_few_in_all_are_kept(docs_of, words):
+    got = outliers.judge(docs_of([(i, " ".join(words(60, seed=i))) for i in range(24)])).collect()
+    assert [(r.kept, r.distance) for r in got] == [(True, None)] * 24
+
+
 def test_no_python_on_the_main_path(docs_of, words, capsys):
     outliers.judge(docs_of([(i, " ".join(words(60, seed=i))) for i in range(300)])).explain("extended")
     plan = capsys.readouterr().out

@@ -33,9 +33,9 @@ WINDOW = 5
 HELD = 0.75
 STEPS = 3
 CUT = 0.99999
-#: Languages and sources with fewer documents are estimated with the rest of their language, and
-#: those of a language with too few with all such; fewer than this in all are not judged.
-GROUP_ROWS = 200
+#: Documents that an estimate in four coordinates needs. Those of a language and source with fewer
+#: are judged by the estimate of their whole language, or else of all documents.
+GROUP_ROWS = 25
 #: Least standard deviation of each coordinate, so that one that hardly varies decides nothing.
 FLOORS = (0.06, 0.06, 0.15, 0.12)
 
@@ -212,21 +212,19 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: t
     """``doc_id``, the statistics, ``base_failed``, ``kept`` and ``distance`` for every row.
 
     kept is false if the rules fail, else whether the distance is within the cut; distance is
-    null where the rules fail and where too few documents could be compared (these are kept).
-    Repeated rows are judged alike. Other columns are not read.
+    null where the rules fail, and if fewer than GROUP_ROWS documents pass them in all (these are
+    kept). Repeated rows are judged alike. Other columns are not read.
     """
     rows = stage(statistics(docs, id_col, text_col, by), "statistics")
     passed = rows.filter("not base_failed")
-    # Keys whose own group is large enough take it; the others join wider ones, level by level.
-    named, open_ = None, stage(passed.groupBy("keys").count(), "groups")
-    for level in range(len(by) + 1):
-        tried = open_.withColumn("grp", F.col("keys")[level])
-        large = tried.groupBy("grp").agg(F.sum("count").alias("rows")).filter(f"rows >= {GROUP_ROWS}")
-        found = tried.join(large, "grp").select("keys", "grp")
-        named = found if named is None else named.union(found)
-        open_ = stage(open_.join(found, "keys", "left_anti"), "groups")
-    named = stage(named, "groups")
-    vectors = passed.join(named, "keys").select("grp", *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
+    # One row for each language and source: the groups it is part of, and the narrowest large enough.
+    sizes = stage(passed.groupBy("keys").count(), "groups")
+    within = sizes.select("keys", "count", F.posexplode("keys").alias("level", "grp"))
+    large = within.groupBy("grp").agg(F.sum("count").alias("rows")).filter(F.col("rows") >= GROUP_ROWS)
+    large = stage(within.join(large, "grp").select("keys", "level", "grp"), "groups")
+    named = stage(large.groupBy("keys").agg(F.min_by("grp", "level").alias("grp")), "groups")
+    members = large.join(named.select("grp").distinct(), "grp", "left_semi").select("keys", "grp")
+    vectors = passed.join(members, "keys").select("grp", *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
     found = estimates(stage(vectors, "vectors"))
     judged = rows.join(named, "keys", "left").withColumns({f"x{i}": x for i, x in enumerate(_vector())})
     judged = _with_distance(judged, found, "left")
