@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from treeloom import schemas
 from treeloom.functions import envelope
@@ -146,3 +147,12 @@ def test_messages_on_the_wire(spark, tree, tmp_path):
     assert eventlog.read(spark, log, "errors").count() == 0
     decoded = envelope.decode(eventlog.read(spark, log, "metadata"), "metadata").first()
     assert decoded.num_nodes == metadata["num_nodes"] and "_key" not in decoded.asDict()
+
+
+def test_rows_spread_before_their_texts_are_built(spark):
+    """What moves between tasks are the table's columns, not the longer texts made of them."""
+    rows = spark.range(3).withColumn("other", F.lit("not needed"))
+    made = files.sources_from_text(rows, F.concat("id", F.lit(".py")), F.repeat(F.lit("x = 1\n"), F.col("id").cast("int")), 2)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Project") and "Repartition" in plan
+    assert {r.file_path: bytes(r.content) for r in made.collect()} == {f"{i}.py": b"x = 1\n" * i for i in range(3)}

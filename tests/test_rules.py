@@ -2,7 +2,9 @@
 
 import pytest
 
-from tests.helpers import Program, ident, parse
+from tests.helpers import Program, ident, parse, source_rows
+from treeloom.operators import derive
+from treeloom.operators.flatten import flatten
 
 
 def test_published_ids(spark):
@@ -272,3 +274,19 @@ def test_two_versions_of_a_path_stay_apart(spark):
     # The second and third line read the x of the first; no edge joins two versions.
     assert per_unit == {"CFG": [2, 2, 3], "DFG": [1, 1, 2]}
     assert sorted(r.num_nodes for r in parsed.metadata.collect()) == [6, 6, 9]
+
+
+def test_named_columns_alone_leave_the_parser(spark):
+    """Steps get the same from the columns they say they read as from all of them."""
+    text = "def f(a):\n    b = a\n    if b:\n        return g(b)\n    return f(b)\nf(1)\n"
+    texts = source_rows(spark, {"r/a.py": text, "r/b.py": "def f(:\n"})
+    whole = flatten(texts)
+    for step, columns in (
+        (derive.ast_nodes, derive.NODE_COLUMNS), (derive.cfg_edges, derive.CFG_COLUMNS),
+        (derive.dfg_edges, derive.DFG_COLUMNS), (derive.call_edges, derive.CALL_COLUMNS),
+        (derive.resolve_edges, derive.CALL_COLUMNS), (derive.all_edges, derive.EDGE_COLUMNS),
+    ):
+        some = flatten(texts, columns)
+        assert sorted(some.columns) == sorted(columns)
+        got, want = (sorted(str(r) for r in step(table).collect()) for table in (some, whole))
+        assert got == want and got

@@ -29,6 +29,15 @@ ENTRY_KINDS = (
 # What makes up an id, next to the file path.
 _PLACE = ("lineno", "col_offset", "node_type")
 
+# Columns of the syntax table that the steps read.
+_ALWAYS = ("unit", "file_path", *_PLACE)
+_PARENT = ("parent_line", "parent_col", "parent_type")
+NODE_COLUMNS = (*_ALWAYS, *_PARENT, "pre", "name", "end_lineno")
+CFG_COLUMNS = (*_ALWAYS, *_PARENT, "block_pre", "block_idx", "next_line", "next_col", "next_type")
+DFG_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "ctx", "scopes")
+CALL_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "callee", "encl_line", "encl_col", "encl_type")
+EDGE_COLUMNS = tuple(dict.fromkeys((*CFG_COLUMNS, *DFG_COLUMNS, *CALL_COLUMNS)))
+
 
 def _node_id() -> Column:
     return ids.node_id(

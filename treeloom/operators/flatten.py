@@ -12,12 +12,14 @@ from __future__ import annotations
 import ast
 import gc
 import warnings
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import get_args
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from treeloom import schemas
 from treeloom.functions import ids
@@ -41,10 +43,52 @@ ROWS_PER_BATCH = 20_000
 _INPUT = ("unit", "file_path", "text", "bad_content", "read_error", "file_hash", "size_bytes", "loc")
 _FILE_COLUMNS = ("unit", "file_path")
 _MEASURES = ("file_hash", "size_bytes", "loc", "error_type", "error_message")
-_TREE_COLUMNS = [n for n in schemas.FLAT.names if n not in _FILE_COLUMNS + _MEASURES]
-_NO_NODE = (0,) + (None,) * (len(_TREE_COLUMNS) - 1)
-_NO_POSITION = (None, None, None)
-_MODULE_POSITION = (ids.NO_POSITION, ids.NO_POSITION, MODULE)
+# A row that stands for no other: no parent with a position, no function around, no next statement.
+_NONE = -1
+# What a kind of node notes beside its place.
+_UNPLACED, _PLACED, _NAMED, _NAME, _CALL, _FUNCTION = range(6)
+
+
+class _Kinds(dict):
+    """Class of a node to its code, what it notes and its fields with nodes, last first.
+
+    Marker nodes without fields or position, and what is no node, have none. ``names`` has the kind of each code.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[str] = []
+
+    def code(self, name: str) -> int:
+        if name not in self.names:
+            self.names.append(name)
+        return self.names.index(name)
+
+    def __missing__(self, cls: type) -> tuple | None:
+        self[cls] = self._described(cls)
+        return self[cls]
+
+    def _described(self, cls: type) -> tuple | None:
+        if not issubclass(cls, ast.AST) or not (cls._fields or cls._attributes):
+            return None
+        kind, role = cls.__name__, _UNPLACED
+        if "lineno" in cls._attributes:
+            role = {"Name": _NAME, "Call": _CALL}.get(kind, _NAMED if kind in NAME_FIELD else _PLACED)
+            role = _FUNCTION if kind in FUNCTION_KINDS else role
+        hints = getattr(cls, "_field_types", {})
+        fields = [(f, f in BLOCK_FIELDS) for f in reversed(cls._fields) if self._holds_nodes(hints.get(f, ast.AST))]
+        return self.code(kind), role, NAME_FIELD.get(kind), tuple(fields)
+
+    def _holds_nodes(self, hint) -> bool:
+        return any(
+            isinstance(t, type) and issubclass(t, ast.AST) and not issubclass(t, _MARKERS)
+            for t in get_args(hint) or (hint,)
+        )
+
+
+_MARKERS = (ast.expr_context, ast.boolop, ast.operator, ast.unaryop, ast.cmpop)
+_KINDS = _Kinds()
+_MODULE_CODE = _KINDS.code(MODULE)
 
 
 def _callee(call: ast.Call) -> str | None:
@@ -52,71 +96,186 @@ def _callee(call: ast.Call) -> str | None:
     return getattr(call.func, NAME_FIELD[kind]) if kind in ("Name", "Attribute") else None
 
 
-def tree_rows(tree: ast.Module) -> list[tuple]:
-    """Rows of one tree in pre-order, with the columns ``_TREE_COLUMNS``.
+class _Rows:
+    """Rows of several files, as one list per fact; what few rows have lies beside the numbers of those rows.
 
-    An explicit stack replaces recursion, so the depth of a tree is not limited.
-    ``block`` identifies a statement list that control flow walks: a list of
-    that kind reached from the module through such lists only. Its first member
-    fixes its ``block_pre``, and each member notes where the one after it stands. Marker nodes without fields or position are left out.
+    Other nodes are noted as row numbers, whose positions are looked up for all rows at once.
     """
-    rows: list[tuple] = []
-    stack: list[tuple] = [(tree, 0, _NO_POSITION, _MODULE_POSITION, (), [], 0, None)]
-    pre = 0
-    while stack:
-        node, depth, parent, enclosing, scopes, block, block_idx, following = stack.pop()
-        kind = type(node).__name__
-        positioned = "lineno" in node._attributes
-        here = (node.lineno, node.col_offset, kind) if positioned else parent
-        if kind in FUNCTION_KINDS or kind == MODULE:
-            scopes = scopes + (pre,)
-            enclosing = here if positioned else _MODULE_POSITION
-        if block is not None and not block:
-            block.append(pre)
-
-        if kind == "Name":
-            rows.append(
-                (pre, depth, kind, node.id, *here[:2], node.end_lineno, *parent, *_NO_POSITION,
-                 type(node.ctx).__name__, None, scopes, None, None, *_NO_POSITION)
-            )
+
+    def __init__(self):
+        self.codes: list[int] = []
+        self.pre: list[int] = []
+        self.depth: list[int] = []
+        self.up: list[int] = []
+        self.line: list[int] = []
+        self.col: list[int] = []
+        self.end: list[int] = []
+        self.named: tuple[list, list] = ([], [])
+        self.reads: tuple[list, list, list] = ([], [], [])
+        self.scopes: list[tuple] = []
+        self.calls: tuple[list, list, list] = ([], [], [])
+        self.statements: tuple[list, list, list, list] = ([], [], [], [])
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def _bare(self, code: int) -> None:
+        """A row without a position: a module, or a file that failed."""
+        for column, value in (
+            (self.codes, code), (self.pre, 0), (self.depth, 0), (self.up, _NONE),
+            (self.line, 0), (self.col, 0), (self.end, 0),
+        ):
+            column.append(value)
+
+    def add_failure(self) -> None:
+        self._bare(_NONE)
+
+    def add_tree(self, tree: ast.Module) -> None:
+        """Rows of one tree in pre-order.
+
+        An explicit stack replaces recursion, so the depth of a tree is not limited. ``block``
+        identifies a statement list that control flow walks: a list of that kind reached from
+        the module through such lists only. Its first member fixes its ``block_pre``, and each
+        member notes the row of the one after it. Marker nodes without fields or position are left out.
+        """
+        self._bare(_MODULE_CODE)
+        codes, pres, depths, ups = self.codes, self.pre, self.depth, self.up
+        name_rows, names = self.named
+        read_rows, contexts, read_scopes = self.reads
+        call_rows, callees, enclosings = self.calls
+        statements, block_pres, block_idxs, followings = self.statements
+        kinds, placed = _KINDS, []
+        self.scopes.append((0,))
+        # Enclosing function and number of the scopes around; then the block a statement is in and its place there.
+        around = (_NONE, len(self.scopes) - 1)
+        stack: list[tuple] = [(tree, 0, _NONE, around, [], None)]
+        pre = 0
+        while stack:
+            node, depth, up, around, block, idx = stack.pop()
+            kind = kinds[type(node)]
+            if kind is None:
+                continue
+            code, role, name_field, fields = kind
+            if role:
+                row = len(codes)
+                codes.append(code)
+                pres.append(pre)
+                depths.append(depth)
+                ups.append(up)
+                placed.append(node)
+                if role == _NAME:
+                    name_rows.append(row)
+                    names.append(node.id)
+                    read_rows.append(row)
+                    contexts.append(type(node.ctx).__name__)
+                    read_scopes.append(around[1])
+                    pre += 1
+                    continue
+                if name_field:
+                    name_rows.append(row)
+                    names.append(getattr(node, name_field))
+                if role == _CALL:
+                    call_rows.append(row)
+                    callees.append(_callee(node))
+                    enclosings.append(around[0])
+                elif role == _FUNCTION:
+                    self.scopes.append((*self.scopes[around[1]], pre))
+                    around = (row, len(self.scopes) - 1)
+                if block is not None:
+                    if block:
+                        followings[block[1]] = row
+                        block[1] = len(statements)
+                    else:
+                        block += (pre, len(statements))
+                    statements.append(row)
+                    block_pres.append(block[0])
+                    block_idxs.append(idx)
+                    followings.append(_NONE)
+                up = row
+            if fields:
+                depth += 1
+                for field, walks in fields:
+                    value = getattr(node, field, None)
+                    if type(value) is not list:
+                        if value is not None:
+                            stack.append((value, depth, up, around, None, None))
+                    elif walks and block is not None:
+                        members: list[int] = []
+                        for i in range(len(value) - 1, -1, -1):
+                            stack.append((value[i], depth, up, around, members, i))
+                    else:
+                        for child in reversed(value):
+                            stack.append((child, depth, up, around, None, None))
             pre += 1
-            continue
-        if positioned:
-            rows.append(
-                (pre, depth, kind, getattr(node, NAME_FIELD[kind]) if kind in NAME_FIELD else None,
-                 *here[:2], node.end_lineno, *parent,
-                 *(enclosing if kind == "Call" else _NO_POSITION),
-                 None, _callee(node) if kind == "Call" else None, None,
-                 block[0] if block else None, block_idx,
-                 *((following.lineno, following.col_offset, type(following).__name__)
-                   if following is not None else _NO_POSITION))
-            )
-        elif kind == MODULE:
-            rows.append((pre, depth, kind, *_NO_NODE[3:]))
-
-        below = []
-        for field in node._fields:
-            value = getattr(node, field, None)
-            if type(value) is list:
-                walked = [] if block is not None and field in BLOCK_FIELDS else None
-                for idx, child in enumerate(value):
-                    if isinstance(child, ast.AST) and (child._fields or child._attributes):
-                        position = idx if walked is not None else None
-                        after = value[idx + 1] if walked is not None and idx + 1 < len(value) else None
-                        below.append((child, depth + 1, here, enclosing, scopes, walked, position, after))
-            elif isinstance(value, ast.AST) and (value._fields or value._attributes):
-                below.append((value, depth + 1, here, enclosing, scopes, None, None, None))
-        below.reverse()
-        stack += below
-        pre += 1
-    return rows
-
-
-def _parse(record: dict) -> tuple[list[tuple], tuple]:
-    """Tree rows and measures of one file; one empty row if it fails."""
-
-    def failed(kind: str, message: str):
-        return [_NO_NODE], (None, None, None, kind, message)
+        self.line += [n.lineno for n in placed]
+        self.col += [n.col_offset for n in placed]
+        self.end += [n.end_lineno for n in placed]
+
+    def columns(self, types: dict[str, pa.DataType], wanted: list[str]) -> dict[str, pa.Array]:
+        """Arrow columns of the rows that are ``wanted``, but for those that a file has once."""
+        codes, up = np.array(self.codes, np.int64), np.array(self.up, np.int64)
+        line, col = np.array(self.line, np.int32), np.array(self.col, np.int32)
+        kinds = pa.array(_KINDS.names, types["node_type"])
+        place = (codes >= 0) & (codes != _MODULE_CODE)
+
+        def spread(rows: list, values: list) -> np.ndarray:
+            whole = np.full(len(codes), _NONE, np.int64)
+            whole[rows] = values
+            return whole
+
+        def of_rows(rows: list, values: list, name: str) -> pa.Array:
+            at = spread(rows, np.arange(len(rows)))
+            return pa.array(values, types[name]).take(pa.array(at, mask=at < 0))
+
+        def listed(rows: list, number: list, values: list | None = None) -> pa.Array:
+            """Numbers that some rows have, or the values at these numbers."""
+            at = spread(rows, number)
+            held = pa.array(at, pa.int32(), mask=at < 0)
+            return held if values is None else pa.array(values, types["scopes"]).take(held)
+
+        def position(name: str, rows: np.ndarray, known: np.ndarray) -> dict:
+            """Place of the nodes in ``rows``, where ``known``; of the module where it is none."""
+            none = rows < 0
+            return {
+                f"{name}_line": lambda: pa.array(np.where(none, ids.NO_POSITION, line[rows]), mask=~known),
+                f"{name}_col": lambda: pa.array(np.where(none, ids.NO_POSITION, col[rows]), mask=~known),
+                f"{name}_type": lambda: kinds.take(
+                    pa.array(np.where(none, _MODULE_CODE, codes[rows]), mask=~known)
+                ),
+            }
+
+        read_rows, contexts, read_scopes = self.reads
+        call_rows, callees, enclosings = self.calls
+        statements, block_pres, block_idxs, followings = self.statements
+        following = spread(statements, followings)
+        called = np.zeros(len(codes), bool)
+        called[call_rows] = True
+        made = {
+            "pre": lambda: pa.array(np.array(self.pre, np.int32)),
+            "depth": lambda: pa.array(np.array(self.depth, np.int32), mask=codes < 0),
+            "node_type": lambda: kinds.take(pa.array(codes, mask=codes < 0)),
+            "name": lambda: of_rows(*self.named, "name"),
+            "lineno": lambda: pa.array(line, mask=~place),
+            "col_offset": lambda: pa.array(col, mask=~place),
+            "end_lineno": lambda: pa.array(np.array(self.end, np.int32), mask=~place),
+            **position("parent", up, up >= 0),
+            **position("encl", spread(call_rows, enclosings), called),
+            "ctx": lambda: of_rows(read_rows, contexts, "ctx"),
+            "callee": lambda: of_rows(call_rows, callees, "callee"),
+            "scopes": lambda: listed(read_rows, read_scopes, self.scopes),
+            "block_pre": lambda: listed(statements, block_pres),
+            "block_idx": lambda: listed(statements, block_idxs),
+            **position("next", following, following >= 0),
+        }
+        return {name: made[name]() for name in wanted if name in made}
+
+
+def _parse(record: dict, rows: _Rows) -> tuple:
+    """Add the rows of one file, one empty row if it fails; its measures."""
+
+    def failed(kind: str, message: str) -> tuple:
+        rows.add_failure()
+        return None, None, None, kind, message
 
     if record["read_error"] is not None:
         return failed(IO_ERROR, record["read_error"])
@@ -131,13 +290,16 @@ def _parse(record: dict) -> tuple[list[tuple], tuple]:
     except (SyntaxError, RecursionError, MemoryError, ValueError) as error:
         # The last three mean a text too complex for the parser, one file's fault.
         return failed(SYNTAX_ERROR, str(error) or type(error).__name__)
-    return tree_rows(tree), (record["file_hash"], record["size_bytes"], record["loc"], None, None)
+    rows.add_tree(tree)
+    return record["file_hash"], record["size_bytes"], record["loc"], None, None
 
 
-def _record_batch(rows: list[tuple], units: list[tuple], measures: list[tuple], counts: list[int]):
+def _record_batch(
+    rows: _Rows, units: list[tuple], measures: list[tuple], counts: list[int], wanted: list[str]
+) -> pa.RecordBatch:
     """One Arrow batch of several files; measures go to the first row of each."""
     types = {f.name: f.type for f in to_arrow_schema(schemas.FLAT)}
-    columns = {n: pa.array(c, types[n]) for n, c in zip(_TREE_COLUMNS, zip(*rows))}
+    columns = rows.columns(types, wanted)
     owner = np.repeat(np.arange(len(counts)), counts)
     first = np.diff(owner, prepend=-1) > 0
     for names, values, index in (
@@ -145,11 +307,15 @@ def _record_batch(rows: list[tuple], units: list[tuple], measures: list[tuple],
         (_MEASURES, measures, pa.array(owner, mask=~first)),
     ):
         for name, column in zip(names, zip(*values)):
+            if name not in wanted:
+                continue
             columns[name] = pa.array(column, types[name]).take(index)
-    return pa.RecordBatch.from_pydict({n: columns[n] for n in schemas.FLAT.names})
+    return pa.RecordBatch.from_pydict({n: columns[n] for n in wanted})
 
 
-def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _flatten_batches(
+    batches: Iterator[pa.RecordBatch], wanted: list[str] = schemas.FLAT.names
+) -> Iterator[pa.RecordBatch]:
     """Parse with the worker's collector and warnings set aside, and put back however it ends."""
     collecting = gc.isenabled()
     with warnings.catch_warnings():
@@ -159,27 +325,30 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         # Syntax trees hold no cycles, so searching them for some is wasted time.
         gc.disable()
         try:
-            yield from _parsed_batches(batches)
+            yield from _parsed_batches(batches, wanted)
         finally:
             if collecting:
                 gc.enable()
 
 
-def _parsed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, units, measures, counts = [], [], [], []
+def _parsed_batches(batches: Iterator[pa.RecordBatch], wanted: list[str]) -> Iterator[pa.RecordBatch]:
+    rows, units, measures, counts = _Rows(), [], [], []
     for batch in batches:
+        # Texts are large, so they are taken one by one.
+        small = {n: batch.column(n).to_pylist() for n in _INPUT if n not in ("text", "bad_content")}
+        texts, stray = batch.column("text"), batch.column("bad_content")
         for i in range(batch.num_rows):
-            record = {name: batch.column(name)[i].as_py() for name in _INPUT}
-            found, measured = _parse(record)
-            rows += found
+            record = {n: values[i] for n, values in small.items()}
+            record["text"], record["bad_content"] = texts[i].as_py(), stray[i].as_py()
+            before = len(rows)
+            measures.append(_parse(record, rows))
             units.append((record["unit"], record["file_path"]))
-            measures.append(measured)
-            counts.append(len(found))
+            counts.append(len(rows) - before)
             if len(rows) >= ROWS_PER_BATCH:
-                yield from _slices(_record_batch(rows, units, measures, counts))
-                rows, units, measures, counts = [], [], [], []
-    if rows:
-        yield from _slices(_record_batch(rows, units, measures, counts))
+                yield from _slices(_record_batch(rows, units, measures, counts, wanted))
+                rows, units, measures, counts = _Rows(), [], [], []
+    if len(rows):
+        yield from _slices(_record_batch(rows, units, measures, counts, wanted))
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -212,14 +381,19 @@ def prepare(sources: DataFrame) -> DataFrame:
     )
 
 
-def flatten(sources: DataFrame) -> DataFrame:
+def flatten(sources: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """The syntax table of ``sources`` (see ``schemas.SOURCE``).
 
     Rows: every node with a position, a ``Module`` row per parsed file, an error
     row per failed file. Filter ``sources`` first: nothing is pushed through the
     parse. Read by several steps, the result belongs in ``session.stage``.
 
+    All rows have the named ``columns`` only, in the schema's order, if some are named: Spark
+    cannot see that later steps need no others, and most of a row's cost is its columns.
+
     Positions stand in for ids, which are hashes of them: small integers store
     and shuffle far better than hex digits, and most rows never need all ids.
     """
-    return prepare(sources).mapInArrow(_flatten_batches, schemas.FLAT)
+    fields = [f for f in schemas.FLAT.fields if columns is None or f.name in set(columns)]
+    wanted = [f.name for f in fields]
+    return prepare(sources).mapInArrow(lambda b: _flatten_batches(b, wanted), StructType(fields))

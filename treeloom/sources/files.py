@@ -146,14 +146,15 @@ def sources_from_text(df: DataFrame, path, text, partitions: int | None = None)
     """Source rows from a table that already holds the texts.
 
     The rows are spread over tasks as the scan splits them, or over ``partitions``:
-    parsing costs far more than moving the texts of a table with few splits.
+    parsing costs far more than moving the rows of a table with few splits. What moves are the
+    columns that ``path`` and ``text`` need; the texts are built where they are parsed.
     """
-    rows = df.select(
+    rows = df.repartition(partitions) if partitions else df
+    return rows.select(
         path.alias("file_path"),
         text.cast("binary").alias("content"),
         F.lit(None).cast("string").alias("read_error"),
     )
-    return rows.repartition(partitions) if partitions else rows
 
 
 def select_targets(

@@ -41,10 +41,21 @@ def _instant(text: str) -> Column:
     return F.to_timestamp(F.lit(f"{text}+00:00"))
 
 
-def syntax(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    build = getattr(sources, name)
+def _built(spark: SparkSession, sf_dir: str, what: str) -> bool:
+    return (spark.sparkContext.applicationId, sf_dir, what) in _shared
+
+
+def syntax(
+    spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Syntax table of a source, with all columns if it is there already or none are named."""
+    build, what = getattr(sources, name), f"syntax-{name}"
+    if columns and not _built(spark, sf_dir, what):
+        what += "".join(f"-{c}" for c in sorted(columns))
+    else:
+        columns = None
     return _once(
-        spark, sf_dir, f"syntax-{name}", lambda: stage(flatten(build(spark, sf_dir)), "syntax")
+        spark, sf_dir, what, lambda: stage(flatten(build(spark, sf_dir), columns), "syntax")
     )
 
 
@@ -57,6 +68,13 @@ def edges(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def _edges_once(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """All edges for a single reader, which need not be written down if nothing else did."""
+    if _built(spark, sf_dir, f"edges-{name}"):
+        return edges(spark, sf_dir, name)
+    return derive.all_edges(syntax(spark, sf_dir, name, derive.EDGE_COLUMNS))
+
+
 def parsed(spark: SparkSession, sf_dir: str, name: str) -> batch.Parsed:
     tree, linked = syntax(spark, sf_dir, name), edges(spark, sf_dir, name)
     return batch.Parsed(
@@ -166,7 +184,7 @@ def single_target(spark, sf_dir):
 
 
 def _nodes(spark, sf_dir, name):
-    return derive.ast_nodes(syntax(spark, sf_dir, name)).select(*schemas.NODE.names)
+    return derive.ast_nodes(syntax(spark, sf_dir, name, derive.NODE_COLUMNS)).select(*schemas.NODE.names)
 
 
 def _flat_edges(df: DataFrame, attr: str | None = None) -> DataFrame:
@@ -183,43 +201,43 @@ def ast_nodes_nested(spark, sf_dir):
 
 
 def cfg_edges(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "ledger")))
+    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "ledger", derive.CFG_COLUMNS)))
 
 
 def cfg_edges_branches(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "branches")))
+    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "branches", derive.CFG_COLUMNS)))
 
 
 def cfg_edges_nested(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "routines")))
+    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "routines", derive.CFG_COLUMNS)))
 
 
 def dfg_edges(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "ledger")), "var")
+    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "ledger", derive.DFG_COLUMNS)), "var")
 
 
 def dfg_edges_branches(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "branches")), "var")
+    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "branches", derive.DFG_COLUMNS)), "var")
 
 
 def dfg_edges_scopes(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "routines")), "var")
+    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "routines", derive.DFG_COLUMNS)), "var")
 
 
 def call_edges(spark, sf_dir):
-    return _flat_edges(derive.call_edges(syntax(spark, sf_dir, "routines")), "callee_name")
+    return _flat_edges(derive.call_edges(syntax(spark, sf_dir, "routines", derive.CALL_COLUMNS)), "callee_name")
 
 
 def call_resolves(spark, sf_dir):
-    return _flat_edges(derive.resolve_edges(syntax(spark, sf_dir, "routines")), "callee_name")
+    return _flat_edges(derive.resolve_edges(syntax(spark, sf_dir, "routines", derive.CALL_COLUMNS)), "callee_name")
 
 
 def edge_union(spark, sf_dir):
-    return _flat_edges(edges(spark, sf_dir, "routines"))
+    return _flat_edges(_edges_once(spark, sf_dir, "routines"))
 
 
 def edge_counts(spark, sf_dir):
-    return reports.edge_counts(edges(spark, sf_dir, "branches"))
+    return reports.edge_counts(_edges_once(spark, sf_dir, "branches"))
 
 
 # --- files, errors and runs -------------------------------------------------
@@ -544,7 +562,7 @@ def type_histogram_with_null(spark, sf_dir):
 
 def node_type_counts(spark, sf_dir):
     """Top kinds of node events, every event counted."""
-    events = derive.ast_nodes(syntax(spark, sf_dir, "ledger"))
+    events = derive.ast_nodes(syntax(spark, sf_dir, "ledger", derive.NODE_COLUMNS))
     return graph.type_histogram(events).withColumnRenamed("vertices", "events")
 
 
