@@ -1,7 +1,7 @@
 """Streams over a file log: draining, resuming, upserting."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tests.helpers import parse
 from treeloom import schemas
@@ -164,3 +164,18 @@ def test_broker_needs_its_package(spark, log):
         documents.write_documents_to_store(
             eventlog.stream(spark, log, "metadata"), log + "-checkpoint", {}
         )
+
+
+def test_events_of_a_log_are_not_sorted_by_topic(spark, tmp_path, monkeypatch):
+    """Only rows of topics the log does not know go through a write that deals them to folders."""
+    dealt, deal = [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *c: dealt.append(self._df.count()) or deal(self, *c))
+    events = parse(spark, {"r/a.py": "x = f(1)\n", "r/b.py": "def f(:\n"}).events(instant("2024-01-01 00:00:00"))
+    other = events.limit(1).withColumn("topic", F.lit("other"))
+    path = str(tmp_path / "sorted-log")
+    eventlog.append(events, path)
+    eventlog.append(other, path)
+    assert dealt == [0, 1]
+    got = eventlog.read_all(spark, path).groupBy("topic").count().collect()
+    want = events.unionByName(other).groupBy("topic").count().collect()
+    assert sorted(got) == sorted(want) and len(got) == 5
