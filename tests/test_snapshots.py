@@ -7,7 +7,7 @@ from tests.helpers import parse
 from treeloom import schemas
 from treeloom.operators import upsert
 from treeloom.plans import batch
-from treeloom.session import hadoop_path
+from treeloom.session import hadoop_path, staging_root
 from treeloom.sources import eventlog
 from treeloom.streaming import graphs
 
@@ -113,3 +113,29 @@ def test_vertices_are_read_without_relations(spark, tmp_path):
     assert not [f for f in vertices.inputFiles() if "/relations/" in f or "/parents/" in f]
     filesystem, gone = hadoop_path(spark, f"{store}/relations/snapshots")
     assert filesystem.exists(gone)
+
+
+def test_a_large_table_folds_once_its_changes_are_as_large(spark, tmp_path, monkeypatch):
+    """Batches of one size double the table between folds, so folds do not rewrite it each time."""
+    monkeypatch.setattr(upsert, "FOLD_BYTES", 0)
+    path, versions = str(tmp_path / "t"), []
+    for number in range(8):
+        rows = spark.range(200 * number, 200 * (number + 1), numPartitions=1).select(
+            F.concat(F.lit("k"), "id").alias("k"), F.lit(number).cast("long").alias("v"), F.array(F.lit(number).cast("long")).alias("position")
+        )
+        upsert.write_changes(rows, path, "feed", number)
+        upsert.fold_at_times(spark, path, SCHEMA, ["k"], number, 1)
+        versions.append(upsert._snapshot(spark, path)[0])
+        assert content(spark, path) == {f"k{i}": i // 200 for i in range(200 * (number + 1))}
+    assert versions[0] == 1 and 2 <= versions[-1] < 6
+
+
+def test_decoded_batches_are_deleted(spark, tmp_path):
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    events = parse(spark, {"r/a.py": "def f(x):\n    return g(x)\n"})
+    eventlog.append(events.events(F.to_timestamp(F.lit("2024-01-01 00:00:00+00:00"))), log)
+    for write, kind in ((graphs.write_nodes, "nodes"), (graphs.write_edges, "edges")):
+        before = set(upsert._folders(spark, staging_root(spark), "batch-"))
+        write(eventlog.stream(spark, log, kind), store, str(tmp_path / kind)).awaitTermination()
+        assert set(upsert._folders(spark, staging_root(spark), "batch-")) <= before
+    assert graphs.read_graph(spark, store)[0].count() > 0
