@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.helpers import ident, parse
 from treeloom import schemas
-from treeloom.functions import envelope, measures, paths
+from treeloom.functions import envelope, ids, measures, paths
 from treeloom.operators import graph, reports, upsert
 from treeloom.sources import eventlog
 
@@ -152,3 +152,12 @@ def test_events_of_one_key_share_a_partition(spark):
         spark.createDataFrame([("", "io_error", "m")], schemas.ERROR), "errors", F.current_timestamp()
     )
     assert no_key.first().key is None
+
+
+def test_packed_ids_come_back_whatever_they_are(spark):
+    texts = ["0123456789abcdef", "ffffffffffffffff", "0123456789ABCDEF", "0123456789abcde", "0123456789abcdeg", "", "c1", "0", "é" * 8, "x" * 40, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "id STRING")
+    found = rows.select("id", ids.pack(F.col("id")).alias("p")).select("id", F.octet_length("p").alias("n"), ids.unpack(F.col("p")).alias("back")).collect()
+    assert [r["back"] for r in found] == texts
+    assert [r["n"] for r in found][:3] == [8, 8, 25]
+    assert len({r["n"] == 8 for r in found[2:]}) == 1
