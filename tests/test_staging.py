@@ -38,3 +38,17 @@ def test_a_query_on_vertices_computes_no_relations(spark, sf_dir):
         assert "relations" in {what for _, _, what in catalog._shared}
     finally:
         catalog._shared.update(before)
+
+
+def test_measures_of_files_write_no_edges(spark, sf_dir):
+    before = dict(catalog._shared)
+    catalog._shared.clear()
+    try:
+        alone = catalog.file_metadata_calls(spark, sf_dir)
+        plan = alone._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(what.startswith("edges-") for _, _, what in catalog._shared) and "sha2" not in plan
+        catalog.edges(spark, sf_dir, "routines")
+        again = catalog.file_metadata_calls(spark, sf_dir)
+        assert sorted(alone.collect()) == sorted(again.collect())
+    finally:
+        catalog._shared.update(before)

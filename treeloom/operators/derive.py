@@ -37,6 +37,7 @@ CFG_COLUMNS = (*_ALWAYS, *_PARENT, "block_pre", "block_idx", "next_line", "next_
 DFG_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "ctx", "scopes")
 CALL_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "callee", "encl_line", "encl_col", "encl_type")
 EDGE_COLUMNS = tuple(dict.fromkeys((*CFG_COLUMNS, *DFG_COLUMNS, *CALL_COLUMNS)))
+METADATA_COLUMNS = (*EDGE_COLUMNS, "file_hash", "size_bytes", "loc")
 
 
 def _node_id() -> Column:

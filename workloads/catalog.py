@@ -68,11 +68,13 @@ def edges(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
-def _edges_once(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _edges_once(
+    spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = derive.EDGE_COLUMNS
+) -> DataFrame:
     """All edges for a single reader, which need not be written down if nothing else did."""
     if _built(spark, sf_dir, f"edges-{name}"):
         return edges(spark, sf_dir, name)
-    return derive.all_edges(syntax(spark, sf_dir, name, derive.EDGE_COLUMNS))
+    return derive.all_edges(syntax(spark, sf_dir, name, columns))
 
 
 def parsed(spark: SparkSession, sf_dir: str, name: str) -> batch.Parsed:
@@ -262,7 +264,14 @@ def edge_counts(spark, sf_dir):
 
 
 def _metadata(spark, sf_dir, name):
-    return parsed(spark, sf_dir, name).metadata.drop("unit")
+    """Measures alone, which count edges: neither the ids of these nor the rows are written down for it."""
+    columns = derive.METADATA_COLUMNS
+    linked = _edges_once(spark, sf_dir, name, columns)
+    if _built(spark, sf_dir, f"edges-{name}"):
+        tree = syntax(spark, sf_dir, name)
+    else:
+        tree = syntax(spark, sf_dir, name, columns)
+    return derive.file_metadata(tree, linked).drop("unit")
 
 
 def file_metadata(spark, sf_dir):
