@@ -52,3 +52,24 @@ def test_measures_of_files_write_no_edges(spark, sf_dir):
         assert sorted(alone.collect()) == sorted(again.collect())
     finally:
         catalog._shared.update(before)
+
+
+def test_the_report_writes_only_what_it_counts_of_the_graph(spark, sf_dir, monkeypatch):
+    before, written = dict(catalog._shared), {}
+    catalog._shared.clear()
+
+    def noted(df, label, rows_per_file=0):
+        written.setdefault(label, []).append(df.columns)
+        return stage(df, label, rows_per_file)
+
+    monkeypatch.setattr(catalog, "stage", noted)
+    try:
+        alone = catalog.report_dataset(spark, sf_dir).collect()
+        assert "relations" not in written and written["vertices"] == [["file_path", "node_type"]]
+        assert len(written["metadata"]) == 1
+        catalog.routines_graph(spark, sf_dir)
+        again = catalog.report_dataset(spark, sf_dir).collect()
+        assert sorted(map(str, alone)) == sorted(map(str, again))
+    finally:
+        catalog._shared.clear()
+        catalog._shared.update(before)

@@ -77,13 +77,23 @@ def _edges_once(
     return derive.all_edges(syntax(spark, sf_dir, name, columns))
 
 
-def parsed(spark: SparkSession, sf_dir: str, name: str) -> batch.Parsed:
+def _staged_metadata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Metadata of a source, written down for queries that read it more than once."""
     tree, linked = syntax(spark, sf_dir, name), edges(spark, sf_dir, name)
-    return batch.Parsed(
-        derive.ast_nodes(tree), linked, derive.file_metadata(tree, linked), derive.parse_errors(tree)
+    return _once(
+        spark, sf_dir, f"metadata-{name}", lambda: stage(derive.file_metadata(tree, linked), "metadata")
     )
 
 
+def parsed(spark: SparkSession, sf_dir: str, name: str) -> batch.Parsed:
+    tree, linked = syntax(spark, sf_dir, name), edges(spark, sf_dir, name)
+    if _built(spark, sf_dir, f"metadata-{name}"):
+        metadata = _staged_metadata(spark, sf_dir, name)
+    else:
+        metadata = derive.file_metadata(tree, linked)
+    return batch.Parsed(derive.ast_nodes(tree), linked, metadata, derive.parse_errors(tree))
+
+
 def routines_log(spark: SparkSession, sf_dir: str) -> str:
     """Log of a run over all customers and of a second run over those in debt."""
 
@@ -130,6 +140,20 @@ def routines_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return routines_vertices(spark, sf_dir), routines_relations(spark, sf_dir)
 
 
+def _counted_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The graph for counts by kind, type and file, unless a query wrote it down before.
+
+    Of the vertices, which have two readers, only what these count is written. Relationships have one,
+    and of them only the typed pairs are computed: nothing compares or moves their other columns.
+    """
+    v, r = _routines_tables(spark, sf_dir)
+    if _built(spark, sf_dir, "vertices"):
+        v = routines_vertices(spark, sf_dir)
+    else:
+        v = stage(v.select("file_path", "node_type"), "vertices", ROWS_PER_FILE)
+    return v, routines_relations(spark, sf_dir) if _built(spark, sf_dir, "relations") else r
+
+
 # --- discovery --------------------------------------------------------------
 
 
@@ -701,8 +725,9 @@ def stream_documents(spark, sf_dir):
 
 def report_dataset(spark, sf_dir):
     """The report on the routines and the ledger's listing, as it was written and read again."""
-    v, r = routines_graph(spark, sf_dir)
+    _staged_metadata(spark, sf_dir, "routines")
     run = parsed(spark, sf_dir, "routines")
+    v, r = _counted_graph(spark, sf_dir)
     parts = report.dataset(
         sources.ledger_listing(spark, sf_dir), run.nodes, run.edges, run.metadata,
         eventlog.read_all(spark, routines_log(spark, sf_dir)), consumer_lag(spark, sf_dir), v, r,
