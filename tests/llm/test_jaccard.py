@@ -54,3 +54,14 @@ def test_classes_are_those_of_all_pairs(docs_of, words, monkeypatch, group, crow
 def test_empty(docs_of):
     assert jaccard.similar_documents(docs_of([])).collect() == []
     assert [tuple(x) for x in jaccard.similar_documents(docs_of([(1, None)])).collect()] == [(1, 0, 1)]
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_only_sets_that_may_be_similar_are_joined(spark, crowded):
+    """Sets of one token: sizes too far apart, or the token too late in one of them, meet nothing."""
+    sizes = [(20 * 2**i, 0) for i in range(6)] + [(5000, 0), (5000, 700), (5100, 0)]
+    rows = [(i, n, i, 1, i, 7, at) for i, (n, at) in enumerate(sizes)]
+    rows = spark.createDataFrame(rows, "uid long, n int, class long, size long, gid long, key long, at int")
+    none = rows.limit(0)
+    met = jaccard._met(none, rows) if crowded else jaccard._met(rows, none)
+    assert [(x.uid, x.gid, x.fit) for x in met.collect()] == [(6, 8, True)]

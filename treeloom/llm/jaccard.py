@@ -306,10 +306,35 @@ def _below_top(rows: DataFrame) -> DataFrame:
     return rows.join(keys.filter("one <> other").select("key", "top"), "key")
 
 
-def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Column) -> Column:
-    """Whether sizes, and the tokens left from a shared one on, allow for a similar pair."""
+def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Column, before: int = 0) -> Column:
+    """Whether sizes, and the tokens left from a shared one on, allow for a similar pair.
+
+    ``before``: shared tokens that may stand before this one.
+    """
     close = (100 * n_most >= ALIKE * n) & (100 * n >= ALIKE * n_least)
-    return close & ((100 + ALIKE) * F.least(n - at, n_most - their_at) >= ALIKE * (n + n_least))
+    return close & ((100 + ALIKE) * (F.least(n - at, n_most - their_at) + before) >= ALIKE * (n + n_least))
+
+
+def _met(few: DataFrame, many: DataFrame) -> DataFrame:
+    """``uid, gid, n, key, fit``: tokens that sets share with groups of larger classes, of ``few`` and of crowded tokens.
+
+    A similar pair shares MEET tokens or all of the smaller set's; the first of them fit with so many
+    before them, and so do the sizes. Only such are joined, which leaves each similar pair as many as it must share.
+    """
+    at = [F.col("q.n"), F.col("q.at")]
+    q, g = few.alias("q"), few.select("key", "class", "size", "gid", "n", "at").alias("g")
+    bounds = [*at, F.col("g.n"), F.col("g.n"), F.col("g.at")]
+    ranked = F.expr("struct(q.size, q.class) < struct(g.size, g.class)")
+    hits = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=MEET - 1)])
+    hits = hits.select("q.uid", "g.gid", "q.n", "q.key", _fit(*bounds).alias("fit"))
+    q = _below_top(many).filter("struct(size, class) < top").alias("q")
+    g = many.groupBy("key", "gid").agg(
+        F.max(F.struct("size", "class")).alias("rank"), F.min("at").alias("at"), F.min("n").alias("n_least"), F.max("n").alias("n_most")
+    ).alias("g")
+    bounds = [*at, F.col("g.n_least"), F.col("g.n_most"), F.col("g.at")]
+    ranked = F.expr("struct(q.size, q.class) < g.rank")
+    more = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=MEET - 1)])
+    return hits.union(more.select("q.uid", "g.gid", "q.n", "q.key", _fit(*bounds).alias("fit")))
 
 
 def _links(prefixes: DataFrame, tokens: DataFrame) -> list[DataFrame]:
@@ -335,20 +360,7 @@ def _links(prefixes: DataFrame, tokens: DataFrame) -> list[DataFrame]:
 
     rows = prefixes.select("uid", "keys").join(classes, "uid").select("uid", "n", "class", "size", "gid", F.explode("keys").alias("k"))
     rows = rows.select("uid", "n", "class", "size", "gid", "k.key", "k.at", (F.col("k.sets") > CROWDED).alias("crowded"))
-    few = rows.filter("not crowded")
-    q, g = few.alias("q"), few.select("key", "class", "size", "gid", "n", "at").alias("g")
-    hits = q.join(g, [F.col("q.key") == F.col("g.key"), F.expr("struct(q.size, q.class) < struct(g.size, g.class)")])
-    hits = hits.select(
-        "q.uid", "g.gid", "q.n", "q.key", _fit(F.col("q.n"), F.col("q.at"), F.col("g.n"), F.col("g.n"), F.col("g.at")).alias("fit")
-    )
-    many = rows.filter("crowded")
-    q = _below_top(many).filter("struct(size, class) < top").alias("q")
-    g = many.groupBy("key", "gid").agg(
-        F.max(F.struct("size", "class")).alias("rank"), F.min("at").alias("at"), F.min("n").alias("n_least"), F.max("n").alias("n_most")
-    ).alias("g")
-    fit = _fit(F.col("q.n"), F.col("q.at"), F.col("g.n_least"), F.col("g.n_most"), F.col("g.at"))
-    more = q.join(g, [F.col("q.key") == F.col("g.key"), F.expr("struct(q.size, q.class) < g.rank")])
-    hits = hits.union(more.select("q.uid", "g.gid", "q.n", "q.key", fit.alias("fit")))
+    hits = _met(rows.filter("not crowded"), rows.filter("crowded"))
     # Members of a group that share a token with the query count it once.
     hits = hits.groupBy("uid", "gid", "key").agg(F.max("n").alias("n"), F.max("fit").alias("fit"))
     hits = hits.groupBy("uid", "gid").agg(F.count("*").alias("met"), F.max("n").alias("n"), F.max("fit").alias("fit"))
