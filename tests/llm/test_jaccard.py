@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from treeloom.llm import jaccard
 
@@ -65,3 +67,44 @@ def test_only_sets_that_may_be_similar_are_joined(spark, crowded):
     none = rows.limit(0)
     met = jaccard._met(none, rows) if crowded else jaccard._met(rows, none)
     assert [(x.uid, x.gid, x.fit) for x in met.collect()] == [(6, 8, True)]
+
+
+def test_tokens_of_no_two_sets_of_like_size_are_left_out(spark):
+    """Kept are those of two sets of one class of sizes or adjacent ones, and of no others unless the key is crowded."""
+    sizes = {1: [100], 2: [100, 117], 3: [100, 200], 4: [17, 20], 5: [100, 110, 900], 6: [10, 1000, 1100, 9000], 7: [300, 300]}
+    rows = [(100 * key + i, n, 0, key) for key, found in sizes.items() for i, n in enumerate(found)]
+    kept = jaccard._shared(spark.createDataFrame(rows, "uid long, n int, at int, key long")).collect()
+    found = {key: sorted(x.n for x in kept if x.key == key) for key in sizes}
+    sure = {2: [100, 117], 4: [17, 20], 5: [100, 110], 6: [1000, 1100], 7: [300, 300]}
+    for key, ns in sizes.items():
+        assert set(sure.get(key, [])) <= set(found[key]) <= set(ns)
+    assert not found[1] and not found[3]
+    assert all(x.sets == len(sizes[x.key]) for x in kept)
+
+
+def test_size_classes_part_no_similar_sizes(spark):
+    one = spark.range(1, 4000).select(F.col("id").alias("n")).withColumn("m", F.ceil(F.col("n") * jaccard.ALIKE / 100))
+    a, b = jaccard._size_class(F.col("n")), jaccard._size_class(F.col("m"))
+    assert one.filter(a.bitwiseAND(b.bitwiseOR(jaccard._beside(b))) == 0).count() == 0
+
+
+def test_sets_alone_in_their_group_stay_where_they_are(spark):
+    rows = [(i, i % 40 if i < 45 else 1000 + i, [i]) for i in range(90)]
+    groups, alone = jaccard._grouped(spark.createDataFrame(rows, "uid long, gkey long, tokens array<long>"))
+    several = {i for i, gkey, _ in rows if sum(gkey == x for _, x, _ in rows) > 1}
+    assert {x.uid for x in groups.collect()} == several
+    assert {x.uid for x in alone.collect()} == {i for i, _, _ in rows} - several
+
+
+def test_large_sets_must_share_more(spark):
+    """Two similar sets of any sizes share as many first tokens as are asked of either, if those alone come first."""
+    asked = {x.n: x.asked for x in spark.range(1, 3000).select(F.col("id").alias("n"), jaccard._asked(F.col("id")).alias("asked")).collect()}
+    n = np.arange(1, 2500)
+    first = n - jaccard._least(n) + jaccard._meet(n)
+    for a in (1, 2, 3, 4, 5, 7, 19, 20, 90, 200, 333, 1000, 2000):
+        for b in range(-(-a * 85 // 100), min(a * 100 // 85, 2499) + 1):
+            both = max(-(-85 * (a + b) // 185), 1)
+            if both <= min(a, b):
+                shared = min(first[a - 1] - (a - both), first[b - 1] - (b - both), both)
+                assert asked[a] <= shared and asked[b] <= shared
+    assert asked[2000] > jaccard.MEET

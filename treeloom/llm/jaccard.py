@@ -6,13 +6,15 @@ hundredths of its own tokens with that union, so the overlap of the two bounds a
 the group at once, and only a group that reaches it is opened and compared with exactly, member by
 member.
 
-Equal sets are one. Tokens have an order, rare ones first; two similar sets share ``MEET`` of the first
-``n - ceil(ALIKE * n / 100) + MEET`` of each (all of them, in sets of fewer). So a set with fewer of
-those that any other set has goes no further, and only sets and groups that share so many are held
+Equal sets are one. Tokens have an order, rare ones first; two similar sets share ``m`` of the first
+``n - ceil(ALIKE * n / 100) + m`` of each, where m is MEET or MEET_SHARE hundredths of the smaller
+(all of them, in sets of fewer). Large sets share a few by chance, so these must share more. So a set with fewer of
+those that any other set of like size has goes no further, and only sets and groups that share so many are held
 against each other, if their sizes and the tokens left from the first on allow it. Any order gives the same
-links; it comes from counts of all tokens in SKETCH counters.
+links; it comes from counts of all tokens in SKETCH counters. Tokens that no two sets of like size have
+are taken out before sets and tokens are shuffled, so what moves follows the tokens shared.
 
-Groups are sets with the same smallest token hash, in pieces of GROUP. The member with the most
+Groups are sets with the same smallest token hash, in pieces of GROUP; a set alone in its group moves nowhere. The member with the most
 common tokens leads its group, and those similar to it are tied to it. For tokens that more than
 CROWDED sets share, the leader of the largest class there is compared with all other sets of the
 token, which ties what scatters around one text without comparing it pair by pair. Last, classes
@@ -23,6 +25,7 @@ is classes, and a further link between two members of one changes nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,8 +41,8 @@ from treeloom.session import stage
 
 SHINGLE = 4
 ALIKE = 85
-#: First tokens that similar sets must share.
-MEET = 4
+#: First tokens that similar sets must share, and hundredths of them that large sets must.
+MEET, MEET_SHARE = 4, 2
 #: Counters of tokens, by the low bits of their hashes.
 SKETCH = 1 << 18
 #: Members of a group and tokens of all of them, on average.
@@ -87,6 +90,11 @@ def _least(n: np.ndarray) -> np.ndarray:
     return -(-ALIKE * n // 100)
 
 
+def _meet(n: np.ndarray) -> np.ndarray:
+    """How many of a set's first tokens others may be asked to share. It never falls as sets grow."""
+    return np.minimum(_least(n), np.maximum(MEET, -(-MEET_SHARE * n // 100)))
+
+
 def _order(texts: DataFrame, shingle: int):
     """How often the tokens of each counter occur in all texts, as a broadcast array."""
 
@@ -116,7 +124,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
                 text = np.repeat(np.arange(len(counts)), counts)
                 order = np.lexsort((tokens, often.value[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)], text))
                 place = np.arange(len(tokens)) - (np.cumsum(counts) - counts)[text]
-                first = counts - _least(counts) + np.minimum(MEET, _least(counts))
+                first = counts - _least(counts) + _meet(counts)
                 taken = tokens[order][place < first[text]]
                 yield pa.record_batch(
                     [part.column("did"), pa.array(_names(tokens, counts)), pa.array(counts.astype(np.int32)), _lists(taken, first)],
@@ -126,8 +134,46 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(sets, "did long, uid long, n int, prefix array<long>")
 
 
+def _asked(n: Column) -> Column:
+    """Fewest first tokens that a set of ``n`` shares with any similar one: ``_meet`` of the smallest that may be."""
+    least = F.ceil(n * ALIKE / 100)
+    return F.least(F.ceil(least * ALIKE / 100), F.greatest(F.lit(MEET), F.ceil(least * MEET_SHARE / 100)))
+
+
+def _size_class(n: Column) -> Column:
+    """The bit of a long that stands for sets of about ``n`` tokens; similar sets have the same or adjacent ones.
+
+    Classes are a little wider than the ratio of similar sizes, so that rounding parts no pair. Bit 0 follows bit 63.
+    """
+    width = math.log(100 / ALIKE) + 1e-9
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.floor(F.log(n) / width).cast("int") % 64)
+
+
+def _beside(bits: Column) -> Column:
+    """The bits on both sides of those of a long."""
+    up = F.shiftleft(bits, 1).bitwiseOR(F.shiftrightunsigned(bits, 63))
+    return up.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseOR(F.shiftleft(bits, 63))
+
+
+def _shared(first: DataFrame) -> DataFrame:
+    """``uid, n, at, key, sets``: first tokens that another set of like size may have, and how many sets have them.
+
+    first: ``uid, n, at, key``. Keys are counted alone; only rows of those left then move with their sets.
+    Where two sets of a key have one class of sizes, all sets of the key stay.
+    """
+    keys = first.groupBy("key").agg(F.count("*").alias("sets"), F.bit_or(_size_class(F.col("n"))).alias("sizes"))
+    crowd = F.col("sets") > F.bit_count("sizes")
+    met = F.col("sizes").bitwiseAND(_beside(F.col("sizes"))) != 0
+    keys = stage(keys.filter((F.col("sets") > 1) & (crowd | met)), "keys")
+    among = sieve(keys, "key")
+    if among is None:
+        return first.withColumn("sets", F.lit(0).cast("long")).limit(0)
+    near = _size_class(F.col("n")).bitwiseAND(_beside(F.col("sizes"))) != 0
+    return first.filter(among).join(keys, "key").filter(crowd | near).drop("sizes")
+
+
 def _tokens(texts: DataFrame, shingle: int) -> DataFrame:
-    """``uid, tokens``: the whole sets of texts; a task passes each on once."""
+    """``uid, gkey, tokens``: the whole sets of texts and their smallest token hash; a task passes each on once."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -140,19 +186,27 @@ def _tokens(texts: DataFrame, shingle: int) -> DataFrame:
                     if counts[i] and uid not in seen:
                         seen.add(uid)
                         new[i] = True
+                found, counts = found[np.repeat(new, counts)], counts[new]
+                least = np.zeros(len(counts), np.uint64)
+                if len(counts):
+                    least = np.minimum.reduceat(W.mix(found ^ np.uint64(0xA24BAED4963EE407)), np.cumsum(counts) - counts)
                 yield pa.record_batch(
-                    [pa.array(names[new]), _lists(found[np.repeat(new, counts)], counts[new])], names=["uid", "tokens"]
+                    [pa.array(names[new]), pa.array(least.view(np.int64)), _lists(found, counts)], names=["uid", "gkey", "tokens"]
                 )
 
-    return texts.select("text").mapInArrow(tokens, "uid long, tokens array<long>")
+    return texts.select("text").mapInArrow(tokens, "uid long, gkey long, tokens array<long>")
 
 
-def _grouped(tokens: DataFrame) -> DataFrame:
-    """``uid, tokens`` with ``gid``, the group: the smallest token hash, and a piece of what is large."""
-    key = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t)))
-    rows = tokens.withColumn("gkey", key)
+def _grouped(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``uid, tokens, gid`` of sets that may share their group, and ``uid, gid`` of those alone in it.
+
+    gid: the smallest token hash, and a piece of what is large.
+    """
     slot = F.pmod(F.xxhash64("gkey"), F.lit(SPLIT))
-    size = rows.groupBy("gkey").agg(F.count("*").alias("n"), F.sum(F.size("tokens")).alias("total"))
+    size = tokens.groupBy("gkey").agg(F.count("*").alias("n"), F.sum(F.size("tokens")).alias("total"))
+    size = stage(size.filter("n > 1"), "sizes")
+    several = sieve(size, "gkey")
+    several = F.lit(False) if several is None else several
     size = size.select("gkey", F.ceil(F.greatest(F.col("n") / GROUP, F.col("total") / GROUP_TOKENS)).alias("pieces"))
     large = size.filter("pieces > 1").groupBy(slot.alias("slot")).agg(F.max("pieces").alias("pieces")).toArrow()
     pieces = np.ones(SPLIT, np.int64)
@@ -165,7 +219,8 @@ def _grouped(tokens: DataFrame) -> DataFrame:
             yield pa.array(shared.value[at.to_numpy(zero_copy_only=False)])
 
     piece = F.pmod(F.xxhash64("uid"), found(slot))
-    return rows.select("uid", "tokens", F.xxhash64("gkey", piece).alias("gid"))
+    rows = tokens.filter(several).select("uid", "tokens", F.xxhash64("gkey", piece).alias("gid"))
+    return rows, tokens.filter(~several).select("uid", F.col("gkey").alias("gid"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -283,7 +338,7 @@ def _opened(pairs: DataFrame, members: DataFrame, tokens: DataFrame, classes: Da
     needed = sieve(asked.select("uid"), "uid")
     if needed is None:
         return pairs.select(F.col("uid").alias("a"), F.col("gid").alias("b")).limit(0)
-    rows = asked.join(tokens.filter(needed), "uid")
+    rows = asked.join(tokens.filter(needed).drop("gkey"), "uid")
     rows = spread(rows, "gid", "salt").sortWithinPartitions("gid", "salt")
     return rows.mapInArrow(lambda batches: _merged(_open(batches)), "a long, b long")
 
@@ -306,7 +361,7 @@ def _below_top(rows: DataFrame) -> DataFrame:
     return rows.join(keys.filter("one <> other").select("key", "top"), "key")
 
 
-def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Column, before: int = 0) -> Column:
+def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Column, before: Column | int = 0) -> Column:
     """Whether sizes, and the tokens left from a shared one on, allow for a similar pair.
 
     ``before``: shared tokens that may stand before this one.
@@ -318,14 +373,14 @@ def _fit(n: Column, at: Column, n_least: Column, n_most: Column, their_at: Colum
 def _met(few: DataFrame, many: DataFrame) -> DataFrame:
     """``uid, gid, n, key, fit``: tokens that sets share with groups of larger classes, of ``few`` and of crowded tokens.
 
-    A similar pair shares MEET tokens or all of the smaller set's; the first of them fit with so many
-    before them, and so do the sizes. Only such are joined, which leaves each similar pair as many as it must share.
+    A similar pair shares ``_asked`` tokens; the first of them fit with so many before them, and so do the
+    sizes. Only such are joined, which leaves each similar pair as many as it must share.
     """
     at = [F.col("q.n"), F.col("q.at")]
     q, g = few.alias("q"), few.select("key", "class", "size", "gid", "n", "at").alias("g")
     bounds = [*at, F.col("g.n"), F.col("g.n"), F.col("g.at")]
     ranked = F.expr("struct(q.size, q.class) < struct(g.size, g.class)")
-    hits = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=MEET - 1)])
+    hits = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=_asked(F.col("q.n")) - 1)])
     hits = hits.select("q.uid", "g.gid", "q.n", "q.key", _fit(*bounds).alias("fit"))
     q = _below_top(many).filter("struct(size, class) < top").alias("q")
     g = many.groupBy("key", "gid").agg(
@@ -333,14 +388,15 @@ def _met(few: DataFrame, many: DataFrame) -> DataFrame:
     ).alias("g")
     bounds = [*at, F.col("g.n_least"), F.col("g.n_most"), F.col("g.at")]
     ranked = F.expr("struct(q.size, q.class) < g.rank")
-    more = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=MEET - 1)])
+    more = q.join(g, [F.col("q.key") == F.col("g.key"), ranked, _fit(*bounds, before=_asked(F.col("q.n")) - 1)])
     return hits.union(more.select("q.uid", "g.gid", "q.n", "q.key", _fit(*bounds).alias("fit")))
 
 
 def _links(prefixes: DataFrame, tokens: DataFrame) -> list[DataFrame]:
     """Links that join the same sets as all links do."""
-    groups = spread(_grouped(tokens), "gid").sortWithinPartitions("gid")
-    groups = stage(groups.mapInArrow(lambda b: _merged(_lead(b)), "uid long, gid long, leader long"), "groups")
+    groups, alone = _grouped(tokens)
+    groups = spread(groups, "gid").sortWithinPartitions("gid").mapInArrow(lambda b: _merged(_lead(b)), "uid long, gid long, leader long")
+    groups = stage(groups.union(alone.select("uid", "gid", F.col("uid").alias("leader"))), "groups")
     uids = prefixes.select("uid", "n")
     links = [groups.filter("uid <> leader").select(F.col("uid").alias("a"), F.col("leader").alias("b"))]
     classes = _classes(uids, links)
@@ -364,16 +420,11 @@ def _links(prefixes: DataFrame, tokens: DataFrame) -> list[DataFrame]:
     # Members of a group that share a token with the query count it once.
     hits = hits.groupBy("uid", "gid", "key").agg(F.max("n").alias("n"), F.max("fit").alias("fit"))
     hits = hits.groupBy("uid", "gid").agg(F.count("*").alias("met"), F.max("n").alias("n"), F.max("fit").alias("fit"))
-    pairs = hits.filter(F.col("fit") & (F.col("met") >= _meet("n"))).select("uid", "gid")
+    pairs = hits.filter(F.col("fit") & (F.col("met") >= _asked(F.col("n")))).select("uid", "gid")
     links.append(stage(_opened(pairs, classes.select("gid", "uid"), tokens, classes), "links"))
     return links
 
 
-def _meet(n: str) -> Column:
-    """First tokens that a set of ``n`` shares with any similar one."""
-    return F.least(F.lit(MEET), F.ceil(F.col(n) * ALIKE / 100))
-
-
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
@@ -392,11 +443,10 @@ def similar_documents(
     unique = sets.filter("n > 0").groupBy("uid").agg(F.min("did").alias("did"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     unique = stage(unique, "unique")
     first = unique.select("uid", "n", F.posexplode("prefix").alias("at", "key"))
-    shared = first.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
-    prefixes = first.join(shared, "key").groupBy("uid").agg(
+    prefixes = _shared(first).groupBy("uid").agg(
         F.max("n").alias("n"), F.collect_list(F.struct("key", "at", "sets")).alias("keys")
     )
-    prefixes = stage(prefixes.filter(F.size("keys") >= _meet("n")), "prefixes")
+    prefixes = stage(prefixes.filter(F.size("keys") >= _asked(F.col("n"))), "prefixes")
     ids = unique.select("uid", "did")
     needed = sieve(prefixes.select("uid").join(ids, "uid").select("did"), "did")
     if needed is None:
