@@ -1,14 +1,15 @@
 """Nodes, edges and file metadata from the syntax table.
 
-Every grouping below is by ``unit`` and something inside it. A unit is one
-source text, which a single Python task has already held as a tree, so no group
-can outgrow a task; a file with very many nodes still spreads over tasks because
-the second key is part of the hash.
+Each row notes the places of the nodes that its edges lead to or come from, so
+all edges are made in one pass over the table, without a shuffle. Counts group by
+``unit``, one source text each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from treeloom.functions import ids
 from treeloom.operators.flatten import FUNCTION_KINDS, MODULE
@@ -34,10 +35,15 @@ _ALWAYS = ("unit", "file_path", *_PLACE)
 _PARENT = ("parent_line", "parent_col", "parent_type")
 NODE_COLUMNS = (*_ALWAYS, *_PARENT, "pre", "name", "end_lineno")
 CFG_COLUMNS = (*_ALWAYS, *_PARENT, "block_pre", "block_idx", "next_line", "next_col", "next_type")
-DFG_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "ctx", "scopes")
-CALL_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "callee", "encl_line", "encl_col", "encl_type")
+DFG_COLUMNS = (*_ALWAYS, "pre", "depth", "name", "defs")
+CALL_COLUMNS = (
+    *_ALWAYS, "pre", "callee", "encl_line", "encl_col", "encl_type", "found_line", "found_col", "found_type",
+)
 EDGE_COLUMNS = tuple(dict.fromkeys((*CFG_COLUMNS, *DFG_COLUMNS, *CALL_COLUMNS)))
 METADATA_COLUMNS = (*EDGE_COLUMNS, "file_hash", "size_bytes", "loc")
+# Facts without which a row has no edge of a family.
+CFG_FACTS, DFG_FACTS, CALL_FACTS = ("block_idx",), ("defs",), ("callee",)
+EDGE_FACTS = (*CFG_FACTS, *DFG_FACTS, *CALL_FACTS)
 
 
 def _node_id() -> Column:
@@ -55,27 +61,50 @@ def _parent_id() -> Column:
     )
 
 
-def _no_attrs() -> Column:
-    return F.expr("map()").cast("map<string,string>")
-
-
 def _ord(*keys: Column | int) -> Column:
     """Sort key that gives the order of events within a unit."""
     return F.array(*[(k if isinstance(k, Column) else F.lit(k)).cast("long") for k in keys])
 
 
-def _edges(
-    df: DataFrame, source: Column, target: Column, edge_type: str, attrs: Column, order: Column
-) -> DataFrame:
-    return df.select(
-        ids.edge_id(source, target, F.lit(edge_type)).alias("edge_id"),
+def _place(prefix: str) -> tuple[Column, Column, Column]:
+    return tuple(F.col(f"{prefix}_{c}") for c in ("line", "col", "type"))
+
+
+def _link(
+    where: Column, edge_type: str, source: tuple, target: tuple, order: tuple, attr: Column | None = None
+) -> tuple[Column, Column]:
+    """What an edge of a row consists of but for its ids, and which rows have such an edge."""
+    ends = [c.alias(f"{end}{i}") for end, place in (("s", source), ("t", target)) for i, c in enumerate(place)]
+    keys = [(k if isinstance(k, Column) else F.lit(k)).cast("int").alias(f"o{i}") for i, k in enumerate(order)]
+    value = F.lit(None).cast("string") if attr is None else attr
+    return where, F.struct(F.lit(edge_type).alias("edge_type"), *ends, *keys, value.alias("attr"))
+
+
+def _edges(syntax: DataFrame, *links: tuple[Column, Column]) -> DataFrame:
+    """All edges of each row in one pass; ids are computed last, so that readers which only count need none."""
+    rows = syntax.filter(reduce(Column.__or__, [where for where, _ in links]))
+    if len(links) > 1:
+        found = F.explode(F.array(*[F.when(where, link) for where, link in links]))
+    else:
+        found = links[0][1]
+    linked = rows.select("unit", "file_path", found.alias("link")).filter(F.col("link").isNotNull())
+    linked = linked.select("unit", "file_path", "link.*")
+    path, kind, attr = F.col("file_path"), F.col("edge_type"), F.col("attr")
+    source, target = [ids.node_id(path, *[F.col(f"{end}{i}") for i in range(3)]) for end in "st"]
+    attrs = (
+        F.when(kind == CFG, F.expr("map()").cast("map<string,string>"))
+        .when(kind == DFG, F.create_map(F.lit("var"), attr))
+        .otherwise(F.create_map(F.lit("callee_name"), attr))
+    )
+    return linked.select(
+        ids.edge_id(source, target, kind).alias("edge_id"),
         source.alias("source_id"),
         target.alias("target_id"),
-        F.lit(edge_type).alias("edge_type"),
+        "edge_type",
         "file_path",
         attrs.alias("attrs"),
         "unit",
-        order.alias("ord"),
+        _ord(*[F.col(f"o{i}") for i in range(4)]).alias("ord"),
     )
 
 
@@ -95,128 +124,78 @@ def ast_nodes(syntax: DataFrame) -> DataFrame:
     )
 
 
+def _here() -> tuple[Column, ...]:
+    return tuple(F.col(c) for c in _PLACE)
+
+
+def _cfg_links() -> list[tuple[Column, Column]]:
+    line, col, kind = _place("parent")
+    parent = (
+        F.coalesce(line, F.lit(ids.NO_POSITION)), F.coalesce(col, F.lit(ids.NO_POSITION)), F.coalesce(kind, F.lit(MODULE)),
+    )
+    begins = (F.col("block_idx") == 0) & parent[2].isin(*ENTRY_KINDS)
+    block, idx = F.col("block_pre"), F.col("block_idx")
+    return [
+        _link(F.col("next_type").isNotNull(), CFG, _here(), _place("next"), (0, block, 0, idx)),
+        _link(F.coalesce(begins, F.lit(False)), CFG, parent, _here(), (0, block, 1, 0)),
+    ]
+
+
+def _dfg_link() -> tuple[Column, Column]:
+    """For rows with one definition each."""
+    found = F.col("def")
+    source = (found["lineno"], found["col_offset"], F.lit("Name"))
+    order = (1, found["scope"], F.col("depth"), F.col("pre"))
+    return _link(found.isNotNull(), DFG, source, _here(), order, F.col("name"))
+
+
+def _call_link() -> tuple[Column, Column]:
+    is_call = F.col("encl_type").isNotNull()
+    return _link(is_call, CALL, _place("encl"), _here(), (2, F.col("pre"), 0, 0), F.col("callee"))
+
+
+def _resolve_link() -> tuple[Column, Column]:
+    order = (2, F.col("pre"), 1, 0)
+    return _link(F.col("found_type").isNotNull(), RESOLVES, _here(), _place("found"), order, F.col("callee"))
+
+
 def cfg_edges(syntax: DataFrame) -> DataFrame:
     """Statement to next statement, and owner to the first statement of a block.
 
     Each statement carries the place of the next one, so nothing is shuffled.
     """
-    statements = syntax.filter(F.col("block_pre").isNotNull())
-    sequential = _edges(
-        statements.filter(F.col("next_type").isNotNull()),
-        _node_id(),
-        ids.node_id(F.col("file_path"), F.col("next_line"), F.col("next_col"), F.col("next_type")),
-        CFG,
-        _no_attrs(),
-        _ord(0, F.col("block_pre"), 0, F.col("block_idx")),
-    )
-    entered = statements.filter(
-        (F.col("block_idx") == 0)
-        & F.coalesce("parent_type", F.lit(MODULE)).isin(*ENTRY_KINDS)
-    )
-    entry = _edges(
-        entered,
-        F.coalesce(_parent_id(), ids.module_id(F.col("file_path"))),
-        _node_id(),
-        CFG,
-        _no_attrs(),
-        _ord(0, F.col("block_pre"), 1, 0),
-    )
-    return sequential.unionByName(entry)
+    return _edges(syntax, *_cfg_links())
 
 
 def dfg_edges(syntax: DataFrame) -> DataFrame:
     """Last assignment of a name to each read of it, per scope, breadth first.
 
-    A name counts in every scope around it, so nested scopes repeat edges.
+    A name counts in every scope around it, so nested scopes repeat edges. Each read carries
+    the places of its assignments.
     """
-    names = syntax.filter(
-        (F.col("node_type") == "Name") & F.col("ctx").isin("Store", "Load")
-    ).select(
-        "unit",
-        "file_path",
-        "name",
-        "lineno",
-        "col_offset",
-        "ctx",
-        "depth",
-        "pre",
-        F.explode("scopes").alias("scope"),
-    )
-    before = (
-        Window.partitionBy("unit", "scope", "name")
-        .orderBy("depth", "pre")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    stored = F.when(F.col("ctx") == "Store", F.struct("lineno", "col_offset"))
-    linked = names.withColumn("def", F.last(stored, ignorenulls=True).over(before)).filter(
-        (F.col("ctx") == "Load") & F.col("def").isNotNull()
-    )
-    path, kind = F.col("file_path"), F.lit("Name")
-    return _edges(
-        linked,
-        ids.node_id(path, F.col("def.lineno"), F.col("def.col_offset"), kind),
-        ids.node_id(path, F.col("lineno"), F.col("col_offset"), kind),
-        DFG,
-        F.create_map(F.lit("var"), F.col("name")),
-        _ord(1, F.col("scope"), F.col("depth"), F.col("pre")),
-    )
-
-
-def _calls(syntax: DataFrame) -> DataFrame:
-    return syntax.filter(F.col("node_type") == "Call").select(
-        "unit",
-        "file_path",
-        "pre",
-        "lineno",
-        "col_offset",
-        "node_type",
-        "callee",
-        "encl_line",
-        "encl_col",
-        "encl_type",
-    )
+    reads = syntax.filter(F.col("defs").isNotNull())
+    return _edges(reads.withColumn("def", F.explode("defs")), _dfg_link())
 
 
 def call_edges(syntax: DataFrame) -> DataFrame:
     """Enclosing function or module to each call."""
-    return _edges(
-        _calls(syntax),
-        ids.node_id(
-            F.col("file_path"), F.col("encl_line"), F.col("encl_col"), F.col("encl_type")
-        ),
-        _node_id(),
-        CALL,
-        F.create_map(F.lit("callee_name"), F.col("callee")),
-        _ord(2, F.col("pre"), 0, 0),
-    )
+    return _edges(syntax, _call_link())
 
 
 def resolve_edges(syntax: DataFrame) -> DataFrame:
     """Call to the first function, breadth first, with the called name in its file."""
-    definitions = (
-        syntax.filter(F.col("node_type").isin(*FUNCTION_KINDS))
-        .groupBy("unit", F.col("name").alias("callee"))
-        .agg(F.min_by(F.struct(*_PLACE), F.struct("depth", "pre")).alias("found"))
-    )
-    named = _calls(syntax).filter(F.col("callee") != "")
-    return _edges(
-        named.join(definitions, ["unit", "callee"]),
-        _node_id(),
-        ids.node_id(F.col("file_path"), *[F.col(f"found.{c}") for c in _PLACE]),
-        RESOLVES,
-        F.create_map(F.lit("callee_name"), F.col("callee")),
-        _ord(2, F.col("pre"), 1, 0),
-    )
+    return _edges(syntax, _resolve_link())
 
 
 def all_edges(syntax: DataFrame) -> DataFrame:
-    """All edge events; repeated edges stay repeated."""
-    return (
-        cfg_edges(syntax)
-        .unionByName(dfg_edges(syntax))
-        .unionByName(call_edges(syntax))
-        .unionByName(resolve_edges(syntax))
-    )
+    """All edge events; repeated edges stay repeated.
+
+    A row is repeated for each of its definitions. Only reads of names have some, and these are
+    neither statements nor calls, so no other edge is repeated.
+    """
+    rows = syntax.filter(reduce(Column.__or__, [F.col(c).isNotNull() for c in ("block_idx", "defs", "encl_type")]))
+    rows = rows.withColumn("def", F.explode_outer("defs"))
+    return _edges(rows, *_cfg_links(), _dfg_link(), _call_link(), _resolve_link())
 
 
 def file_metadata(syntax: DataFrame, edges: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 The parse of one file is the only step that runs in Python. It numbers the
 nodes of the tree and records for each node the few facts about its
 surroundings that later steps need, so that node ids, parents, enclosing
-functions and entry edges are plain projections and only the truly ordered
-steps (chains, last definitions, name lookups) need a shuffle.
+functions, next statements, last definitions and called functions are plain
+projections: all of them lie within one text, which the parse holds anyway.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import ast
 import gc
 import warnings
 from collections.abc import Iterable, Iterator
+from operator import itemgetter
 from typing import get_args
 
 import numpy as np
@@ -111,9 +112,8 @@ class _Rows:
         self.col: list[int] = []
         self.end: list[int] = []
         self.named: tuple[list, list] = ([], [])
-        self.reads: tuple[list, list, list] = ([], [], [])
-        self.scopes: list[tuple] = []
-        self.calls: tuple[list, list, list] = ([], [], [])
+        self.reads: tuple[list, list, list, list] = ([], [], [], [])
+        self.calls: tuple[list, list, list, list] = ([], [], [], [])
         self.statements: tuple[list, list, list, list] = ([], [], [], [])
 
     def __len__(self) -> int:
@@ -141,13 +141,12 @@ class _Rows:
         self._bare(_MODULE_CODE)
         codes, pres, depths, ups = self.codes, self.pre, self.depth, self.up
         name_rows, names = self.named
-        read_rows, contexts, read_scopes = self.reads
-        call_rows, callees, enclosings = self.calls
+        call_rows, callees, enclosings, called = self.calls
         statements, block_pres, block_idxs, followings = self.statements
-        kinds, placed = _KINDS, []
-        self.scopes.append((0,))
-        # Enclosing function and number of the scopes around; then the block a statement is in and its place there.
-        around = (_NONE, len(self.scopes) - 1)
+        kinds, placed, uses, functions = _KINDS, [], [], {}
+        first_call = len(call_rows)
+        # Enclosing function and the scopes around; then the block a statement is in and its place there.
+        around = (_NONE, (0,))
         stack: list[tuple] = [(tree, 0, _NONE, around, [], None)]
         pre = 0
         while stack:
@@ -166,9 +165,7 @@ class _Rows:
                 if role == _NAME:
                     name_rows.append(row)
                     names.append(node.id)
-                    read_rows.append(row)
-                    contexts.append(type(node.ctx).__name__)
-                    read_scopes.append(around[1])
+                    uses.append((depth, row, node.id, type(node.ctx), around[1]))
                     pre += 1
                     continue
                 if name_field:
@@ -179,8 +176,9 @@ class _Rows:
                     callees.append(_callee(node))
                     enclosings.append(around[0])
                 elif role == _FUNCTION:
-                    self.scopes.append((*self.scopes[around[1]], pre))
-                    around = (row, len(self.scopes) - 1)
+                    if node.name not in functions or depth < functions[node.name][0]:
+                        functions[node.name] = depth, row
+                    around = (row, (*around[1], pre))
                 if block is not None:
                     if block:
                         followings[block[1]] = row
@@ -210,62 +208,104 @@ class _Rows:
         self.line += [n.lineno for n in placed]
         self.col += [n.col_offset for n in placed]
         self.end += [n.end_lineno for n in placed]
+        none = (0, _NONE)
+        called += [functions.get(name, none)[1] for name in callees[first_call:]]
+        self._add_reads(uses)
+
+    def _add_reads(self, uses: list[tuple]) -> None:
+        """Last assignment of a name before each read of it, per scope, breadth first.
 
-    def columns(self, types: dict[str, pa.DataType], wanted: list[str]) -> dict[str, pa.Array]:
-        """Arrow columns of the rows that are ``wanted``, but for those that a file has once."""
+        A name counts in every scope around it. ``uses`` are in pre-order.
+        """
+        read_rows, counts, scopes, definitions = self.reads
+        last: dict[tuple, int] = {}
+        for _, row, name, context, around in sorted(uses, key=itemgetter(0)):
+            if context is ast.Store:
+                for scope in around:
+                    last[scope, name] = row
+            elif context is ast.Load:
+                before = len(scopes)
+                for scope in around:
+                    if (scope, name) in last:
+                        scopes.append(scope)
+                        definitions.append(last[scope, name])
+                if len(scopes) > before:
+                    read_rows.append(row)
+                    counts.append(len(scopes) - before)
+
+    def holding(self, facts: Iterable[str]) -> np.ndarray | slice:
+        """Numbers of the rows that have one of the facts, which few rows have; all rows if none is named."""
+        rows = {"block_idx": self.statements[0], "defs": self.reads[0], "callee": self.calls[0]}
+        found = [np.array(rows[fact], np.int64) for fact in facts]
+        return np.unique(np.concatenate(found)) if found else slice(None)
+
+    def columns(
+        self, types: dict[str, pa.DataType], wanted: list[str], kept: np.ndarray | slice = slice(None)
+    ) -> dict[str, pa.Array]:
+        """Arrow columns that are ``wanted`` of the rows ``kept``, but for those that a file has once."""
         codes, up = np.array(self.codes, np.int64), np.array(self.up, np.int64)
         line, col = np.array(self.line, np.int32), np.array(self.col, np.int32)
         kinds = pa.array(_KINDS.names, types["node_type"])
-        place = (codes >= 0) & (codes != _MODULE_CODE)
+        place = ((codes >= 0) & (codes != _MODULE_CODE))[kept]
 
         def spread(rows: list, values: list) -> np.ndarray:
             whole = np.full(len(codes), _NONE, np.int64)
             whole[rows] = values
-            return whole
+            return whole[kept]
 
-        def of_rows(rows: list, values: list, name: str) -> pa.Array:
+        def of_rows(rows: list, values: pa.Array) -> pa.Array:
             at = spread(rows, np.arange(len(rows)))
-            return pa.array(values, types[name]).take(pa.array(at, mask=at < 0))
+            return values.take(pa.array(at, mask=at < 0))
 
-        def listed(rows: list, number: list, values: list | None = None) -> pa.Array:
-            """Numbers that some rows have, or the values at these numbers."""
-            at = spread(rows, number)
-            held = pa.array(at, pa.int32(), mask=at < 0)
-            return held if values is None else pa.array(values, types["scopes"]).take(held)
+        def numbers(rows: list, values: list) -> pa.Array:
+            at = spread(rows, values)
+            return pa.array(at, pa.int32(), mask=at < 0)
+
+        def position(name: str, find, known) -> dict:
+            """Place of the rows that ``find`` gives, where ``known``; of the module where it is none."""
+
+            def column(place, type_=None):
+                rows = find()
+                return pa.array(place(rows, rows < 0), type_, mask=~known(rows))
 
-        def position(name: str, rows: np.ndarray, known: np.ndarray) -> dict:
-            """Place of the nodes in ``rows``, where ``known``; of the module where it is none."""
-            none = rows < 0
             return {
-                f"{name}_line": lambda: pa.array(np.where(none, ids.NO_POSITION, line[rows]), mask=~known),
-                f"{name}_col": lambda: pa.array(np.where(none, ids.NO_POSITION, col[rows]), mask=~known),
+                f"{name}_line": lambda: column(lambda r, none: np.where(none, ids.NO_POSITION, line[r])),
+                f"{name}_col": lambda: column(lambda r, none: np.where(none, ids.NO_POSITION, col[r])),
                 f"{name}_type": lambda: kinds.take(
-                    pa.array(np.where(none, _MODULE_CODE, codes[rows]), mask=~known)
+                    column(lambda r, none: np.where(none, _MODULE_CODE, codes[r]))
                 ),
             }
 
-        read_rows, contexts, read_scopes = self.reads
-        call_rows, callees, enclosings = self.calls
+        def definitions() -> pa.Array:
+            offsets = pa.array(np.concatenate(([0], np.cumsum(counts, dtype=np.int32))), pa.int32())
+            at = np.array(defined, np.int64)
+            item = types["defs"].value_type
+            places = [pa.array(scopes, pa.int32()), pa.array(line[at]), pa.array(col[at])]
+            listed = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(places, fields=list(item)))
+            return of_rows(read_rows, listed.cast(types["defs"]))
+
+        read_rows, counts, scopes, defined = self.reads
+        call_rows, callees, enclosings, called = self.calls
         statements, block_pres, block_idxs, followings = self.statements
-        following = spread(statements, followings)
-        called = np.zeros(len(codes), bool)
-        called[call_rows] = True
+        is_call = np.zeros(len(codes), bool)
+        is_call[call_rows] = True
+        is_call = is_call[kept]
         made = {
-            "pre": lambda: pa.array(np.array(self.pre, np.int32)),
-            "depth": lambda: pa.array(np.array(self.depth, np.int32), mask=codes < 0),
-            "node_type": lambda: kinds.take(pa.array(codes, mask=codes < 0)),
-            "name": lambda: of_rows(*self.named, "name"),
-            "lineno": lambda: pa.array(line, mask=~place),
-            "col_offset": lambda: pa.array(col, mask=~place),
-            "end_lineno": lambda: pa.array(np.array(self.end, np.int32), mask=~place),
-            **position("parent", up, up >= 0),
-            **position("encl", spread(call_rows, enclosings), called),
-            "ctx": lambda: of_rows(read_rows, contexts, "ctx"),
-            "callee": lambda: of_rows(call_rows, callees, "callee"),
-            "scopes": lambda: listed(read_rows, read_scopes, self.scopes),
-            "block_pre": lambda: listed(statements, block_pres),
-            "block_idx": lambda: listed(statements, block_idxs),
-            **position("next", following, following >= 0),
+            "pre": lambda: pa.array(np.array(self.pre, np.int32)[kept]),
+            "depth": lambda: pa.array(np.array(self.depth, np.int32)[kept], mask=codes[kept] < 0),
+            "node_type": lambda: kinds.take(pa.array(codes[kept], mask=codes[kept] < 0)),
+            "name": lambda: of_rows(self.named[0], pa.array(self.named[1], types["name"])),
+            "lineno": lambda: pa.array(line[kept], mask=~place),
+            "col_offset": lambda: pa.array(col[kept], mask=~place),
+            "end_lineno": lambda: pa.array(np.array(self.end, np.int32)[kept], mask=~place),
+            **position("parent", lambda: up[kept], lambda rows: rows >= 0),
+            **position("encl", lambda: spread(call_rows, enclosings), lambda rows: is_call),
+            **position("found", lambda: spread(call_rows, called), lambda rows: rows >= 0),
+            "callee": lambda: of_rows(call_rows, pa.array(callees, types["callee"])),
+            "defs": definitions,
+            "block_pre": lambda: numbers(statements, block_pres),
+            "block_idx": lambda: numbers(statements, block_idxs),
+            **position("next", lambda: spread(statements, followings), lambda rows: rows >= 0),
         }
         return {name: made[name]() for name in wanted if name in made}
 
@@ -295,12 +335,13 @@ def _parse(record: dict, rows: _Rows) -> tuple:
 
 
 def _record_batch(
-    rows: _Rows, units: list[tuple], measures: list[tuple], counts: list[int], wanted: list[str]
+    rows: _Rows, units: list[tuple], measures: list[tuple], counts: list[int], wanted: list[str], facts: Iterable[str]
 ) -> pa.RecordBatch:
     """One Arrow batch of several files; measures go to the first row of each."""
     types = {f.name: f.type for f in to_arrow_schema(schemas.FLAT)}
-    columns = rows.columns(types, wanted)
-    owner = np.repeat(np.arange(len(counts)), counts)
+    kept = rows.holding(facts)
+    columns = rows.columns(types, wanted, kept)
+    owner = np.repeat(np.arange(len(counts)), counts)[kept]
     first = np.diff(owner, prepend=-1) > 0
     for names, values, index in (
         (_FILE_COLUMNS, units, pa.array(owner)),
@@ -314,7 +355,7 @@ def _record_batch(
 
 
 def _flatten_batches(
-    batches: Iterator[pa.RecordBatch], wanted: list[str] = schemas.FLAT.names
+    batches: Iterator[pa.RecordBatch], wanted: list[str] = schemas.FLAT.names, facts: Iterable[str] = ()
 ) -> Iterator[pa.RecordBatch]:
     """Parse with the worker's collector and warnings set aside, and put back however it ends."""
     collecting = gc.isenabled()
@@ -325,13 +366,15 @@ def _flatten_batches(
         # Syntax trees hold no cycles, so searching them for some is wasted time.
         gc.disable()
         try:
-            yield from _parsed_batches(batches, wanted)
+            yield from _parsed_batches(batches, wanted, facts)
         finally:
             if collecting:
                 gc.enable()
 
 
-def _parsed_batches(batches: Iterator[pa.RecordBatch], wanted: list[str]) -> Iterator[pa.RecordBatch]:
+def _parsed_batches(
+    batches: Iterator[pa.RecordBatch], wanted: list[str], facts: Iterable[str]
+) -> Iterator[pa.RecordBatch]:
     rows, units, measures, counts = _Rows(), [], [], []
     for batch in batches:
         # Texts are large, so they are taken one by one.
@@ -345,10 +388,10 @@ def _parsed_batches(batches: Iterator[pa.RecordBatch], wanted: list[str]) -> Ite
             units.append((record["unit"], record["file_path"]))
             counts.append(len(rows) - before)
             if len(rows) >= ROWS_PER_BATCH:
-                yield from _slices(_record_batch(rows, units, measures, counts, wanted))
+                yield from _slices(_record_batch(rows, units, measures, counts, wanted, facts))
                 rows, units, measures, counts = _Rows(), [], [], []
     if len(rows):
-        yield from _slices(_record_batch(rows, units, measures, counts, wanted))
+        yield from _slices(_record_batch(rows, units, measures, counts, wanted, facts))
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -381,7 +424,9 @@ def prepare(sources: DataFrame) -> DataFrame:
     )
 
 
-def flatten(sources: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def flatten(
+    sources: DataFrame, columns: Iterable[str] | None = None, facts: Iterable[str] = ()
+) -> DataFrame:
     """The syntax table of ``sources`` (see ``schemas.SOURCE``).
 
     Rows: every node with a position, a ``Module`` row per parsed file, an error
@@ -389,11 +434,13 @@ def flatten(sources: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     parse. Read by several steps, the result belongs in ``session.stage``.
 
     All rows have the named ``columns`` only, in the schema's order, if some are named: Spark
-    cannot see that later steps need no others, and most of a row's cost is its columns.
+    cannot see that later steps need no others, and most of a row's cost is its columns. With ``facts``
+    (``block_idx``, ``defs``, ``callee``) there are only the rows of nodes that have one of them:
+    statements that control flow walks, reads of a defined name, calls.
 
     Positions stand in for ids, which are hashes of them: small integers store
     and shuffle far better than hex digits, and most rows never need all ids.
     """
     fields = [f for f in schemas.FLAT.fields if columns is None or f.name in set(columns)]
-    wanted = [f.name for f in fields]
-    return prepare(sources).mapInArrow(lambda b: _flatten_batches(b, wanted), StructType(fields))
+    wanted, facts = [f.name for f in fields], tuple(facts)
+    return prepare(sources).mapInArrow(lambda b: _flatten_batches(b, wanted, facts), StructType(fields))

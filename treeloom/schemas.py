@@ -17,6 +17,10 @@ _TYPES = {
     "TIMESTAMP": T.TimestampType(),
     "ARRAY<INT>": T.ArrayType(T.IntegerType()),
     "ARRAY<BIGINT>": T.ArrayType(T.LongType()),
+    # Last assignments of a name: the scope each counts in, and its place.
+    "DEFINITIONS": T.ArrayType(
+        T.StructType([T.StructField(n, T.IntegerType()) for n in ("scope", "lineno", "col_offset")])
+    ),
     "MAP<STRING,STRING>": T.MapType(T.StringType(), T.StringType()),
 }
 
@@ -40,7 +44,8 @@ FLAT = _struct(
     lineno INT, col_offset INT, end_lineno INT,
     parent_line INT, parent_col INT, parent_type STRING,
     encl_line INT, encl_col INT, encl_type STRING,
-    ctx STRING, callee STRING, scopes ARRAY<INT>, block_pre INT, block_idx INT,
+    callee STRING, found_line INT, found_col INT, found_type STRING, defs DEFINITIONS,
+    block_pre INT, block_idx INT,
     next_line INT, next_col INT, next_type STRING,
     file_hash STRING, size_bytes BIGINT, loc BIGINT,
     error_type STRING, error_message STRING"""

@@ -59,6 +59,15 @@ def syntax(
     )
 
 
+def _linked(
+    spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...], facts: tuple[str, ...]
+) -> DataFrame:
+    """Rows of the syntax table for a single pass, which need not be written down if nothing else did."""
+    if _built(spark, sf_dir, f"syntax-{name}"):
+        return syntax(spark, sf_dir, name)
+    return flatten(getattr(sources, name)(spark, sf_dir), columns, facts)
+
+
 def edges(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _once(
         spark,
@@ -69,12 +78,17 @@ def edges(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _edges_once(
-    spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = derive.EDGE_COLUMNS
+    spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """All edges for a single reader, which need not be written down if nothing else did."""
+    """All edges for a single reader, which need not be written down if nothing else did.
+
+    ``columns`` are named by a reader that has the syntax table written down for itself.
+    """
     if _built(spark, sf_dir, f"edges-{name}"):
         return edges(spark, sf_dir, name)
-    return derive.all_edges(syntax(spark, sf_dir, name, columns))
+    if columns:
+        return derive.all_edges(syntax(spark, sf_dir, name, columns))
+    return derive.all_edges(_linked(spark, sf_dir, name, derive.EDGE_COLUMNS, derive.EDGE_FACTS))
 
 
 def _staged_metadata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -245,35 +259,35 @@ def ast_nodes_nested(spark, sf_dir):
 
 
 def cfg_edges(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "ledger", derive.CFG_COLUMNS)))
+    return _flat_edges(derive.cfg_edges(_linked(spark, sf_dir, "ledger", derive.CFG_COLUMNS, derive.CFG_FACTS)))
 
 
 def cfg_edges_branches(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "branches", derive.CFG_COLUMNS)))
+    return _flat_edges(derive.cfg_edges(_linked(spark, sf_dir, "branches", derive.CFG_COLUMNS, derive.CFG_FACTS)))
 
 
 def cfg_edges_nested(spark, sf_dir):
-    return _flat_edges(derive.cfg_edges(syntax(spark, sf_dir, "routines", derive.CFG_COLUMNS)))
+    return _flat_edges(derive.cfg_edges(_linked(spark, sf_dir, "routines", derive.CFG_COLUMNS, derive.CFG_FACTS)))
 
 
 def dfg_edges(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "ledger", derive.DFG_COLUMNS)), "var")
+    return _flat_edges(derive.dfg_edges(_linked(spark, sf_dir, "ledger", derive.DFG_COLUMNS, derive.DFG_FACTS)), "var")
 
 
 def dfg_edges_branches(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "branches", derive.DFG_COLUMNS)), "var")
+    return _flat_edges(derive.dfg_edges(_linked(spark, sf_dir, "branches", derive.DFG_COLUMNS, derive.DFG_FACTS)), "var")
 
 
 def dfg_edges_scopes(spark, sf_dir):
-    return _flat_edges(derive.dfg_edges(syntax(spark, sf_dir, "routines", derive.DFG_COLUMNS)), "var")
+    return _flat_edges(derive.dfg_edges(_linked(spark, sf_dir, "routines", derive.DFG_COLUMNS, derive.DFG_FACTS)), "var")
 
 
 def call_edges(spark, sf_dir):
-    return _flat_edges(derive.call_edges(syntax(spark, sf_dir, "routines", derive.CALL_COLUMNS)), "callee_name")
+    return _flat_edges(derive.call_edges(_linked(spark, sf_dir, "routines", derive.CALL_COLUMNS, derive.CALL_FACTS)), "callee_name")
 
 
 def call_resolves(spark, sf_dir):
-    return _flat_edges(derive.resolve_edges(syntax(spark, sf_dir, "routines", derive.CALL_COLUMNS)), "callee_name")
+    return _flat_edges(derive.resolve_edges(_linked(spark, sf_dir, "routines", derive.CALL_COLUMNS, derive.CALL_FACTS)), "callee_name")
 
 
 def edge_union(spark, sf_dir):
