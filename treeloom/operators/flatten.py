@@ -400,8 +400,8 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, 2 * ROWS_PER_BATCH)
 
 
-def prepare(sources: DataFrame) -> DataFrame:
-    """Decode, unify newlines and measure, all before Python sees a text.
+def prepare(sources: DataFrame, wanted: Iterable[str] = _MEASURES) -> DataFrame:
+    """Decode, unify newlines and take the ``wanted`` measures, all before Python sees a text.
 
     ``unit`` tells apart several rows with one path, such as two versions of a
     file in one run. Bytes that are not UTF-8 travel on only for the message.
@@ -409,6 +409,7 @@ def prepare(sources: DataFrame) -> DataFrame:
     raw = F.col("content").cast("string")
     valid = F.is_valid_utf8(raw)
     text = F.col("text")
+    measures = {"file_hash": ids.file_hash(text), "size_bytes": ids.size_bytes(text), "loc": ids.line_count(text)}
     return (
         sources.select(
             F.monotonically_increasing_id().alias("unit"),
@@ -417,9 +418,9 @@ def prepare(sources: DataFrame) -> DataFrame:
             F.when(~valid, F.col("content")).alias("bad_content"),
             "read_error",
         )
-        .withColumn("file_hash", ids.file_hash(text))
-        .withColumn("size_bytes", ids.size_bytes(text))
-        .withColumn("loc", ids.line_count(text))
+        .withColumns(
+            {n: c if n in wanted else F.lit(None).cast(schemas.FLAT[n].dataType) for n, c in measures.items()}
+        )
         .select(*_INPUT)
     )
 
@@ -443,4 +444,4 @@ def flatten(
     """
     fields = [f for f in schemas.FLAT.fields if columns is None or f.name in set(columns)]
     wanted, facts = [f.name for f in fields], tuple(facts)
-    return prepare(sources).mapInArrow(lambda b: _flatten_batches(b, wanted, facts), StructType(fields))
+    return prepare(sources, wanted).mapInArrow(lambda b: _flatten_batches(b, wanted, facts), StructType(fields))
