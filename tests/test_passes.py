@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.helpers import source_rows
-from treeloom.operators import derive
+from treeloom.operators import derive, reports
 from treeloom.operators.flatten import flatten
 from workloads import catalog
 
@@ -67,3 +67,29 @@ def test_queries_on_edges_write_no_syntax(spark, sf_dir, monkeypatch):
     shared = [q(spark, sf_dir) for q in (catalog.edge_counts, catalog.cfg_edges_branches, catalog.dfg_edges_branches)]
     for one, other in zip(alone, shared, strict=True):
         assert sorted(one.collect()) == sorted(other.collect())
+
+
+def test_counts_of_keys_repeat_no_rows(spark):
+    def event(key, text, partition, topic="t"):
+        return key, text, partition, topic
+
+    log = spark.createDataFrame(
+        [
+            event("00000000000000aa", '{"_key": "00000000000000aa"}', 0), event("00000000000000aa", '{"_key": "other"}', 70),
+            event("00000000000000aa", '{"_key": ""}', 70), event("00000000000000aa", "prose", 2),
+            event("00000000000000aa", '{"_key": "00000000000000aa"}', 1, "u"), event("", '{"_key": ""}', 1),
+            event(None, '{"_key": "x"}', 1), event(None, '{"_key": "y"}', 1), event(None, '{"_key": null}', None),
+        ],
+        "key STRING, value STRING, partition INT, topic STRING",
+    )
+    counts = reports.key_counts(log)
+    found = {(r["topic"], r["key"]): (r["events"], r["partitions"], r["keys_in_text"]) for r in counts.collect()}
+    assert found == {
+        ("t", "00000000000000aa"): (4, 3, 3), ("u", "00000000000000aa"): (1, 1, 1), ("t", ""): (1, 1, 1), ("t", None): (3, 1, 2),
+    }
+    assert "Expand" not in executed(counts)
+    assert [f.dataType.simpleString() for f in counts.schema] == ["string", "string", "bigint", "bigint", "bigint"]
+
+
+def test_keys_of_the_log_are_counted_so(spark, sf_dir):
+    assert "Expand" not in executed(catalog.event_keys(spark, sf_dir))

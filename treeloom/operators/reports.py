@@ -7,7 +7,27 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from treeloom.functions import envelope, measures, paths
+from treeloom.functions import envelope, ids, measures, paths
+
+
+def key_counts(log: DataFrame) -> DataFrame:
+    """Events of each key, the partitions they are in and the keys that their texts name.
+
+    Only the keys in texts are counted as distinct rows, since a second such column would repeat every
+    row; a topic's partitions are few, so they are a set. A text that names the key of its event, as it
+    should, moves as an empty value.
+    """
+    named = F.get_json_object("value", "$._key")
+    in_text = F.when(named == F.col("key"), F.lit(b"")).otherwise(
+        F.concat(F.lit(bytes(1)), named.cast("binary"))
+    )
+    rows = log.select("topic", ids.pack(F.col("key")).alias("key"), "partition", in_text.alias("in_text"))
+    counts = rows.groupBy("topic", "key").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.size(F.collect_set("partition")).cast("long").alias("partitions"),
+        F.count_distinct("in_text").alias("keys_in_text"),
+    )
+    return counts.withColumn("key", ids.unpack(F.col("key")))
 
 
 def topic_counts(log: DataFrame) -> DataFrame:

@@ -420,12 +420,7 @@ def error_events(spark, sf_dir):
 
 def event_keys(spark, sf_dir):
     """Keys with the number of their events and of the partitions these are in."""
-    log = eventlog.read_all(spark, routines_log(spark, sf_dir))
-    return log.groupBy("topic", "key").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_distinct("partition").alias("partitions"),
-        F.count_distinct(F.get_json_object("value", "$._key")).alias("keys_in_text"),
-    )
+    return reports.key_counts(eventlog.read_all(spark, routines_log(spark, sf_dir)))
 
 
 def topic_counts(spark, sf_dir):
