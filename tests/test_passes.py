@@ -1,10 +1,16 @@
 """How often a query reads, sorts and moves its rows."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tests.helpers import source_rows
-from treeloom.operators import derive, reports
+from treeloom import schemas
+from treeloom.functions import envelope
+from treeloom.operators import derive, graph, reports
 from treeloom.operators.flatten import flatten
+from treeloom.plans import batch
+from treeloom.session import stage
+from treeloom.sources import eventlog
+from treeloom.streaming import graphs
 from workloads import catalog
 
 TEXTS = {
@@ -93,3 +99,38 @@ def test_counts_of_keys_repeat_no_rows(spark):
 
 def test_keys_of_the_log_are_counted_so(spark, sf_dir):
     assert "Expand" not in executed(catalog.event_keys(spark, sf_dir))
+
+
+def test_a_batch_writes_the_tables_of_the_store_only(spark, tmp_path, monkeypatch):
+    log, store, noted = str(tmp_path / "log"), str(tmp_path / "graph"), []
+    parsed = batch.parse(source_rows(spark, TEXTS))
+    eventlog.append(parsed.events(F.timestamp_micros(F.lit(0))), log)
+    for topic in ("cpg.nodes", "cpg.edges"):
+        stray = [("k", value, 0, None, [1], topic) for value in ("prose", None)]
+        eventlog.append(spark.createDataFrame(stray, schemas.LOG), log)
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **o: noted.append(path) or write(self, path, **o))
+    for kind, run in (("nodes", graphs.write_nodes), ("edges", graphs.write_edges)):
+        run(eventlog.stream(spark, log, kind), store, str(tmp_path / kind)).awaitTermination()
+        assert {r["value"] for r in graphs.read_rejects(spark, store, kind).collect()} == {"prose", None}
+    assert {path.removeprefix(store).split("/feed=")[0] for path in noted} == {
+        "/rejects/nodes", "/vertices", "/parents", "/mentions", "/rejects/edges", "/relations",
+    }
+    expected = graph.build_graph(
+        *[envelope.decode(eventlog.read(spark, log, kind), kind).filter(F.col("file_path").isNotNull()) for kind in ("nodes", "edges")]
+    )
+    for found, wanted in zip(graphs.read_graph(spark, store), expected, strict=True):
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_a_run_writes_no_edges(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(batch, "stage", lambda df, label, rows=0: labels.append(label) or stage(df, label, rows))
+    assert batch.parse(source_rows(spark, TEXTS)).edges.count() > 0
+    assert labels == ["syntax", "metadata"]
+
+
+def test_a_filter_on_decoded_events_reads_no_text_again(spark):
+    events = spark.createDataFrame([("k", "{}", 0, None, [1], "cpg.nodes")], schemas.LOG)
+    decoded = envelope.decode(events, "nodes").filter("node_id is not null and parent_id is not null")
+    assert executed(decoded.select("node_id", "parent_id")).count("from_json") == 1
