@@ -134,3 +134,36 @@ def test_a_filter_on_decoded_events_reads_no_text_again(spark):
     events = spark.createDataFrame([("k", "{}", 0, None, [1], "cpg.nodes")], schemas.LOG)
     decoded = envelope.decode(events, "nodes").filter("node_id is not null and parent_id is not null")
     assert executed(decoded.select("node_id", "parent_id")).count("from_json") == 1
+
+
+def test_paths_from_files_write_and_move_only_ids(spark, sf_dir, monkeypatch):
+    forget(monkeypatch)
+    written = {}
+
+    def noted(df, label, rows=0):
+        written.setdefault(label, []).append(df.columns)
+        return stage(df, label, rows)
+
+    monkeypatch.setattr(catalog, "stage", noted)
+    monkeypatch.setattr(graph, "stage", noted)
+    alone = catalog.subtree_paths(spark, sf_dir)
+    assert not {"nodes", "vertices", "relations"} & set(written)
+    assert written["paths"] == [["at", "nodes"]] * 2 and written["steps"] == [["at", "next"]]
+    catalog.routines_graph(spark, sf_dir)
+    shared = catalog.subtree_paths(spark, sf_dir)
+    assert alone.count() > 0 and alone.exceptAll(shared).isEmpty() and shared.exceptAll(alone).isEmpty()
+
+
+def test_paths_take_any_ids_and_no_relationship_twice(spark):
+    links = [("a", "b"), ("b", "a"), ("a", "a"), ("00000000000000aa", "b")]
+    relations = spark.createDataFrame([(s, d, "T") for s, d in links], "src STRING, dst STRING, type STRING")
+    starts = spark.createDataFrame([("a",), ("00000000000000aa",)], "id STRING")
+    found = graph.paths(starts, relations, "T", 1, 4).collect()
+    expected = [[s, d] for s, d in links if s != "b"]
+    paths = list(expected)
+    for _ in range(3):
+        paths = [p + [d] for p in paths for s, d in links if s == p[-1] and (s, d) not in list(zip(p, p[1:]))]
+        expected += paths
+    assert sorted(r["nodes"] for r in found) == sorted(expected)
+    for r in found:
+        assert [tuple(x) for x in r["rels"]] == list(zip(r["nodes"], r["nodes"][1:])) and len(r["rels"]) == r["hops"]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from treeloom import schemas
 from treeloom.functions import ids
 from treeloom.operators.upsert import latest
-from treeloom.session import stage
+from treeloom.session import ROWS_PER_FILE, stage
 
 # Relationship types that edge events may create, and the tree one.
 EVENT_RELATIONSHIPS = ("CFG", "DFG", "CALL", "CALL_RESOLVES_TO")
@@ -85,11 +85,13 @@ def mentions(parents: DataFrame | None = None, relations: DataFrame | None = Non
 def with_stubs(changes: DataFrame, mentioned: DataFrame) -> DataFrame:
     """One row per id, with the latest properties or, for a mere mention, none; ``mentioned`` may repeat ids.
 
-    Both sides lie by id after their aggregations, so the outer join moves nothing again.
+    Both sides lie by id after their aggregations, so the outer join moves nothing again. ``changes``
+    may lack properties that the reader does not need: they move with the rows.
     """
-    newest = latest(_packed(changes, ["id", "parent_id"]), ["id"]).drop("position")
+    packed = [c for c in ("id", "parent_id") if c in changes.columns]
+    newest = latest(_packed(changes, packed), ["id"]).drop("position")
     found = newest.join(_distinct_ids(mentioned), "id", "full")
-    return _unpacked(found, ["id", "parent_id"]).select(*schemas.VERTEX.names)
+    return _unpacked(found, packed).select(*[c for c in schemas.VERTEX.names if c in changes.columns])
 
 
 def vertices(changes: DataFrame, parents: DataFrame, relations: DataFrame) -> DataFrame:
@@ -184,35 +186,40 @@ def paths(
     A path may meet a vertex again but uses no relationship twice. ``nodes`` and
     ``rels`` hold the vertex ids and the relationships' ends along the path. Each
     hop is one join on the vertex reached so far, and is written down so that the
-    next hop does not repeat the ones before it.
+    next hop does not repeat the ones before it; so are the relationships of the type. Ids are
+    packed on the way, and the relationships of a path follow from its vertices.
     """
-    step = relations.filter(F.col("type") == rel_type).select(
-        F.col("src").alias("at"), F.col("dst").alias("next")
-    )
-    rel = F.struct(F.col("at").alias("src"), F.col("next").alias("dst"))
-    reached = starts.select(
-        F.col("id").alias("at"),
-        F.array("id").alias("nodes"),
-        F.array().cast("array<struct<src:string,dst:string>>").alias("rels"),
-    )
+    step = _packed(relations.filter(F.col("type") == rel_type).select("src", "dst"), ["src", "dst"])
+    step = step.select(F.col("src").alias("at"), F.col("dst").alias("next"))
+    if max_hops > 1:
+        step = stage(step, "steps", ROWS_PER_FILE)
+    reached = _packed(starts.select(F.col("id").alias("at")), ["at"]).withColumn("nodes", F.array("at"))
     found: list[DataFrame] = []
     for hops in range(1, max_hops + 1):
+        used = F.array_contains(_pairs(F.col("nodes")), F.struct(F.col("at").alias("src"), F.col("next").alias("dst")))
         reached = (
             reached.join(step, "at")
-            .filter(~F.array_contains("rels", rel) if hops > 1 else F.lit(True))
-            .select(
-                F.col("next").alias("at"),
-                F.array_append("nodes", F.col("next")).alias("nodes"),
-                F.array_append("rels", rel).alias("rels"),
-            )
+            .filter(~used if hops > 1 else F.lit(True))
+            .select(F.col("next").alias("at"), F.array_append("nodes", F.col("next")).alias("nodes"))
         )
         if hops < max_hops:
-            reached = stage(reached, "paths")
+            reached = stage(reached, "paths", ROWS_PER_FILE)
         if hops >= min_hops:
-            found.append(reached.select(F.lit(hops).alias("hops"), "nodes", "rels"))
+            nodes = F.transform("nodes", ids.unpack)
+            whole = reached.select(F.lit(hops).alias("hops"), nodes.alias("nodes"))
+            found.append(whole.withColumn("rels", _pairs(F.col("nodes"))))
     return reduce(DataFrame.unionByName, found)
 
 
+def _pairs(nodes: Column) -> Column:
+    """Ends of the relationships between the vertices of a path."""
+    length = F.size(nodes) - 1
+    return F.zip_with(
+        F.slice(nodes, F.lit(1), length), F.slice(nodes, F.lit(2), length),
+        lambda src, dst: F.struct(src.alias("src"), dst.alias("dst")),
+    )
+
+
 def paths_from(
     graph_vertices: DataFrame,
     relations: DataFrame,

@@ -164,6 +164,24 @@ def routines_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return routines_vertices(spark, sf_dir), routines_relations(spark, sf_dir)
 
 
+def _walked_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The graph for paths from the vertices of files, unless a query wrote it down before.
+
+    Of the vertices only ids and files are computed. Each of the two tables has one reader, and events
+    are decoded by each step that reads them, as writing their ids takes more room.
+    """
+    if _built(spark, sf_dir, "graph") or _built(spark, sf_dir, "vertices") or _built(spark, sf_dir, "relations"):
+        return routines_graph(spark, sf_dir)
+    log = routines_log(spark, sf_dir)
+    nodes, linked = [envelope.decode(eventlog.read(spark, log, kind), kind) for kind in ("nodes", "edges")]
+    relations = graph.relationship_changes(linked)
+    changes = nodes.select(F.col("node_id").alias("id"), "file_path", "position")
+    return (
+        graph.vertices(changes, nodes, relations),
+        graph.relationships(graph.parent_pairs(nodes), relations),
+    )
+
+
 def _counted_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The graph for counts by kind, type and file, unless a query wrote it down before.
 
@@ -670,7 +688,7 @@ def call_paths_first(spark, sf_dir):
 
 def subtree_paths(spark, sf_dir):
     """One to three tree steps from every vertex of every file."""
-    v, r = routines_graph(spark, sf_dir)
+    v, r = _walked_graph(spark, sf_dir)
     return _ends(graph.paths_from(v, r, F.col("file_path").isNotNull(), "PARENT_OF", 1, 3))
 
 
